@@ -1,6 +1,6 @@
 """All registered queries; importing this module fills the registry."""
 
-from quayside.plans import alert_queries, page_queries, text_queries  # noqa: F401
+from quayside.plans import alert_queries, page_queries, state_queries, stream_queries, text_queries  # noqa: F401
 from quayside.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

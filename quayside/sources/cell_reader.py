@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import re
 import sys
+from html import escape
 from html.parser import HTMLParser
 
 from pyspark import cloudpickle
@@ -75,3 +76,13 @@ def read_cells(html: str, grid: str) -> list[dict]:
     reader.close()
     reader.finish_piece()
     return reader.cells
+
+
+def plain_cells(html: str, grid: str) -> list[str]:
+    """The cells of a page, each written the plain way: one element, icon first, no other tags."""
+    return [
+        f'<td id="{grid}{cell["row"]}_{cell["col"]}">'
+        + ("" if cell["icon"] is None else f'<img src="{escape(cell["icon"])}">')
+        + f"{escape(cell['text'], quote=False)}</td>"
+        for cell in read_cells(html, grid)
+    ]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators.prefix import contiguous_prefix
 from quayside.schemas import EVENT_TITLES, MILE_TITLES, STATUS_TITLES
-from quayside.sources.cell_reader import read_cells
+from quayside.sources.cell_reader import plain_cells
 
 # Ids and classes on the pages, icons and the flags they stand for.
 STATUS_GRID = "ASPx_船舶即時動態_tccell"
@@ -37,7 +37,6 @@ _UNSEEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 _BREAK = "<wbr>"
 _ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
 _RARE_ENTITY = r"&(?!(?:amp|lt|gt|quot|apos|nbsp|#39);)[#a-zA-Z]"
-_CELL = "array<struct<row: bigint, col: int, text: string, icon: string>>"
 
 
 def visible(html: Column) -> Column:
@@ -49,10 +48,11 @@ def node_text(fragment: Column) -> Column:
     """Text of a fragment: each piece between tags stripped, then joined with nothing."""
     text = F.replace(fragment, F.lit("&nbsp;"), F.lit("\u00a0"))
     text = F.regexp_replace(text, f"{_SPACE}*(?:{_TAG}){_SPACE}*", "")
-    text = F.regexp_replace(text, f"^{_SPACE}+|{_SPACE}+$", "")
     for entity, character in _ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(character))
-    return text
+    # Most cells are plain text and skip all that.
+    text = F.when(fragment.contains("<") | fragment.contains("&"), text).otherwise(fragment)
+    return F.regexp_replace(text, f"^{_SPACE}+|{_SPACE}+$", "")
 
 
 def shown_text(fragment: Column) -> Column:
@@ -64,52 +64,55 @@ def shown_text(fragment: Column) -> Column:
     return F.trim(text)
 
 
-def _parsed_cells(html: Column, grid: str) -> Column:
-    @F.pandas_udf(_CELL)
-    def parse(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda page: None if page is None else read_cells(page, grid))
+def _repaired(html: Column, grid: str) -> Column:
+    @F.pandas_udf("array<string>")
+    def repair(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda page: None if page is None else plain_cells(page, grid))
 
-    return parse(html)
+    return repair(html)
 
 
 def grid_cells(pages: DataFrame, grid: str) -> DataFrame:
     """``crawl_id, page_no, position, row, col, text, icon``; a page without cells gives one
     row with NULL cells, so that its crawl is not forgotten."""
-    start = rf"""<([a-zA-Z][a-zA-Z0-9]*)\b[^<>]*?(?i:\sid)\s*=\s*["']?{grid}(\d+)_(\d+)["']?(?=[\s/>])[^<>]*>"""
-    whole = rf"(?s){start}(.*?)</\1\s*>"
-    named = rf"(?i:\sid)\s*=\s*[\"']?{grid}\d+_\d+[\"']?(?=[\s/>])"
-    page = visible(F.col("html"))
-    found = F.regexp_extract_all("_page", F.lit(whole), 0)
-    odd = (
-        (F.regexp_count("_page", F.lit(named)) != F.size("_found"))
-        | F.exists("_found", lambda cell: cell.rlike(rf"(?s){start}.*<\1\b") | cell.rlike(_RARE_ENTITY))
-    )
+    named = rf"""(?i:\sid)\s*=\s*["']?{grid}\d+_\d+["']?(?=[\s/>])"""
+    whole = rf"(?s)<([a-zA-Z][a-zA-Z0-9]*)\b[^<>]*?{named}[^<>]*>.*?</\1\s*>"
+    page = F.col("_page")
+    mentions = (F.char_length(page) - F.char_length(F.replace(page, F.lit(grid), F.lit("")))) / len(grid)
 
-    def cell_of(cell: Column) -> Column:
-        body = F.regexp_extract(cell, whole, 4)
-        image = F.regexp_extract(body, r"(?is)<img\b[^<>]*>", 0)
-        return F.struct(
-            F.regexp_extract(cell, whole, 2).cast("bigint").alias("row"),
-            F.regexp_extract(cell, whole, 3).cast("int").alias("col"),
-            node_text(body).alias("text"),
-            F.when(image != "", F.regexp_extract(image, r"""(?is)\ssrc\s*=\s*["']?([^"'\s>]*)""", 1)).alias("icon"),
-        )
+    def odd_cell(cell: Column) -> Column:
+        again = F.concat(F.lit("<"), F.regexp_extract(cell, "^<([a-zA-Z0-9]+)", 1))
+        return (F.instr(F.substring(cell, 2, 2**30), again) > 0) | (cell.contains("&") & cell.rlike(_RARE_ENTITY))
 
+    # The exact count of cell ids is only needed where the grid is named outside of cells too.
+    missed = (mentions != F.size("_found")) & (F.regexp_count(page, F.lit(named)) != F.size("_found"))
     cut = (
         # A page that does not name the grid has no cells and skips all of this.
-        pages.withColumn("_page", F.when(F.col("html").contains(grid), page).otherwise(""))
-        .withColumn("_found", found)
-        .withColumn("_odd", odd)
+        pages.withColumn("_page", F.when(F.col("html").contains(grid), visible(F.col("html"))).otherwise(""))
+        .withColumn("_found", F.regexp_extract_all("_page", F.lit(whole), 0))
+        .withColumn("_odd", missed | F.exists("_found", odd_cell))
         .select(
-            "crawl_id", "page_no", F.when(F.col("_odd"), F.col("_page")).alias("_odd_page"),
+            "crawl_id", "page_no", F.when(F.col("_odd"), page).alias("_odd_page"),
             F.when(~F.col("_odd"), F.col("_found")).alias("_found"),
         )
-        .withColumn("_parsed", _parsed_cells(F.col("_odd_page"), grid))
-        .drop("_odd_page")
+        .withColumn("_repaired", _repaired(F.col("_odd_page"), grid))
+        .select(
+            "crawl_id", "page_no", F.posexplode_outer(F.coalesce("_repaired", "_found")).alias("position", "_cell"))
+    )
+    number = F.split_part("_cell", F.lit(grid), F.lit(2))
+    body = F.col("_body")
+    image = F.when(
+        F.lower(body).contains("<img"), F.regexp_extract(body, r"(?is)<img\b[^<>]*>", 0))
+    return (
+        cut.withColumn("_body", F.regexp_extract("_cell", r"(?s)^<[^<>]*>(.*)</[^<>]*>$", 1))
+        .select(
+            "crawl_id", "page_no", "position",
+            F.substring_index(number, "_", 1).cast("bigint").alias("row"),
+            F.regexp_extract(number, r"^\d+_(\d+)", 1).cast("int").alias("col"),
+            node_text(body).alias("text"),
+            F.regexp_extract(image, r"""(?is)\ssrc\s*=\s*["']?([^"'\s>]*)""", 1).alias("icon"),
+        )
     )
-    cells = F.coalesce("_parsed", F.transform("_found", cell_of))
-    return cut.select("crawl_id", "page_no", F.posexplode_outer(cells).alias("position", "_cell")).select(
-        "crawl_id", "page_no", "position", "_cell.*")
 
 
 def flagged(text: Column, icon: Column) -> Column:
@@ -180,11 +183,13 @@ def header_table_rows(pages: DataFrame, titles: dict[str, str]) -> DataFrame:
     cell = _element("td", CELL_CLASS) + r"(.*?)</td\s*>"
     rows = (
         pages.withColumn("_page", visible(F.col("html")))
+        # The header is found before the rows are spread, once per page.
         .select(
             "crawl_id", "page_no",
             F.transform(F.regexp_extract_all("_page", F.lit(header), 1), shown_text).alias("_header"),
-            F.posexplode(F.regexp_extract_all("_page", F.lit(row), 1)).alias("row", "_row"),
+            F.regexp_extract_all("_page", F.lit(row), 1).alias("_rows"),
         )
+        .select("crawl_id", "page_no", "_header", F.posexplode("_rows").alias("row", "_row"))
         .withColumn("_cells", F.transform(F.regexp_extract_all("_row", F.lit(cell), 1), shown_text))
         .withColumn("_width", F.least(F.size("_header"), F.size("_cells")))
         .withColumn("_pairs", F.arrays_zip(
