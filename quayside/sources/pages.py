@@ -31,7 +31,10 @@ EMPTY_FLAG = "NO"
 MISSING = "null"
 
 _SPACE = r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-_TAG = r"""<(?:/?[a-zA-Z](?:[^<>"']|"[^"]*"|'[^']*')*+|[!?/][^<>]*+)>"""
+_ATTRIBUTES = r"""(?:[^<>"']|"[^"]*"|'[^']*')*+"""
+_TAG = rf"<(?:/?[a-zA-Z]{_ATTRIBUTES}|[!?/][^<>]*+)>"
+# A tag that is not closed before the next one opens, or at all.
+_BROKEN_TAG = r"<[a-zA-Z/!?][^<>]*(?:<|$)"
 _UNSEEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 # What stands for a removed comment: it ends a piece of text like any tag, but shows nothing.
 _BREAK = "<wbr>"
@@ -76,7 +79,7 @@ def grid_cells(pages: DataFrame, grid: str) -> DataFrame:
     """``crawl_id, page_no, position, row, col, text, icon``; a page without cells gives one
     row with NULL cells, so that its crawl is not forgotten."""
     named = rf"""(?i:\sid)\s*=\s*["']?{grid}\d+_\d+["']?(?=[\s/>])"""
-    whole = rf"(?s)<([a-zA-Z][a-zA-Z0-9]*)\b[^<>]*?{named}[^<>]*>.*?</\1\s*>"
+    whole = rf"(?s)<([a-zA-Z][a-zA-Z0-9]*)\b[^<>]*?{named}{_ATTRIBUTES}>.*?</\1\s*>"
     page = F.col("_page")
     mentions = (F.char_length(page) - F.char_length(F.replace(page, F.lit(grid), F.lit("")))) / len(grid)
 
@@ -90,7 +93,7 @@ def grid_cells(pages: DataFrame, grid: str) -> DataFrame:
         # A page that does not name the grid has no cells and skips all of this.
         pages.withColumn("_page", F.when(F.col("html").contains(grid), visible(F.col("html"))).otherwise(""))
         .withColumn("_found", F.regexp_extract_all("_page", F.lit(whole), 0))
-        .withColumn("_odd", missed | F.exists("_found", odd_cell))
+        .withColumn("_odd", missed | page.rlike(_BROKEN_TAG) | F.exists("_found", odd_cell))
         .select(
             "crawl_id", "page_no", F.when(F.col("_odd"), page).alias("_odd_page"),
             F.when(~F.col("_odd"), F.col("_found")).alias("_found"),
@@ -104,7 +107,7 @@ def grid_cells(pages: DataFrame, grid: str) -> DataFrame:
     image = F.when(
         F.lower(body).contains("<img"), F.regexp_extract(body, r"(?is)<img\b[^<>]*>", 0))
     return (
-        cut.withColumn("_body", F.regexp_extract("_cell", r"(?s)^<[^<>]*>(.*)</[^<>]*>$", 1))
+        cut.withColumn("_body", F.regexp_extract("_cell", rf"(?s)^<{_ATTRIBUTES}>(.*)</[^<>]*>$", 1))
         .select(
             "crawl_id", "page_no", "position",
             F.substring_index(number, "_", 1).cast("bigint").alias("row"),

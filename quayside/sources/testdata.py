@@ -65,7 +65,7 @@ PROJECTIONS: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "created_at": f"{_STATUS_TIME} - {hours('24')}",
         "updated_at": _STATUS_TIME,
     }),
-    "fx_voyage": ("customer", "c_custkey % 4 <> 3", {
+    "fx_voyage": ("customer", "c_mktsegment <> 'HOUSEHOLD'", {
         "ship_voyage_number": voyage_key("c_custkey"),
         "pass_10_miles_time": f"CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE {_VOYAGE_TIME} - {hours('2')} END",
         "pass_5_miles_time": f"CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE {_VOYAGE_TIME} - {hours('1')} END",
