@@ -26,8 +26,10 @@ def rejected(df: DataFrame) -> DataFrame:
 
 def fail_on_reject(df: DataFrame) -> DataFrame:
     """The strict variant: the job stops at the first bad row."""
-    stop = F.when(F.col("reject_reason").isNotNull(), F.raise_error(F.concat(F.lit("bad row: "), "reject_reason")))
-    return df.withColumn("reject_reason", F.coalesce(stop.cast("string"), F.lit(None).cast("string"))).drop("reject_reason")
+    bad = F.col("reject_reason")
+    stop = F.raise_error(F.concat(F.lit("bad row: "), bad)).cast("boolean")
+    # A filter, because a column nobody selects would never be computed.
+    return df.filter(F.when(bad.isNotNull(), stop).otherwise(True)).drop("reject_reason")
 
 
 def required_checks(columns: Sequence[str]) -> dict[str, Column]:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside import schemas
@@ -12,6 +14,7 @@ from quayside.operators import quality
 from quayside.operators.latest import keep_last
 from quayside.schemas import BERTH_TITLES, EVENT_TITLES, MILE_TITLES, STATUS_TITLES
 from quayside.sources import pages as P
+from quayside.sources.state import state_table
 
 
 def _checked(table: str, df: DataFrame, **parse_checks: Column) -> DataFrame:
@@ -91,3 +94,28 @@ def crawl_tables(
         "ship_voyage": typed_voyage(miles.select("*", voyage, F.lit(0).cast("bigint").alias("seq"))),
         "ship_berth_order": typed_berths(berths.withColumn("seq", F.col("page_no") * F.lit(2**32) + F.col("row"))),
     }
+
+
+def typed_folder(root: str, table: str, version: int) -> str:
+    return f"{root.rstrip('/')}/typed/{table}/crawl={version}"
+
+
+def store_crawl(
+    spark: SparkSession, tables: Mapping[str, DataFrame], root: str, version: int, as_of: Callable[[str], Column]
+) -> None:
+    """Takes one crawl into the stored tables below ``root``.
+
+    The typed rows of a table are written once, good and bad ones, so that pages are not
+    read again for the upsert; the rejects stay there with their reason. ``as_of`` gives
+    the time stamped on a table's rows: tables are taken in one after the other, and a
+    ship's voyage row is meant to be a little newer than its status row.
+    """
+    for name in ("ship_status", "ship_events", "ship_voyage", "ship_berth_order"):
+        folder = typed_folder(root, name, version)
+        tables[name].write.mode("overwrite").parquet(folder)
+        typed = spark.read.schema(tables[name].schema).parquet(folder)
+        state_table(spark, root, name).apply(quality.accepted(typed), version, as_of(name))
+
+
+def crawl_rejects(spark: SparkSession, root: str, table: str, version: int) -> DataFrame:
+    return quality.rejected(spark.read.parquet(typed_folder(root, table, version)))

@@ -19,9 +19,9 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return (
-        spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
-    )
+    """An export read back: a quoted empty text is empty, an unquoted one is NULL."""
+    options = {"header": True, "escape": '"', "multiLine": True, "nullValue": "\0"}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def land_pages(pages: DataFrame, path: str) -> None:
