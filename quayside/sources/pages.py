@@ -30,12 +30,15 @@ ICON_FLAGS = (("ok.png", "YES"), ("red.gif", "RED"))
 EMPTY_FLAG = "NO"
 MISSING = "null"
 
+# All blanks, as a pattern and as characters.
 _SPACE = r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-_ATTRIBUTES = r"""(?:[^<>"']|"[^"]*"|'[^']*')*+"""
+_BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+# Possessive throughout: what one of these has taken is never tried again in another way.
+_ATTRIBUTES = r"""[^<>"']*+(?:(?:"[^"]*+"|'[^']*+')[^<>"']*+)*+"""
 _TAG = rf"<(?:/?[a-zA-Z]{_ATTRIBUTES}|[!?/][^<>]*+)>"
 # A tag that is not closed before the next one opens, or at all.
-_BROKEN_TAG = r"<[a-zA-Z/!?][^<>]*(?:<|$)"
-_UNSEEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+_BROKEN_TAG = r"<[a-zA-Z/!?][^<>]*+(?:<|$)"
+_UNSEEN = r"(?s)<(?:!--.*?--|(?i:script)\b.*?</(?i:script)\s*|(?i:style)\b.*?</(?i:style)\s*)>"
 # What stands for a removed comment: it ends a piece of text like any tag, but shows nothing.
 _BREAK = "<wbr>"
 _ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
@@ -55,7 +58,7 @@ def node_text(fragment: Column) -> Column:
         text = F.replace(text, F.lit(entity), F.lit(character))
     # Most cells are plain text and skip all that.
     text = F.when(fragment.contains("<") | fragment.contains("&"), text).otherwise(fragment)
-    return F.regexp_replace(text, f"^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(text, F.lit(_BLANKS))
 
 
 def shown_text(fragment: Column) -> Column:
@@ -84,7 +87,7 @@ def grid_cells(pages: DataFrame, grid: str) -> DataFrame:
     mentions = (F.char_length(page) - F.char_length(F.replace(page, F.lit(grid), F.lit("")))) / len(grid)
 
     def odd_cell(cell: Column) -> Column:
-        again = F.concat(F.lit("<"), F.regexp_extract(cell, "^<([a-zA-Z0-9]+)", 1))
+        again = F.regexp_extract(cell, "^<[a-zA-Z0-9]+", 0)
         return (F.instr(F.substring(cell, 2, 2**30), again) > 0) | (cell.contains("&") & cell.rlike(_RARE_ENTITY))
 
     # The exact count of cell ids is only needed where the grid is named outside of cells too.
@@ -102,12 +105,13 @@ def grid_cells(pages: DataFrame, grid: str) -> DataFrame:
         .select(
             "crawl_id", "page_no", F.posexplode_outer(F.coalesce("_repaired", "_found")).alias("position", "_cell"))
     )
-    number = F.split_part("_cell", F.lit(grid), F.lit(2))
+    # Long enough for any two numbers, and much shorter than many a cell.
+    number = F.substring("_cell", F.instr("_cell", grid) + len(grid), F.lit(40))
     body = F.col("_body")
     image = F.when(
         F.lower(body).contains("<img"), F.regexp_extract(body, r"(?is)<img\b[^<>]*>", 0))
     return (
-        cut.withColumn("_body", F.regexp_extract("_cell", rf"(?s)^<{_ATTRIBUTES}>(.*)</[^<>]*>$", 1))
+        cut.withColumn("_body", F.regexp_extract("_cell", rf"(?s)^<{_ATTRIBUTES}>(.*)</", 1))
         .select(
             "crawl_id", "page_no", "position",
             F.substring_index(number, "_", 1).cast("bigint").alias("row"),
