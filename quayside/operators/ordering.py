@@ -59,19 +59,19 @@ def with_next(
     such row are dropped before they are sorted.
     """
     group = [*keys, segment]
-    rows = df
-    if only is not None:
-        rows = df.join(df.filter(only).select(*group).distinct(), group, "left_semi")
-    inside = Window.partitionBy(*group).orderBy(*_nulls_last(order))
-    rows = rows.withColumn("_near", F.lead(F.struct(*values)).over(inside))
-    if only is not None:
-        rows = rows.filter(only)
-
-    heads = df.groupBy(*group).agg(F.min(F.struct(*_sort_struct(order), F.struct(*values).alias("row"))).alias("_head"))
+    wanted = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
+    heads = df.groupBy(*group).agg(
+        F.min(F.struct(*_sort_struct(order), F.struct(*values).alias("row"))).alias("_head"),
+        F.max(wanted).alias("_wanted"),
+    )
     along = Window.partitionBy(*keys).orderBy(segment)
-    following = heads.select(*group, F.lead("_head.row").over(along).alias("_far"))
+    # Every segment has a say in who follows, so the wanted ones are picked after the window.
+    following = heads.select(*group, "_wanted", F.lead("_head.row").over(along).alias("_far")).filter("_wanted")
+    inside = Window.partitionBy(*group).orderBy(*_nulls_last(order))
     return (
-        rows.join(following, group, "left")
+        df.join(following, group)
+        .withColumn("_near", F.lead(F.struct(*values)).over(inside))
+        .filter(wanted)
         .withColumn(name, F.coalesce("_near", "_far"))
-        .drop("_near", "_far")
+        .drop("_near", "_far", "_wanted")
     )

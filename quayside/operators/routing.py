@@ -54,6 +54,8 @@ def with_recipients(ruled: DataFrame) -> DataFrame:
 
 def with_channel(routed: DataFrame, channels: DataFrame) -> DataFrame:
     """Adds delivery ``status`` per (alert, stakeholder) row; one row per stakeholder name
-    in ``channels``, so that table too has a fixed small size."""
-    status = F.when(F.coalesce("configured", F.lit(False)), "queued").otherwise("no_token")
+    in ``channels``, so that table too has a fixed small size. Rows for the master group
+    only exist if it can be reached."""
+    reachable = F.coalesce("configured", F.lit(False)) | (F.col("stakeholder") == rules.MASTER_GROUP)
+    status = F.when(reachable, "queued").otherwise("no_token")
     return routed.join(F.broadcast(channels), "stakeholder", "left").withColumn("status", status).drop("configured")

@@ -64,7 +64,9 @@ def recent_candidates(status: DataFrame, voyage: DataFrame, cutoff: Column) -> D
     )
 
 
-def latest_status(status: DataFrame, voyage: DataFrame, events: DataFrame, cutoff: Column) -> DataFrame:
+def latest_status(
+    status: DataFrame, voyage: DataFrame, events: DataFrame, cutoff: Column, recent_events: DataFrame | None = None
+) -> DataFrame:
     """Recently changed ships with their latest event(s), ETA, ETD and mile passages.
 
     Only events since ``cutoff`` are ranked: the newest event of a voyage is reported only
@@ -174,18 +176,26 @@ def routed(alerts: DataFrame, rule_table: DataFrame) -> DataFrame:
     )
 
 
-def stakeholder_outbox(routed_alerts: DataFrame, channels: DataFrame) -> DataFrame:
-    """One row per alert and stakeholder, marked by whether the stakeholder can be reached."""
+def stakeholder_outbox(routed_alerts: DataFrame, channels: DataFrame, with_master: bool = False) -> DataFrame:
+    """One row per alert and stakeholder, marked by whether the stakeholder can be reached.
+
+    With a master group, it gets each alert that concerned anyone, reachable or not, with
+    the list of them. All rows of an alert come out of one pass over it.
+    """
+    letters = F.transform("stakeholders", lambda name: F.struct(name.alias("stakeholder"), F.col("message")))
+    if with_master:
+        digest = F.array(F.struct(
+            F.lit(rules.MASTER_GROUP).alias("stakeholder"),
+            digest_message(F.col("message"), F.col("stakeholders")).alias("message")))
+        letters = F.when(F.size("stakeholders") > 0, F.concat(letters, digest))
     each = routed_alerts.select(
-        "alert_id", "message_format", KEY, "event_name", F.explode("stakeholders").alias("stakeholder"), "message")
+        "alert_id", "message_format", KEY, "event_name", F.explode(letters).alias("letter")
+    ).select("alert_id", "message_format", KEY, "event_name", "letter.*")
     return with_channel(each, channels)
 
 
 def master_digests(routed_alerts: DataFrame) -> DataFrame:
-    """For the master group: each alert that concerned anyone, reachable or not, with the list of them."""
+    """The master group's copies alone."""
     return routed_alerts.filter(F.size("stakeholders") > 0).select(
         "alert_id", "message_format", KEY, "event_name",
-        F.lit(rules.MASTER_GROUP).alias("stakeholder"),
-        digest_message(F.col("message"), F.col("stakeholders")).alias("message"),
-        F.lit("queued").alias("status"),
-    )
+        digest_message(F.col("message"), F.col("stakeholders")).alias("message"))

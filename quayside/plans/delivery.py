@@ -16,10 +16,12 @@ class PortTables:
     voyage: DataFrame
     events: DataFrame
     berths: DataFrame
+    # The part of ``events`` that may be recent, if it can be read on its own.
+    recent_events: DataFrame | None = None
 
 
 def enriched_alerts(tables: PortTables, cutoff: Column) -> DataFrame:
-    latest = A.latest_status(tables.status, tables.voyage, tables.events, cutoff)
+    latest = A.latest_status(tables.status, tables.voyage, tables.events, cutoff, tables.recent_events)
     return A.enriched(A.status_alerts(latest), A.latest_agents(tables.berths))
 
 
@@ -28,8 +30,8 @@ def outbox(
 ) -> DataFrame:
     """Status alerts per stakeholder; with a master group also its digests and berth alerts."""
     routed = A.routed(enriched_alerts(tables, cutoff), rule_table)
-    rows = A.stakeholder_outbox(routed, channels)
+    rows = A.stakeholder_outbox(routed, channels, master_configured)
     if master_configured:
         moved = B.berth_alerts(tables.berths, tables.status, tables.events, cutoff)
-        rows = rows.unionByName(A.master_digests(routed)).unionByName(B.berth_outbox(moved))
+        rows = rows.unionByName(B.berth_outbox(moved), allowMissingColumns=True)
     return rows

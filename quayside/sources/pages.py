@@ -64,10 +64,10 @@ def node_text(fragment: Column) -> Column:
 def shown_text(fragment: Column) -> Column:
     """Text as a browser shows it: tags gone, runs of blanks as one, ends stripped."""
     text = F.replace(F.regexp_replace(fragment, _TAG, ""), F.lit("&nbsp;"), F.lit("\u00a0"))
-    text = F.regexp_replace(text, f"{_SPACE}+", " ")
     for entity, character in _ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(character))
-    return F.trim(text)
+    text = F.when(fragment.contains("<") | fragment.contains("&"), text).otherwise(fragment)
+    return F.btrim(F.regexp_replace(text, f"{_SPACE}+", " "))
 
 
 def _repaired(html: Column, grid: str) -> Column:

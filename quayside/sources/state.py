@@ -51,10 +51,15 @@ class StateTable:
         folders = [f"{self.root}/data/version={v}/part={p}" for p, v in sorted(held.items())]
         return self.spark.read.schema(self.schema).parquet(*folders)
 
-    def read(self) -> DataFrame:
-        """The newest published version."""
+    def read(self, since_day: str | None = None) -> DataFrame:
+        """The newest published version; of events, if wanted, only days from ``since_day`` on."""
         lists = self._published()
-        rows = self._rows(lists[max(lists)] if lists else {}).drop("change_type")
+        held = lists[max(lists)] if lists else {}
+        if since_day is not None:
+            if self.spec.table != "ship_events":
+                raise ValueError("only events are stored by day")
+            held = {part: version for part, version in held.items() if part >= since_day}
+        rows = self._rows(held).drop("change_type")
         if self.spec.table == "ship_events":
             # Stands for a serial number: the same key always has the same one.
             rows = rows.withColumn("id", F.xxhash64(*self.spec.keys))

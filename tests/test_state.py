@@ -71,6 +71,7 @@ def test_only_touched_days_are_rewritten(spark, root):
     held = table._published()[1]
     assert held == {"2024-01-01": 0, "2024-01-02": 0, "2024-01-03": 1}
     assert table.read().count() == 3
+    assert as_tuples(table.read("2024-01-02"), "event_time") == [(DAY + timedelta(1),), (DAY + timedelta(2),)]
     assert table.read().dtypes == spark.createDataFrame([], schemas.SHIP_EVENTS).dtypes
     assert as_tuples(table.changes(1), "event_time", "change_type") == [(DAY + timedelta(2), "update")]
 
