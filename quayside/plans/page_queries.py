@@ -88,7 +88,7 @@ def grid_extract_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("arity_audit", f"""{oracle_with('fx_status')}, {_NUMBERED}
-    SELECT crawl_id, row, {len(STATUS_TITLES) - 1} AS n_cells FROM numbered WHERE c_custkey % 50 = 7""")
+    SELECT crawl_id, row, cast({len(STATUS_TITLES) - 1} as bigint) AS n_cells FROM numbered WHERE c_custkey % 50 = 7""")
 def arity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grid rows that do not have the expected number of cells."""
     cells = P.grid_cells(_status_pages(spark, sf_dir), P.STATUS_GRID)
