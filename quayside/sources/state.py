@@ -2,8 +2,10 @@
 
 A table is split into parts, by event day or by a hash of the key. An upsert reads and
 rewrites only the parts its batch touches and then publishes a list of which version holds
-each part. Readers see a version only once its list is written; applying a version again
-starts from the version before it and replaces what the first attempt left.
+each part. The two newest lists are kept, each in its own place, and the older one is written
+over: a reader always finds a whole list, and however long the table is kept, there is little
+to read. Applying the newest version again starts from the version before it and replaces
+what the first attempt left.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from pyspark.sql import types as T
 from quayside.operators.upsert import UpsertSpec, changes_of, spec_for, upsert
 from quayside.schemas import TABLES
 
+LIST = "version bigint, part string, held_by bigint"
+
 
 class StateTable:
     def __init__(self, spark: SparkSession, root: str, spec: UpsertSpec, parts: int = 64) -> None:
@@ -31,20 +35,38 @@ class StateTable:
             return F.date_format("event_time", "yyyy-MM-dd")
         return F.pmod(F.xxhash64(*self.spec.keys), F.lit(self.parts)).cast("string")
 
-    def _published(self) -> dict[int, dict[str, int]]:
-        """Version -> part -> version holding it. As small as the number of parts."""
-        try:
-            rows = self.spark.read.schema("version bigint, part string, held_by bigint").json(
-                f"{self.root}/published").collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return {}
-        lists: dict[int, dict[str, int]] = {}
-        for row in rows:
-            lists.setdefault(row["version"], {})[row["part"]] = row["held_by"]
+    def _lists(self) -> dict[int, dict[str, tuple[int, int]]]:
+        """Version -> part -> (version holding it, place of the list). As small as the number of parts."""
+        lists: dict[int, dict[str, tuple[int, int]]] = {}
+        for place in (0, 1):
+            try:
+                rows = (
+                    self.spark.read.schema(LIST).option("ignoreMissingFiles", True)
+                    .json(f"{self.root}/published/{place}").collect())
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                continue
+            for row in rows:
+                lists.setdefault(row["version"], {})[row["part"]] = (row["held_by"], place)
         return lists
 
+    def held(self) -> dict[str, int]:
+        """Which version holds each part, in the newest version."""
+        lists = self._lists()
+        return {part: version for part, (version, _) in lists[max(lists)].items()} if lists else {}
+
+    def _base(self, version: int) -> tuple[dict[str, int], int]:
+        """What ``version`` starts from, and the place its list goes to."""
+        lists = self._lists()
+        earlier = [v for v in lists if v < version]
+        if earlier:
+            newest = lists[max(earlier)]
+            return {part: held for part, (held, _) in newest.items()}, 1 - next(iter(newest.values()))[1]
+        if set(lists) <= {version}:
+            return {}, 0
+        raise ValueError(f"version {version} of {self.root} is too old to be applied again")
+
     def _rows(self, held: dict[str, int]) -> DataFrame:
         if not held:
             return self.spark.createDataFrame([], self.schema)
@@ -53,8 +75,7 @@ class StateTable:
 
     def read(self, since_day: str | None = None) -> DataFrame:
         """The newest published version; of events, if wanted, only days from ``since_day`` on."""
-        lists = self._published()
-        held = lists[max(lists)] if lists else {}
+        held = self.held()
         if since_day is not None:
             if self.spec.table != "ship_events":
                 raise ValueError("only events are stored by day")
@@ -66,17 +87,17 @@ class StateTable:
         return rows.select(*TABLES[self.spec.table].names)
 
     def changes(self, version: int) -> DataFrame:
-        """Change feed of one version."""
-        held = self._published()[version]
-        return changes_of(self._rows({p: v for p, v in held.items() if v == version}))
+        """Change feed of one version, as long as its data is kept."""
+        if version > max(self._lists(), default=-1):
+            raise ValueError(f"version {version} of {self.root} is not published")
+        return changes_of(self.spark.read.schema(self.schema).parquet(f"{self.root}/data/version={version}"))
 
     def apply(self, batch: DataFrame, version: int, as_of: Column, arrival: str = "seq") -> None:
         """Upserts ``batch`` and publishes the result as ``version``."""
-        earlier = {v: held for v, held in self._published().items() if v < version}
-        held = earlier[max(earlier)] if earlier else {}
+        held, place = self._base(version)
         batch = batch.withColumn("_part", self._part()).persist()
         try:
-            touched = [row["_part"] for row in batch.select("_part").distinct().collect()]
+            touched = {row["_part"] for row in batch.select("_part").distinct().collect()}
             stored = self._rows({p: v for p, v in held.items() if p in touched})
             merged = upsert(stored, batch, self.spec, as_of, arrival).withColumn("part", self._part())
             # Rebalancing gathers each part in few files, and splits a part too big for one.
@@ -87,8 +108,8 @@ class StateTable:
         finally:
             batch.unpersist()
         rows = [(version, p, v) for p, v in {**held, **dict.fromkeys(touched, version)}.items()]
-        self.spark.createDataFrame(rows, "version bigint, part string, held_by bigint").coalesce(1).write.mode(
-            "overwrite").json(f"{self.root}/published/list={version}")
+        self.spark.createDataFrame(rows, LIST).coalesce(1).write.mode("overwrite").json(
+            f"{self.root}/published/{place}")
 
 
 def state_table(spark: SparkSession, root: str, table: str, parts: int = 64) -> StateTable:

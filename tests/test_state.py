@@ -46,6 +46,7 @@ def root(spark):
 def test_versions(spark, root):
     table = state_table(spark, root, "ship_status", parts=4)
     assert table.read().count() == 0
+    table.apply(status_batch(spark, ("a", "0"), ("b", "1")), 0, moment(0))
     table.apply(status_batch(spark, ("a", "1"), ("b", "1")), 0, moment(0))
     table.apply(status_batch(spark, ("b", "2"), ("c", "1")), 1, moment(1))
     want = [("a", "1", DAY), ("b", "2", DAY + timedelta(1)), ("c", "1", DAY + timedelta(1))]
@@ -56,6 +57,14 @@ def test_versions(spark, root):
     table.apply(status_batch(spark, ("b", "2"), ("c", "1")), 1, moment(1))
     assert as_tuples(table.read(), *columns) == want
     assert as_tuples(table.changes(1), "ship_voyage_number", "change_type") == [("b", "update"), ("c", "insert")]
+    # An empty batch is a version too; one that others were built on stays as it is.
+    table.apply(status_batch(spark), 2, moment(2))
+    assert as_tuples(table.read(), *columns) == want
+    assert table.changes(2).count() == 0
+    with pytest.raises(ValueError, match="too old"):
+        table.apply(status_batch(spark), 0, moment(0))
+    with pytest.raises(ValueError, match="not published"):
+        table.changes(3)
 
 
 def test_only_touched_days_are_rewritten(spark, root):
@@ -68,8 +77,7 @@ def test_only_touched_days_are_rewritten(spark, root):
 
     table.apply(batch((0, None), (1, None), (2, None)), 0, moment(0))
     table.apply(batch((2, DAY), (2, None)), 1, moment(0))
-    held = table._published()[1]
-    assert held == {"2024-01-01": 0, "2024-01-02": 0, "2024-01-03": 1}
+    assert table.held() == {"2024-01-01": 0, "2024-01-02": 0, "2024-01-03": 1}
     assert table.read().count() == 3
     assert as_tuples(table.read("2024-01-02"), "event_time") == [(DAY + timedelta(1),), (DAY + timedelta(2),)]
     assert table.read().dtypes == spark.createDataFrame([], schemas.SHIP_EVENTS).dtypes
