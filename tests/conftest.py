@@ -19,6 +19,8 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
+            # Most test plans run once on little data: compiling them would take longer.
+            "spark.sql.codegen.wholeStage": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )

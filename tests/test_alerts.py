@@ -26,7 +26,7 @@ def at(moment):
 
 def rows(spark, table, *records):
     schema = schemas.TABLES[table]
-    return spark.createDataFrame([tuple(r.get(n) for n in schema.names) for r in records], schema)
+    return spark.createDataFrame([tuple(r.get(n) for n in schema.names) for r in records], schema).coalesce(1)
 
 
 def status(key, name="永明SHIP", updated=RECENT):
@@ -108,7 +108,7 @@ def test_enrichment(tables):
 
 def test_routing(spark, tables):
     table = rules.rule_table(spark)
-    alerts = D.enriched_alerts(tables, at(CUTOFF))
+    alerts = D.enriched_alerts(tables, at(CUTOFF)).cache()
     routed = A.routed(alerts, table)
     assert as_tuples(routed, "ship_voyage_number", "event_name", "stakeholders") == [
         ("V000000001", "實際靠妥時間", ["Pilot", "CIQS"]),
