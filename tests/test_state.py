@@ -199,12 +199,12 @@ def test_a_whole_crawl(spark, root):
                + berth("1043", "tomorrow", "P", "", "好明", "EN", "agent"))),
         "http://port.example/events", "http://port.example/miles")
     for version in range(2):
-        store_crawl(spark, crawled, root, version, lambda _, v=version: moment(v))
+        store_crawl(spark, crawled, root, version, lambda _, v=version: moment(v), parts=2)
     rejects = {name: as_tuples(crawl_rejects(spark, root, name, 0), "reject_reason") for name in SPECS}
     assert rejects == {
         "ship_status": [("long_ship_name",)], "ship_events": [("null_event_time",)], "ship_voyage": [],
         "ship_berth_order": [("bad_berthing_time",)]}
-    tables = {name: state_table(spark, root, name) for name in SPECS}
+    tables = {name: state_table(spark, root, name, parts=2) for name in SPECS}
     time = datetime(2024, 5, 1, 2, 30)
     assert as_tuples(tables["ship_status"].read()) == [("V000010001", "永明", "申請進港", DAY, DAY)]
     assert as_tuples(tables["ship_events"].read().drop("id")) == [
