@@ -19,10 +19,19 @@ BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the package's settings, and with Arrow batches of bounded size: rows may
+    hold long texts, and a Python worker has a batch in memory."""
+    spark = configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    return spark
+
+
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(configure(spark), sf_dir)
+            return build(prepared(spark), sf_dir)
 
         QUERIES[name] = run
         if oracle is not None:

@@ -1,6 +1,6 @@
 """All queries of the subpackage; importing this module fills the registry."""
 
-from quayside.llm import line_windows, mixing, quality_rules, signature_trees, superkmers  # noqa: F401
+from quayside.llm import line_windows, mixing, packing, quality_rules, signature_trees, superkmers  # noqa: F401
 from quayside.llm.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -31,7 +31,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 @cache
-def _byte_values() -> np.ndarray:
+def byte_values() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
 
 
@@ -81,7 +81,7 @@ class Words:
         after[-1:] = False
         ends = np.flatnonzero(held & (~after | new_text[1:])) + 1
         self.first = np.searchsorted(starts, offsets)
-        self.hash = run_hashes(_byte_values()[data], starts, ends)
+        self.hash = run_hashes(byte_values()[data], starts, ends)
         self._data, self._starts, self._ends = data, starts, ends
         self._packed: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
