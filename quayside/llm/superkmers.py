@@ -30,14 +30,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.llm.base import WORD, query, table
+from quayside.llm.base import WORD, query, stored, table
 from quayside.llm.packed import pack, unpack
-from quayside.llm.words import Words, mix, run_hashes, run_starts, shingles, spans, text_slices
+from quayside.llm.words import SLICE_BYTES, Words, mix, run_hashes, run_starts, shingles, spans, text_slices
 
 WINDOW = 35
 SEED_WORDS = 5
 HOT_SHARE = 1000
-BUCKET_BYTES = 24_000_000
+BUCKET_BYTES = 16_000_000
 LEAST_BUCKETS = 64
 COMBINE_BYTES = 4_000_000
 ADDED = ("n_words", "n_removed", "kept_text")
@@ -86,11 +86,17 @@ def _profile(window: int, seed: int):
 
 
 def _digests(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Two hashes of 64 bits of each run of words, as one record."""
-    out = np.empty(len(starts), [("a", np.uint64), ("b", np.uint64)])
-    out["a"] = run_hashes(hashes, starts, ends)
-    out["b"] = run_hashes(mix(hashes ^ np.uint64(0xA0761D6478BD642F)), starts, ends)
-    return out
+    """128 bits for each run of words, as two rows of numbers."""
+    return np.stack([
+        run_hashes(hashes, starts, ends), run_hashes(mix(hashes ^ np.uint64(0xA0761D6478BD642F)), starts, ends)])
+
+
+def _groups(digest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order that puts equal digests together, and where each group of them begins in it."""
+    order = np.lexsort(digest)
+    new = np.ones(len(order), bool)
+    new[1:] = (digest[:, order[1:]] != digest[:, order[:-1]]).any(axis=0)
+    return order, np.flatnonzero(new)
 
 
 _PLACE = np.dtype([("key", np.int64), ("tie", np.int64), ("at", np.int32), ("words", np.int32)])
@@ -112,17 +118,20 @@ def _units(window: int, seed: int, hot: np.ndarray, buckets: int):
                 begin = np.concatenate((starts[runs[~single]], starts[alone]))
                 n_words = np.concatenate((lengths[~single] + window - 1, np.full(len(alone), window)))
                 digest = _digests(words.hash, begin, begin + n_words)
-                minimiser = np.concatenate((least[runs[~single]], digest["a"][len(begin) - len(alone):]))
-                _, which, group, counts = np.unique(digest, return_index=True, return_inverse=True, return_counts=True)
+                minimiser = np.concatenate((least[runs[~single]], digest[0, len(begin) - len(alone):]))
+                order, heads = _groups(digest)
+                counts = np.diff(np.append(heads, len(order)))
+                repeated = np.zeros(len(begin), bool)
+                repeated[order] = np.repeat(counts > 1, counts)
                 text = np.searchsorted(words.first, begin, "right") - 1
                 place = np.empty(len(begin), _PLACE)
                 place["key"] = part.column(0).to_numpy(zero_copy_only=False)[text]
                 place["tie"] = part.column(1).to_numpy(zero_copy_only=False)[text]
                 place["at"] = begin - words.first[text]
                 place["words"] = n_words
-                known = place[counts[group] > 1]
+                known = place[repeated]
                 known_bucket = mix(known["key"].view(np.uint64) ^ known["tie"].view(np.uint64)) % np.uint64(buckets)
-                sent, often = which, counts > 1
+                sent, often = order[heads], counts > 1
                 bucket = mix(minimiser[sent]) % np.uint64(buckets)
                 order, known_order = np.argsort(bucket, kind="stable"), np.argsort(known_bucket, kind="stable")
                 sent, often, bucket = sent[order], often[order], bucket[order]
@@ -147,44 +156,62 @@ RANGES = "key long, tie long, low int, high int"
 
 def _count(window: int):
     """Ranges of words that are covered by windows that occur twice, of one bucket."""
+    def digests(place: np.ndarray, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of all windows of some strings: digest, number of the string, place in it."""
+        words = Words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+        first = np.concatenate(([0], np.cumsum(place["words"])))[:-1]
+        per = place["words"] - window + 1
+        starts, unit = spans(first, per), np.repeat(np.arange(len(place)), per)
+        return _digests(words.hash, starts, starts + window), unit, starts - first[unit]
+
     def run(group: pa.Table) -> pa.Table:
-        places, oftens, texts, known = [], [], [], []
+        places, oftens, parts, found = [], [], [], []
+        units, waiting, texts = 0, [], []
+
+        def flush() -> None:
+            nonlocal units
+            place = np.concatenate(waiting)
+            digest, unit, at = digests(place, b"".join(texts))
+            parts.append((digest, unit + units, at))
+            units += len(place)
+            waiting.clear()
+            texts.clear()
+
         for blob in group.column("blob"):
-            a, b, c, d = unpack(blob.as_py())
-            places.append(np.frombuffer(a, _PLACE))
+            a, b, text, known = unpack(blob.as_py())
+            known = np.frombuffer(known, _PLACE)
+            found.append(np.stack([known["key"], known["tie"], known["at"], known["at"] + known["words"]], 1))
+            place = np.frombuffer(a, _PLACE)
+            if not len(place):
+                continue
+            places.append(place)
             oftens.append(np.frombuffer(b, bool))
-            texts.append(c)
-            known.append(np.frombuffer(d, _PLACE))
-        place, often, known = np.concatenate(places), np.concatenate(oftens), np.concatenate(known)
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        found = [np.stack([known["key"], known["tie"], known["at"], known["at"] + known["words"]], 1)]
-        if len(place):
-            words = Words(data, np.array([0, len(data)]))
-            first = np.concatenate(([0], np.cumsum(place["words"])))
-            per = place["words"] - window + 1
-            starts = spans(first[:-1], per)
-            unit = np.repeat(np.arange(len(place)), per)
-            digest = _digests(words.hash, starts, starts + window)
-            order = np.argsort(digest, order=("a", "b"))
-            same = digest[order][1:] == digest[order][:-1]
+            waiting.append(place)
+            texts.append(text)
+            if sum(map(len, texts)) > SLICE_BYTES:
+                flush()
+        if waiting:
+            flush()
+        if places:
+            place, often = np.concatenate(places), np.concatenate(oftens)
+            digest = np.concatenate([p[0] for p in parts], axis=1)
+            unit, at = (np.concatenate([p[i] for p in parts]) for i in (1, 2))
+            parts.clear()
+            order, heads = _groups(digest)
+            # A string that was repeated within its batch counts twice, and so do its windows;
+            # its own places are known already.
+            times = np.add.reduceat(1 + often[unit[order]].astype(np.int64), heads)
             twice = np.zeros(len(order), bool)
-            twice[order[1:]] |= same
-            twice[order[:-1]] |= same
-            # A string that was repeated within its batch counts twice, and so do its windows,
-            # but its own places are known already.
-            marked = np.unique(digest[often[unit]]) if often.any() else digest[:0]
-            twice |= np.isin(digest["a"], marked["a"]) & np.isin(digest["b"], marked["b"])
-            twice &= ~often[unit]
-            hit = np.flatnonzero(twice)
+            twice[order] = np.repeat(times > 1, np.diff(np.append(heads, len(order))))
+            hit = np.flatnonzero(twice & ~often[unit])
             if len(hit):
                 cut = np.ones(len(hit), bool)
                 cut[1:] = (hit[1:] != hit[:-1] + 1) | (unit[hit[1:]] != unit[hit[:-1]])
                 begin = np.flatnonzero(cut)
                 finish = np.append(begin[1:], len(hit)) - 1
-                of = unit[hit[begin]]
-                low = place["at"][of] + (starts[hit[begin]] - first[of])
-                high = place["at"][of] + (starts[hit[finish]] - first[of]) + window
-                found.append(np.stack([place["key"][of], place["tie"][of], low, high], 1))
+                of = place[unit[hit[begin]]]
+                found.append(np.stack([
+                    of["key"], of["tie"], of["at"] + at[hit[begin]], of["at"] + at[hit[finish]] + window], 1))
         rows = _merged(np.concatenate(found).astype(np.int64))
         return pa.table({
             "key": rows[:, 0], "tie": rows[:, 1],
@@ -243,11 +270,9 @@ def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", wi
         F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("key"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
 
     found = docs.select(F.col(text).alias("text")).mapInArrow(_profile(window, seed), "minimiser long, n long, size long")
-    found = found.groupBy("minimiser").agg(F.sum("n").alias("n"), F.sum("size").alias("size"))
+    found = stored(found.groupBy("minimiser").agg(F.sum("n").alias("n"), F.sum("size").alias("size")), "minimisers")
     # Counts are from below, so there are no more than HOT_SHARE * 2 of them.
-    total = found.select(
-        F.sum(F.when(F.col("minimiser").isNull(), F.col("n"))).alias("n"), F.sum("size").alias("size"))
-    sums = total.first()
+    sums = found.agg(F.sum(F.when(F.col("minimiser").isNull(), F.col("n"))).alias("n"), F.sum("size").alias("size")).first()
     n, size = sums["n"] or 0, sums["size"] or 0
     hot = np.array([r["minimiser"] for r in found.filter(
         F.col("minimiser").isNotNull() & (F.col("n") * 2 * HOT_SHARE >= n) & (F.col("n") > HOT_SHARE)).collect()], np.int64).view(np.uint64)
