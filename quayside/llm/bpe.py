@@ -30,6 +30,18 @@ def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def cut_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the cuts of all texts of a slice begin; the first of a text at its first byte."""
+    cut = np.zeros(len(data) + 1, bool)
+    cut[:-2] = (data[:-1] == 0x20) & ~_NO_CUT[data[1:]]
+    # A space at the end of a text belongs to what is before it.
+    inner = offsets[1:-1]
+    cut[inner[inner > 0] - 1] = False
+    cut[offsets[:-1]] = True
+    cut[len(data)] = False
+    return np.flatnonzero(cut)
+
+
 class Encoder:
     """Encodes slices of texts; keeps up to ``KNOWN_MOST`` cuts with their ids."""
 
@@ -63,23 +75,20 @@ class Encoder:
         if SPECIAL in raw:
             parts = [np.array(self.whole(raw[a:b]), np.uint16) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
-        cut = np.zeros(len(data) + 1, bool)
-        cut[:-2] = (data[:-1] == 0x20) & ~_NO_CUT[data[1:]]
-        # A space at the end of a text belongs to what is before it.
-        inner = offsets[1:-1]
-        cut[inner[inner > 0] - 1] = False
-        cut[offsets[:-1]] = True
-        cut[len(data)] = False
-        starts = np.flatnonzero(cut)
+        starts, place, counts = self.cuts(data, offsets)
+        ids = self._ids[spans(place, counts)]
+        before = np.concatenate(([0], np.cumsum(counts)))
+        return ids, before[np.searchsorted(starts, offsets)]
+
+    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the cuts of texts without ``SPECIAL`` begin, and place and number of each one's ids."""
+        raw, starts = data.tobytes(), cut_starts(data, offsets)
         ends = np.append(starts[1:], len(data))
         hashes = run_hashes(byte_values()[data], starts, ends)
         found, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         self._learn(found, first, starts, ends, raw)
         place = np.searchsorted(self._hash, found)[which]
-        counts = self._count[place]
-        ids = self._ids[spans(self._at[place], counts)]
-        before = np.concatenate(([0], np.cumsum(counts)))
-        return ids, before[np.searchsorted(starts, offsets)]
+        return starts, self._at[place], self._count[place]
 
     def _learn(self, found: np.ndarray, first: np.ndarray, starts: np.ndarray, ends: np.ndarray, raw: bytes) -> None:
         if len(self._hash) > KNOWN_MOST:

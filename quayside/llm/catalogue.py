@@ -1,6 +1,6 @@
 """All queries of the subpackage; importing this module fills the registry."""
 
-from quayside.llm import cover_trees, line_windows, mixing, packing, pu_classifier, quality_rules, signature_trees, superkmers, warc  # noqa: F401
+from quayside.llm import cover_trees, line_windows, mixing, packing, pu_classifier, quality_rules, signature_trees, superkmers, token_trees, warc  # noqa: F401
 from quayside.llm.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
