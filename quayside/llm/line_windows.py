@@ -55,25 +55,25 @@ def without_repeated_windows(docs: DataFrame, text: str = "text", key: str = "do
     marks = (
         later.select("_key", "_tie", F.explode("at").alias("line")).distinct()
         .groupBy("_key", "_tie").agg(F.collect_list("line").alias("_marks")))
-    joined = docs.withColumn("_tie", tie).join(
-        marks.withColumnRenamed("_tie", "_marked"),
-        docs[key].eqNullSafe(F.col("_key")) & (F.col("_tie") == F.col("_marked")), "left")
-    lines = F.split(text, "\n")
+    rows = docs.select(F.struct("*").alias("_row"), F.col(key).alias("_own"), tie.alias("_hash"))
+    joined = rows.join(marks, F.expr("_own <=> _key AND _hash = _tie"), "left")
+    whole = F.col("_row")[text]
+    lines = F.split(whole, "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "_marks")
-    left = F.when(F.col("_marks").isNull(), F.col(text)).otherwise(F.array_join(
+    left = F.when(F.col("_marks").isNull(), whole).otherwise(F.array_join(
         F.element_at(F.transform(F.array(lines), lambda x: F.transform(kept, lambda i: F.get(x, i))), 1), "\n"))
     n_lines = F.coalesce(F.size(F.filter(lines, lambda line: line.rlike(WORD))), F.lit(0))
-    n_lines = F.when(F.col(text).isNull(), F.lit(0)).otherwise(n_lines)
+    n_lines = F.when(whole.isNull(), F.lit(0)).otherwise(n_lines)
     counts = F.struct(
         n_lines.cast("long").alias("n_lines"), F.coalesce(F.array_size("_marks"), F.lit(0)).cast("long").alias("n_removed"))
-    return joined.select(*(left.alias(c) if c == text else docs[c] for c in docs.columns), counts.alias(name))
+    return joined.select(*(left.alias(c) if c == text else F.col("_row")[c].alias(c) for c in docs.columns), counts.alias(name))
 
 
 def deduplicated_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: repeated passages go, and with them documents of which nothing is left."""
-    rows = without_repeated_windows(docs, name="_lines")
-    emptied = (F.col("_lines.n_removed") > 0) & (F.col("_lines.n_removed") == F.col("_lines.n_lines"))
-    return rows.filter(~emptied).select(*docs.columns)
+    rows = without_repeated_windows(docs.select("doc_id", "text", F.struct("*").alias("row")))
+    emptied = (F.col("lines.n_removed") > 0) & (F.col("lines.n_removed") == F.col("lines.n_lines"))
+    return rows.filter(~emptied).select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 _ORACLE = f"""

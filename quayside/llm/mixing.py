@@ -67,7 +67,7 @@ def with_copies(docs: DataFrame, text: str = "text", source: str = "source", key
     """Adds struct ``name``: size, source_size, target, copies, taken."""
     docs = docs.drop(name)
     rows = docs.select(
-        *docs.columns,
+        F.struct("*").alias("_row"), F.col(source).alias("_named"), F.col(key).alias("_key"),
         F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n")).alias("_source"),
         word_count(F.col(text)).alias("_size"),
         (_number(F.coalesce(F.col(key).cast("string"), F.lit("")), 4) % SALTS).alias("_salt"),
@@ -75,7 +75,7 @@ def with_copies(docs: DataFrame, text: str = "text", source: str = "source", key
     ).withColumn("_band", F.floor(F.sqrt(F.col("_size").cast("double"))))
     segment = ["_source", "_band", "_salt"]
 
-    counted = rows.groupBy(*segment).agg(F.count("*").alias("_rows"), F.sum("_size").alias("_words"), F.first(source).alias("source"))
+    counted = rows.groupBy(*segment).agg(F.count("*").alias("_rows"), F.sum("_size").alias("_words"), F.first("_named").alias("source"))
     before = Window.partitionBy("_source").orderBy("_band", "_salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counted.select(*segment, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     sizes = counted.groupBy("_source").agg(F.first("source").alias("source"), F.sum("_words").alias("source_size"))
@@ -85,21 +85,21 @@ def with_copies(docs: DataFrame, text: str = "text", source: str = "source", key
     ).withColumn("_rate", F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))).withColumn("_start", start)
     places = offsets.join(targets, "_source")
 
-    inside = Window.partitionBy(*segment).orderBy("_size", key, "_tie")
+    inside = Window.partitionBy(*segment).orderBy("_size", "_key", "_tie")
     placed = rows.withColumn("_number", F.row_number().over(inside)).join(places, segment)
     last = F.col("_offset") + F.col("_number")
     copies = F.least(
         F.floor(F.col("_rate") * last + F.col("_start")) - F.floor(F.col("_rate") * (last - 1) + F.col("_start")),
         F.ceil("_rate"))
-    return placed.withColumn("_copies", copies).select(*docs.columns, F.struct(
+    return placed.withColumn("_copies", copies).select("_row.*", F.struct(
         F.col("_size").alias("size"), "source_size", "target", F.col("_copies").alias("copies"),
         (F.col("_copies") * F.col("_size")).alias("taken")).alias(name))
 
 
 def mixed(docs: DataFrame, **options: object) -> DataFrame:
     """The mix itself: every document as often as it is taken."""
-    taken = with_copies(docs, name="_mix", **options).filter("_mix.copies > 0")
-    return taken.withColumn("_mix", F.explode(F.sequence(F.lit(1), F.col("_mix.copies")))).drop("_mix")
+    taken = with_copies(docs.select(F.struct("*").alias("row"), "text", "source", "doc_id"), **options).filter("mix.copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix.copies")))).select("row.*")
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

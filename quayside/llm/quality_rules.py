@@ -158,8 +158,9 @@ def with_quality(
     verdict; ``keep`` names the columns still needed then (all, if not given).
     """
     columns = [c for c in (docs.columns if keep is None else keep) if c != name]
-    counted = stored(docs.select(*columns, counts_of(F.col(text)).alias(name)), "quality-counts")
-    flat = counted.select("*", *(F.col(f"{name}.{c}").alias(f"_q_{c}") for c in COUNTS))
+    row = F.struct(*columns).alias("_row") if columns else F.struct(F.lit(1)).alias("_row")
+    counted = stored(docs.select(row, counts_of(F.col(text)).alias("_counts")), "quality-counts")
+    flat = counted.select("_row", *(F.col(f"_counts.{c}").alias(f"_q_{c}") for c in COUNTS))
 
     def over_counts(sql: str) -> Column:
         return F.expr(_prefixed(sql))
@@ -173,7 +174,7 @@ def with_quality(
     quality = F.struct(
         *(F.col(f"_q_{c}").alias(c) for c in COUNTS), votes.alias("votes"), failed.alias("base_failed"),
         posterior.alias("posterior"), (~failed & (posterior >= threshold)).alias("kept"))
-    return voted.withColumn(name, quality).select(*counted.columns)
+    return voted.select(*(F.col("_row")[c].alias(c) for c in columns), quality.alias(name))
 
 
 def _prefixed(sql: str) -> str:
@@ -188,7 +189,8 @@ def _renamed_posterior(model: Model) -> Column:
 
 def kept_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the rules reject go."""
-    return with_quality(docs, name="_quality").filter("_quality.kept").select(*docs.columns)
+    rows = with_quality(docs.select("text", F.struct("*").alias("row")), keep=("row",))
+    return rows.filter("quality.kept").select("row.*")
 
 
 def _oracle() -> str:

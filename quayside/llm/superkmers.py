@@ -63,7 +63,7 @@ def _minimisers(words: Words, window: int, seed: int) -> tuple[np.ndarray, np.nd
     return least, starts, np.flatnonzero(new)
 
 
-def _profile(window: int, seed: int):
+def _profile(window: int, seed: int, hot_share: int):
     """Per batch: number of super-k-mers, their bytes, and the minimisers frequent in it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,7 +73,7 @@ def _profile(window: int, seed: int):
                 if not len(runs):
                     continue
                 values, counts = np.unique(least[runs], return_counts=True)
-                often = counts * 2 * HOT_SHARE >= len(runs)
+                often = counts * 2 * hot_share >= len(runs)
                 often &= counts > 1
                 values, counts = values[often], counts[often]
                 n_words = len(starts) + len(runs) * (window - 1)
@@ -262,20 +262,21 @@ def _cut(names: list[str], text: str):
     return run
 
 
-def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW, seed: int = SEED_WORDS) -> DataFrame:
+def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW, seed: int = SEED_WORDS,
+                    hot_share: int = HOT_SHARE) -> DataFrame:
     """``docs`` (the text as bytes under ``text``) with ``n_words``, ``n_removed`` and ``kept_text``,
     the UTF-8 form of the words that stay, joined by single spaces."""
     docs = docs.drop(*ADDED).withColumn(text, F.col(text).cast("binary"))
     texts = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("key"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
 
-    found = docs.select(F.col(text).alias("text")).mapInArrow(_profile(window, seed), "minimiser long, n long, size long")
+    found = docs.select(F.col(text).alias("text")).mapInArrow(_profile(window, seed, hot_share), "minimiser long, n long, size long")
     found = stored(found.groupBy("minimiser").agg(F.sum("n").alias("n"), F.sum("size").alias("size")), "minimisers")
-    # Counts are from below, so there are no more than HOT_SHARE * 2 of them.
+    # Counts are from below, so there are no more than 2 * hot_share of them.
     sums = found.agg(F.sum(F.when(F.col("minimiser").isNull(), F.col("n"))).alias("n"), F.sum("size").alias("size")).first()
     n, size = sums["n"] or 0, sums["size"] or 0
     hot = np.array([r["minimiser"] for r in found.filter(
-        F.col("minimiser").isNotNull() & (F.col("n") * 2 * HOT_SHARE >= n) & (F.col("n") > HOT_SHARE)).collect()], np.int64).view(np.uint64)
+        F.col("minimiser").isNotNull() & (F.col("n") * 2 * hot_share >= n) & (F.col("n") > hot_share)).collect()], np.int64).view(np.uint64)
     buckets = max(LEAST_BUCKETS, size // BUCKET_BYTES)
 
     blobs = texts.mapInArrow(_units(window, seed, hot, buckets), "bucket long, blob binary")

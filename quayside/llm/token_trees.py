@@ -130,11 +130,11 @@ def _trees(ranks_path: str):
                 else:
                     # Such texts are one leaf each.
                     starts = offsets[:-1][np.diff(offsets) > 0]
-                    bounds = zip(starts, np.append(starts[1:], len(data)), strict=True)
+                    bounds = zip(starts, np.append(starts, len(data))[1:], strict=True)
                     counts = np.array([len(encoder.whole(data[a:b].tobytes())) for a, b in bounds], np.int64)
                 first = np.searchsorted(starts, offsets)
                 later = np.concatenate(([0], np.cumsum(_LATER_BYTES[data])))
-                ends = np.append(starts[1:], len(data))
+                ends = np.append(starts, len(data))[1:]
                 for a, b in zip(first[:-1], first[1:], strict=True):
                     cuts = np.arange(a, b, LEAF_CUTS)
                     if not len(cuts):

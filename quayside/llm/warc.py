@@ -41,6 +41,7 @@ LEVEL = 4
 RECORD_ID = "urn:x-page:"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAGIC, VERSION = b"\x1f\x8b\x08", b"WARC/1."
+_MUST = {"warc-type", "warc-record-id", "warc-date"}
 _EMPTY_MEMBER = zlib.compressobj(9, wbits=31).flush()
 _START = re.compile(rb"\x1f\x8b\x08|(?:(?<=\n)|\A)WARC/1\.")
 _HEAD = re.compile(rb"WARC/1\.\d\r\n((?:[!-9;-~]+:[^\r\n]*\r\n)+)\r\n")
@@ -138,7 +139,7 @@ def _parsed(data: bytes | memoryview, start: int) -> tuple[dict[str, str], bytes
     for line in head[1].decode("utf-8", "replace").split("\r\n")[:-1]:
         name, _, value = line.partition(":")
         fields.setdefault(name.lower(), value.strip())
-    if not re.fullmatch(r"\d{1,18}", fields.get("content-length", "")) or "warc-type" not in fields:
+    if not re.fullmatch(r"\d{1,18}", fields.get("content-length", "")) or not _MUST <= fields.keys():
         raise ValueError("bad header")
     end = head.end() + int(fields["content-length"])
     if bytes(data[end: end + 4]) != b"\r\n\r\n":
