@@ -2,8 +2,9 @@
 
 A group is cut into segments that follow its sort order (for times: hours). Windows run
 inside a segment; only one summary row per segment is ordered over the whole group. The
-caller names the segment column: its values must rise along the order, and a row's segment
-must depend on the row alone, so that a rerun task cuts the group at the same places.
+caller names the segment column: its values must rise along the order (NULL is the last segment),
+and a row's segment must depend on the row alone, so that a rerun task cuts the group at the same
+places. NULL keys make a group like others.
 """
 
 from __future__ import annotations
@@ -26,19 +27,27 @@ def _sort_struct(order: Sequence[str]) -> list[Column]:
     return fields
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join in which NULL keys meet; the keys of ``left`` stay."""
+    renamed = right.withColumnsRenamed({name: f"_key_{name}" for name in keys})
+    condition = F.lit(True)
+    for name in keys:
+        condition &= left[name].eqNullSafe(renamed[f"_key_{name}"])
+    return left.join(renamed, condition).drop(*(f"_key_{name}" for name in keys))
+
+
 def with_position(
     df: DataFrame, keys: Sequence[str], segment: str, order: Sequence[str], name: str = "position"
 ) -> DataFrame:
     """Row number within ``keys`` along ``order`` (NULLs last)."""
     inside = Window.partitionBy(*keys, segment).orderBy(*_nulls_last(order))
-    before = Window.partitionBy(*keys).orderBy(segment).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy(F.asc_nulls_last(segment)).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         df.groupBy(*keys, segment).agg(F.count("*").alias("_rows"))
         .select(*keys, segment, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
     return (
-        df.withColumn("_local", F.row_number().over(inside))
-        .join(offsets, [*keys, segment])
+        _join_null_safe(df.withColumn("_local", F.row_number().over(inside)), offsets, [*keys, segment])
         .withColumn(name, F.col("_local") + F.col("_offset"))
         .drop("_local", "_offset")
     )
@@ -64,12 +73,12 @@ def with_next(
         F.min(F.struct(*_sort_struct(order), F.struct(*values).alias("row"))).alias("_head"),
         F.max(wanted).alias("_wanted"),
     )
-    along = Window.partitionBy(*keys).orderBy(segment)
+    along = Window.partitionBy(*keys).orderBy(F.asc_nulls_last(segment))
     # Every segment has a say in who follows, so the wanted ones are picked after the window.
     following = heads.select(*group, "_wanted", F.lead("_head.row").over(along).alias("_far")).filter("_wanted")
     inside = Window.partitionBy(*group).orderBy(*_nulls_last(order))
     return (
-        df.join(following, group)
+        _join_null_safe(df, following, group)
         .withColumn("_near", F.lead(F.struct(*values)).over(inside))
         .filter(wanted)
         .withColumn(name, F.coalesce("_near", "_far"))

@@ -28,13 +28,12 @@ def stakeholder_conditions(ship_name: Column, port_agent: Column, berth: Column)
 
 
 def with_rule(alerts: DataFrame, rule_table: DataFrame) -> DataFrame:
-    """Alerts whose event has a rule, with its ``stakeholders``. The rules are a fixed
-    table of a few dozen rows, so they are broadcast."""
-    return alerts.join(F.broadcast(rule_table), "event_name")
+    """Alerts whose event has a rule, with its ``stakeholders``."""
+    return alerts.join(rule_table, "event_name")
 
 
 def without_rule(alerts: DataFrame, rule_table: DataFrame) -> DataFrame:
-    return alerts.join(F.broadcast(rule_table), "event_name", "left_anti")
+    return alerts.join(rule_table, "event_name", "left_anti")
 
 
 def with_recipients(ruled: DataFrame) -> DataFrame:
@@ -53,9 +52,8 @@ def with_recipients(ruled: DataFrame) -> DataFrame:
 
 
 def with_channel(routed: DataFrame, channels: DataFrame) -> DataFrame:
-    """Adds delivery ``status`` per (alert, stakeholder) row; one row per stakeholder name
-    in ``channels``, so that table too has a fixed small size. Rows for the master group
-    only exist if it can be reached."""
+    """Adds delivery ``status`` per (alert, stakeholder) row; ``channels`` has one row per
+    stakeholder name. Rows for the master group only exist if it can be reached."""
     reachable = F.coalesce("configured", F.lit(False)) | (F.col("stakeholder") == rules.MASTER_GROUP)
     status = F.when(reachable, "queued").otherwise("no_token")
-    return routed.join(F.broadcast(channels), "stakeholder", "left").withColumn("status", status).drop("configured")
+    return routed.join(channels, "stakeholder", "left").withColumn("status", status).drop("configured")

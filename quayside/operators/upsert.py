@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quayside import schemas
 from quayside.operators.changes import any_of, differs_null_safe, differs_plain
+from quayside.operators.latest import keep_last
 
 REPLACE, COALESCE = "replace", "coalesce"
 INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
@@ -29,7 +30,7 @@ class UpsertSpec:
     ``null_safe``: whether NULL against a value is a difference.
     ``merge``: write the new values, or keep stored ones where the new are NULL.
     ``stamped``: whether the table has ``created_at`` and ``updated_at``.
-    ``unique_batch``: the batch has each key once, so nothing is to be folded.
+    ``last_only``: of a batch, which is one crawl, only the last row of a key counts.
     """
 
     table: str
@@ -39,7 +40,7 @@ class UpsertSpec:
     null_safe: bool = True
     merge: str = REPLACE
     stamped: bool = True
-    unique_batch: bool = False
+    last_only: bool = False
 
     def variant(self, **changes: object) -> UpsertSpec:
         return replace(self, **changes)
@@ -56,7 +57,7 @@ SPECS = {
         UpsertSpec("ship_berth_order", schemas.KEYS["ship_berth_order"],
                    ("berthing_time", "pilotage_time", "ship_name_english", "port_agent"),
                    ("berthing_time", "pilotage_time", "ship_name_english", "port_agent"),
-                   null_safe=False, unique_batch=True),
+                   null_safe=False, last_only=True),
         UpsertSpec("ship_voyage", schemas.KEYS["ship_voyage"],
                    ("pass_10_miles_time", "pass_5_miles_time"), ("pass_10_miles_time", "pass_5_miles_time"),
                    merge=COALESCE),
@@ -183,23 +184,27 @@ def upsert(
 ) -> DataFrame:
     """The table after ``batch``, with ``change_type`` ∈ insert / update / unchanged per row.
 
-    Filter on ``change_type`` for the change feed; drop it for the new state.
+    Filter on ``change_type`` for the change feed; drop it for the new state. A key is in the
+    result once, however often it is in the batch. If ``state`` is itself the result of an upsert,
+    with its ``change_type``, the types of both add up.
     """
-    single = spec.unique_batch
+    single = spec.last_only
     if single:
-        summary = batch.select(*spec.keys, *(F.col(c).alias(f"_new_{c}") for c in spec.payload))
+        last = keep_last(batch.select(*spec.keys, arrival, *spec.payload), spec.keys, arrival)
+        summary = last.select(*spec.keys, *(F.col(c).alias(f"_new_{c}") for c in spec.payload))
     elif spec.merge == COALESCE:
         if not spec.null_safe:
             raise ValueError("repeated keys under coalesce need the null-safe comparison")
         summary = _fold_coalesce(batch, spec, arrival)
     elif len(spec.watched) > 1 and not spec.null_safe:
-        raise ValueError("several plainly compared columns need a batch with unique keys")
+        raise ValueError("several plainly compared columns need a batch of which the last row counts")
     else:
         summary = fold_runs(batch, spec, arrival, segment_rows)
 
     stamps = ("created_at", "updated_at") if spec.stamped else ()
     stored_rows = state.select(
-        *spec.keys, *(F.col(c).alias(f"_old_{c}") for c in (*spec.payload, *stamps)), F.lit(True).alias("_stored"))
+        *spec.keys, *(F.col(c).alias(f"_old_{c}") for c in (*spec.payload, *stamps)), F.lit(True).alias("_stored"),
+        (F.col("change_type") if "change_type" in state.columns else F.lit(UNCHANGED)).alias("_before"))
     joined = stored_rows.join(summary.withColumn("_arrived", F.lit(True)), list(spec.keys), "full_outer")
 
     old = {name: F.col(f"_old_{name}") for name in spec.payload}
@@ -211,17 +216,15 @@ def upsert(
     else:
         fired, values = _run_result(spec, old, stored)
 
-    kind = (
-        F.when(~stored, INSERT).when(arrived & F.coalesce(fired, F.lit(False)), UPDATE).otherwise(UNCHANGED)
-    )
-    written = F.col("change_type") != UNCHANGED
-    columns = [F.when(written, values[name]).otherwise(old[name]).alias(name) for name in spec.payload]
+    written = ~stored | (arrived & F.coalesce(fired, F.lit(False)))
+    kind = F.when(~stored | (F.col("_before") == INSERT), INSERT).when(written, UPDATE).otherwise(F.col("_before"))
+    columns = [F.when(F.col("_written"), values[name]).otherwise(old[name]).alias(name) for name in spec.payload]
     if spec.stamped:
         columns += [
-            F.when(F.col("change_type") == INSERT, as_of).otherwise(F.col("_old_created_at")).alias("created_at"),
-            F.when(written, as_of).otherwise(F.col("_old_updated_at")).alias("updated_at"),
+            F.when(stored, F.col("_old_created_at")).otherwise(as_of).alias("created_at"),
+            F.when(F.col("_written"), as_of).otherwise(F.col("_old_updated_at")).alias("updated_at"),
         ]
-    return joined.withColumn("change_type", kind).select(*spec.keys, *columns, "change_type")
+    return joined.withColumn("_written", written).withColumn("change_type", kind).select(*spec.keys, *columns, "change_type")
 
 
 def state_of(merged: DataFrame) -> DataFrame:

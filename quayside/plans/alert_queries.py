@@ -300,7 +300,7 @@ def route_stakeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
     routed = _routed(spark, sf_dir)
     rule = rules.rule_table(spark).withColumnRenamed("stakeholders", "listed")
     return (
-        routed.join(F.broadcast(rule), "event_name")
+        routed.join(rule, "event_name")
         .select("ship_voyage_number", "event_name", "listed", F.explode("stakeholders").alias("stakeholder"))
         .withColumn("position", F.array_position("listed", F.col("stakeholder")))
         .drop("listed")

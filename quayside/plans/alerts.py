@@ -30,11 +30,14 @@ def cutoff_of(as_of: Column, seconds: int) -> Column:
     return as_of - F.make_dt_interval(secs=F.lit(seconds))
 
 
-def revised_times(events: DataFrame) -> DataFrame:
-    """Latest announced arrival (``eta``) and departure (``etd``) per voyage.
+def revised_times(events: DataFrame, voyages: DataFrame | None = None) -> DataFrame:
+    """Latest announced arrival (``eta``) and departure (``etd``) per voyage, of all or of ``voyages``.
 
-    Both come from one aggregation, which reads only the two kinds of revision.
+    Both come from one aggregation, which reads only the two kinds of revision. Voyages that are
+    asked for are few as a rule; Spark picks how to keep only their revisions, by their size.
     """
+    if voyages is not None:
+        events = events.join(voyages.select(KEY), KEY, "left_semi")
     report = F.struct("event_time", "event_content_time")
 
     def latest(kind: str) -> Column:
@@ -70,10 +73,12 @@ def latest_status(
     """Recently changed ships with their latest event(s), ETA, ETD and mile passages.
 
     Only events since ``cutoff`` are ranked: the newest event of a voyage is reported only
-    if it is that recent, and then it is also the newest of the recent ones.
+    if it is that recent, and then it is also the newest of the recent ones. They are taken from
+    ``recent_events`` if given. Of the revisions only those of the reported voyages are aggregated.
     """
+    recent = events if recent_events is None else recent_events
     latest = newest_with_ties(
-        events.filter(F.col("event_time") >= cutoff).select(
+        recent.filter(F.col("event_time") >= cutoff).select(
             KEY, "event_time", "event_name", "navigation_status", "event_content_time", "event_source"),
         KEY, "event_time",
     ).select(
@@ -84,10 +89,9 @@ def latest_status(
         F.col("event_content_time").alias("latest_event_content_time"),
         F.col("event_source").alias("latest_event_source"),
     )
+    reported = recent_candidates(status, voyage, cutoff).join(latest, KEY)
     return (
-        recent_candidates(status, voyage, cutoff)
-        .join(latest, KEY)
-        .join(revised_times(events), KEY, "left")
+        reported.join(revised_times(events, reported), KEY, "left")
         .select(
             "ship_name", KEY, "eta", "etd", "latest_event_name", "latest_event_time", "navigation_status",
             "latest_event_content_time", "latest_event_source", "updated_at", "pass_10_miles_time",
@@ -157,7 +161,7 @@ def alert_rejects(alerts: DataFrame, rule_table: DataFrame) -> DataFrame:
     read an agent that is missing."""
     has_rule = rule_table.select("event_name", F.lit(True).alias("_ruled"))
     checked = quality.with_reasons(
-        alerts.join(F.broadcast(has_rule), "event_name", "left"),
+        alerts.join(has_rule, "event_name", "left"),
         {
             "null_ship_name": F.col("ship_name").isNull(),
             "null_agent": F.col("port_agent").isNull() & F.col("_ruled"),

@@ -55,10 +55,9 @@ def moved_ahead(berths: DataFrame, cutoff: Column) -> DataFrame:
 def berth_alerts(berths: DataFrame, status: DataFrame, events: DataFrame, cutoff: Column) -> DataFrame:
     """Alert rows for every voyage of the ship behind one that moved."""
     berthed = F.col("berthing_time").isNotNull()
+    moved = moved_ahead(berths, cutoff).join(status.select("ship_name", KEY), "ship_name")
     return (
-        moved_ahead(berths, cutoff)
-        .join(status.select("ship_name", KEY), "ship_name")
-        .join(revised_times(events), KEY, "left")
+        moved.join(revised_times(events, moved), KEY, "left")
         .select(
             F.lit(rules.BERTH_FORMAT).alias("message_format"),
             "ship_name",

@@ -28,7 +28,7 @@ class _CellReader(HTMLParser):
 
     def __init__(self, grid: str) -> None:
         super().__init__(convert_charrefs=True)
-        self.pattern = re.compile(re.escape(grid) + r"([0-9]+)_([0-9]+)")
+        self.pattern = re.compile(re.escape(grid) + r"(0|[1-9][0-9]*)_(0|[1-9][0-9]*)")
         self.open: list[tuple[str, dict | None]] = []
         self.cells: list[dict] = []
         self.piece: list[str] = []

@@ -13,14 +13,19 @@ def export_folder(stem: str, table: str) -> str:
     return f"{stem.removesuffix('.csv')}{EXPORT_SUFFIXES[table]}.csv"
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """Header, no index, earlier export replaced. A folder of files, one per task."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+def export_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
+    """Header, no index, earlier export replaced, blanks kept. A folder of files of bounded size:
+    read back, a file is one task, as a text may hold a line break."""
+    options = {
+        "header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+        "maxRecordsPerFile": rows_per_file}
+    df.write.mode("overwrite").options(**options).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """An export read back: a quoted empty text is empty, an unquoted one is NULL."""
-    options = {"header": True, "escape": '"', "multiLine": True, "nullValue": "\0"}
+    options = {"header": True, "escape": '"', "multiLine": True, "nullValue": "\0",
+               "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     return spark.read.schema(schema).options(**options).csv(path)
 
 

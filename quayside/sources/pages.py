@@ -41,6 +41,7 @@ _BROKEN_TAG = r"<[a-zA-Z/!?][^<>]*+(?:<|$)"
 _UNSEEN = r"(?s)<(?:!--.*?--|(?i:script)\b.*?</(?i:script)\s*|(?i:style)\b.*?</(?i:style)\s*)>"
 # What stands for a removed comment: it ends a piece of text like any tag, but shows nothing.
 _BREAK = "<wbr>"
+_NUMBER = "(?:0|[1-9][0-9]*+)"
 _ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
 _RARE_ENTITY = r"&(?!(?:amp|lt|gt|quot|apos|nbsp|#39);)[#a-zA-Z]"
 
@@ -81,7 +82,8 @@ def _repaired(html: Column, grid: str) -> Column:
 def grid_cells(pages: DataFrame, grid: str) -> DataFrame:
     """``crawl_id, page_no, position, row, col, text, icon``; a page without cells gives one
     row with NULL cells, so that its crawl is not forgotten."""
-    named = rf"""(?i:\sid)\s*=\s*["']?{grid}\d+_\d+["']?(?=[\s/>])"""
+    # Only the exact text of an id names a cell, so numbers have no leading zeros.
+    named = rf"""(?i:\sid)\s*=\s*["']?{grid}{_NUMBER}_{_NUMBER}["']?(?=[\s/>])"""
     whole = rf"(?s)<([a-zA-Z][a-zA-Z0-9]*)\b[^<>]*?{named}{_ATTRIBUTES}>.*?</\1\s*>"
     page = F.col("_page")
     mentions = (F.char_length(page) - F.char_length(F.replace(page, F.lit(grid), F.lit("")))) / len(grid)
@@ -105,8 +107,8 @@ def grid_cells(pages: DataFrame, grid: str) -> DataFrame:
         .select(
             "crawl_id", "page_no", F.posexplode_outer(F.coalesce("_repaired", "_found")).alias("position", "_cell"))
     )
-    # Long enough for any two numbers, and much shorter than many a cell.
-    number = F.substring("_cell", F.instr("_cell", grid) + len(grid), F.lit(40))
+    number = F.substring("_cell", F.instr("_cell", grid) + len(grid), F.lit(2**30))
+    number = F.regexp_extract(number, r"^\d+_\d+", 0)
     body = F.col("_body")
     image = F.when(
         F.lower(body).contains("<img"), F.regexp_extract(body, r"(?is)<img\b[^<>]*>", 0))
@@ -114,8 +116,9 @@ def grid_cells(pages: DataFrame, grid: str) -> DataFrame:
         cut.withColumn("_body", F.regexp_extract("_cell", rf"(?s)^<{_ATTRIBUTES}>(.*)</", 1))
         .select(
             "crawl_id", "page_no", "position",
-            F.substring_index(number, "_", 1).cast("bigint").alias("row"),
-            F.regexp_extract(number, r"^\d+_(\d+)", 1).cast("int").alias("col"),
+            # A number too big for its type is beyond any grid, which has no gaps before it.
+            F.substring_index(number, "_", 1).try_cast("bigint").alias("row"),
+            F.substring_index(number, "_", -1).try_cast("int").alias("col"),
             node_text(body).alias("text"),
             F.regexp_extract(image, r"""(?is)\ssrc\s*=\s*["']?([^"'\s>]*)""", 1).alias("icon"),
         )

@@ -1,8 +1,8 @@
 """Stored tables as versioned parquet, updated by upserts.
 
-A table is split into parts, by event day or by a hash of the key. An upsert reads and
-rewrites only the parts its batch touches and then publishes a list of which version holds
-each part. The two newest lists are kept, each in its own place, and the older one is written
+A table is split into parts, by event day or by a hash of the key. An upsert reads only the
+parts its batch touches, rewrites only those in which a row changes, and then publishes a list of
+which version holds each part. The two newest lists are kept, each in its own place, and the older one is written
 over: a reader always finds a whole list, and however long the table is kept, there is little
 to read. Applying the newest version again starts from the version before it and replaces
 what the first attempt left.
@@ -10,19 +10,27 @@ what the first attempt left.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.operators.upsert import UpsertSpec, changes_of, spec_for, upsert
+from quayside.operators.upsert import UNCHANGED, UpsertSpec, changes_of, spec_for, upsert
 from quayside.schemas import TABLES
+from quayside.session import scratch_folder
 
+# Crawls of one batch that are folded in one plan; of more, the rows in between are written.
+CRAWLS_PER_PLAN = 8
 LIST = "version bigint, part string, held_by bigint"
 
 
 class StateTable:
-    def __init__(self, spark: SparkSession, root: str, spec: UpsertSpec, parts: int = 64) -> None:
+    def __init__(
+        self, spark: SparkSession, root: str, spec: UpsertSpec, parts: int = 64, parts_per_day: int = 1
+    ) -> None:
+        self.parts_per_day = parts_per_day
         self.spark = spark
         self.root = root.rstrip("/")
         self.spec = spec
@@ -32,7 +40,11 @@ class StateTable:
 
     def _part(self) -> Column:
         if self.spec.table == "ship_events":
-            return F.date_format("event_time", "yyyy-MM-dd")
+            day = F.date_format("event_time", "yyyy-MM-dd")
+            if self.parts_per_day == 1:
+                return day
+            share = F.pmod(F.xxhash64(*self.spec.keys), F.lit(self.parts_per_day))
+            return F.concat_ws("_", day, share.cast("string"))
         return F.pmod(F.xxhash64(*self.spec.keys), F.lit(self.parts)).cast("string")
 
     def _lists(self) -> dict[int, dict[str, tuple[int, int]]]:
@@ -90,28 +102,58 @@ class StateTable:
         """Change feed of one version, as long as its data is kept."""
         if version > max(self._lists(), default=-1):
             raise ValueError(f"version {version} of {self.root} is not published")
-        return changes_of(self.spark.read.schema(self.schema).parquet(f"{self.root}/data/version={version}"))
-
-    def apply(self, batch: DataFrame, version: int, as_of: Column, arrival: str = "seq") -> None:
-        """Upserts ``batch`` and publishes the result as ``version``."""
+        folder = f"{self.root}/data/version={version}"
+        return changes_of(self.spark.read.schema(self.schema).parquet(folder))
+
+    def apply(
+        self, batch: DataFrame, version: int, as_of: Column | Callable[[int], Column], arrival: str = "seq",
+        crawl: str | None = None,
+    ) -> None:
+        """Upserts ``batch`` and publishes the result as ``version``.
+
+        With ``crawl``, the batch holds several crawls, numbered in that column. They are
+        taken in one after the other, and ``as_of`` gives the time to stamp from the number.
+        """
         held, place = self._base(version)
         batch = batch.withColumn("_part", self._part()).persist()
+        merged = None
         try:
             touched = {row["_part"] for row in batch.select("_part").distinct().collect()}
-            stored = self._rows({p: v for p, v in held.items() if p in touched})
-            merged = upsert(stored, batch, self.spec, as_of, arrival).withColumn("part", self._part())
+            merged = self._rows({p: v for p, v in held.items() if p in touched}).drop("change_type")
+            if crawl is None:
+                merged = upsert(merged, batch, self.spec, as_of, arrival)
+            else:
+                numbers = sorted(row[crawl] for row in batch.select(crawl).distinct().collect())
+                for done, number in enumerate(numbers):
+                    merged = upsert(merged, batch.filter(F.col(crawl) == number), self.spec, as_of(number), arrival)
+                    if done % CRAWLS_PER_PLAN == CRAWLS_PER_PLAN - 1:
+                        merged = self._written(merged, "between-crawls")
+            if "change_type" not in merged.columns:
+                merged = merged.withColumn("change_type", F.lit(UNCHANGED))
+            merged = merged.withColumn("part", self._part()).persist()
+            changed = {row["part"] for row in changes_of(merged).select("part").distinct().collect()}
             # Rebalancing gathers each part in few files, and splits a part too big for one.
             (
-                merged.select("part", *self.schema.names).hint("rebalance", F.col("part"))
+                merged.filter(F.col("part").isin(changed)).select("part", *self.schema.names)
+                .hint("rebalance", F.col("part"))
                 .write.mode("overwrite").partitionBy("part").parquet(f"{self.root}/data/version={version}")
             )
         finally:
             batch.unpersist()
-        rows = [(version, p, v) for p, v in {**held, **dict.fromkeys(touched, version)}.items()]
+            if merged is not None:
+                merged.unpersist()
+        rows = [(version, p, v) for p, v in {**held, **dict.fromkeys(changed, version)}.items()]
         self.spark.createDataFrame(rows, LIST).coalesce(1).write.mode("overwrite").json(
             f"{self.root}/published/{place}")
 
+    def _written(self, rows: DataFrame, name: str) -> DataFrame:
+        """The same rows read from a folder, so that the plan does not grow with every crawl."""
+        path = scratch_folder(self.spark, name)
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
 
-def state_table(spark: SparkSession, root: str, table: str, parts: int = 64) -> StateTable:
-    """The stored table of that name; an unknown name is refused."""
-    return StateTable(spark, f"{root.rstrip('/')}/{table}", spec_for(table), parts)
+def state_table(spark: SparkSession, root: str, table: str, parts: int = 64, parts_per_day: int = 1) -> StateTable:
+    """The stored table of that name; an unknown name is refused. Days of events are split into
+    ``parts_per_day``, the other tables into ``parts``; both stay the same for a table's life."""
+    return StateTable(spark, f"{root.rstrip('/')}/{table}", spec_for(table), parts, parts_per_day)

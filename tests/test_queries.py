@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 from check import rows
+from quayside.plans.catalogue import ORACLES, QUERIES
 
 SF_DIR = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="the provided tables are not here")
@@ -22,16 +23,18 @@ def oracle():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, oracle, name):
-    got = entry_point.queries()[name](spark, str(SF_DIR)).toPandas()
-    want = oracle.sql(entry_point.oracle_sql()[name]).df()
+    got = QUERIES[name](spark, str(SF_DIR)).toPandas()
+    want = oracle.sql(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert rows(got) == rows(want)
 
 
-def test_every_oracle_has_a_query():
-    assert set(entry_point.oracle_sql()) == set(entry_point.queries())
+def test_every_query_has_an_oracle():
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 def test_entry(spark):

@@ -115,8 +115,8 @@ def test_unknown_table_is_refused():
 def test_unfoldable_combinations_are_refused(spark):
     state = frame(spark, [], SPECS["ship_berth_order"], ("created_at", "updated_at"))
     batch = frame(spark, [], SPECS["ship_berth_order"], ("seq",))
-    with pytest.raises(ValueError, match="unique keys"):
-        upsert(state, batch, SPECS["ship_berth_order"].variant(unique_batch=False), F.current_timestamp())
+    with pytest.raises(ValueError, match="last row counts"):
+        upsert(state, batch, SPECS["ship_berth_order"].variant(last_only=False), F.current_timestamp())
     with pytest.raises(ValueError, match="null-safe"):
         upsert(state, batch, SPECS["ship_berth_order"].variant(
-            unique_batch=False, merge=COALESCE), F.current_timestamp())
+            last_only=False, merge=COALESCE), F.current_timestamp())
