@@ -15,6 +15,7 @@ from quayside.plans import alerts as A
 from quayside.plans import berths as B
 from quayside.plans import delivery as D
 from quayside.plans.registry import query
+from quayside.session import scratch_folder
 from quayside.sources.testdata import AS_OF, CUTOFF, LOOK_BACK_HOURS, oracle_with, project
 
 # Everyone but the tug crews has a channel in these queries.
@@ -32,20 +33,20 @@ _REVISED = f"""
     etd AS (SELECT ship_voyage_number, event_content_time AS etd FROM revisions
         WHERE rn = 1 AND event_name = '{rules.ETD_REVISION}')"""
 _LATEST = f"""{_REVISED},
-    ranked AS (
-        SELECT *, rank() OVER (PARTITION BY ship_voyage_number ORDER BY event_time DESC) AS rk FROM fx_events),
+    candidates AS (
+        SELECT status.ship_name, ship_voyage_number, status.updated_at, voyage.updated_at AS ship_voyage_updated_at,
+            voyage.pass_10_miles_time, voyage.pass_5_miles_time
+        FROM fx_status status LEFT JOIN fx_voyage voyage USING (ship_voyage_number)
+        WHERE greatest(status.updated_at, coalesce(voyage.updated_at, status.updated_at)) >= {_CUT}),
+    newest AS (
+        SELECT ship_voyage_number, max(event_time) AS event_time FROM fx_events GROUP BY ship_voyage_number
+        HAVING max(event_time) >= {_CUT}),
     latest AS (
-        SELECT ss.ship_name, ss.ship_voyage_number, eta.eta, etd.etd,
-            le.event_name AS latest_event_name, le.event_time AS latest_event_time,
-            le.navigation_status, le.event_content_time AS latest_event_content_time,
-            le.event_source AS latest_event_source, ss.updated_at,
-            sv.pass_10_miles_time, sv.pass_5_miles_time, sv.updated_at AS ship_voyage_updated_at
-        FROM fx_status ss
-        LEFT JOIN eta ON eta.ship_voyage_number = ss.ship_voyage_number
-        LEFT JOIN etd ON etd.ship_voyage_number = ss.ship_voyage_number
-        LEFT JOIN ranked le ON le.ship_voyage_number = ss.ship_voyage_number AND le.rk = 1
-        LEFT JOIN fx_voyage sv ON sv.ship_voyage_number = ss.ship_voyage_number
-        WHERE (ss.updated_at >= {_CUT} OR sv.updated_at >= {_CUT}) AND le.event_time >= {_CUT})"""
+        SELECT candidates.*, eta, etd, event_name AS latest_event_name, event_time AS latest_event_time,
+            navigation_status, event_content_time AS latest_event_content_time, event_source AS latest_event_source
+        FROM candidates JOIN newest USING (ship_voyage_number)
+        JOIN fx_events USING (ship_voyage_number, event_time)
+        LEFT JOIN eta USING (ship_voyage_number) LEFT JOIN etd USING (ship_voyage_number))"""
 _SUFFIXED = ", ".join(map(rules.sql_text, rules.SUFFIXED_EVENTS))
 _ALERTS = f"""{_LATEST},
     chosen AS (
@@ -341,6 +342,22 @@ def poll_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
         _tables(spark, sf_dir), rules.rule_table(spark), rules.channel_table(spark, CHANNELS), A.moment(CUTOFF))
 
 
+@query("poll_rejects", f"""{_ALL}, {_ENRICHED}
+    SELECT ship_voyage_number, event_name, CASE
+        WHEN event_name NOT IN ({', '.join(map(rules.sql_text, rules.RECIPIENTS))}) THEN 'no_rule'
+        WHEN ship_name IS NULL THEN 'null_ship_name' ELSE 'null_agent' END AS reason
+    FROM enriched
+    WHERE event_name NOT IN ({', '.join(map(rules.sql_text, rules.RECIPIENTS))}) OR ship_name IS NULL OR port_agent IS NULL""")
+def poll_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stored poll did not deliver, with the reason."""
+    poll = D.run_poll(
+        _tables(spark, sf_dir), rules.rule_table(spark), rules.channel_table(spark, CHANNELS), A.moment(CUTOFF),
+        scratch_folder(spark, "poll"))
+    columns = ["ship_voyage_number", "event_name", "reason"]
+    return poll.rejects.withColumnRenamed("reject_reason", "reason").select(*columns).union(
+        poll.non_target.withColumn("reason", F.lit("no_rule")).select(*columns))
+
+
 @query("non_target_events", f"""{_ALL}, {_ENRICHED}
     SELECT ship_voyage_number, ship_name, event_name FROM enriched
     WHERE event_name NOT IN ({', '.join(map(rules.sql_text, rules.RECIPIENTS))})""")

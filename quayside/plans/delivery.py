@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 
+from quayside.operators.routing import without_rule
 from quayside.plans import alerts as A
 from quayside.plans import berths as B
 
@@ -25,6 +26,38 @@ def enriched_alerts(tables: PortTables, cutoff: Column) -> DataFrame:
     return A.enriched(A.status_alerts(latest), A.latest_agents(tables.berths))
 
 
+@dataclass(frozen=True)
+class Poll:
+    """What one poll found, as stored."""
+
+    outbox: DataFrame
+    rejects: DataFrame
+    non_target: DataFrame
+
+
+def run_poll(
+    tables: PortTables, rule_table: DataFrame, channels: DataFrame, cutoff: Column, folder: str,
+    master_configured: bool = True,
+) -> Poll:
+    """Runs a poll and stores it below ``folder``: the alerts once, and from them the outbox, the
+    alerts that cannot be routed with their reason, and the events nobody is told about. A poll
+    that is run again replaces what its first attempt left."""
+    spark = tables.status.sparkSession
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    alerts = kept(enriched_alerts(tables, cutoff), "alerts")
+    rows = A.stakeholder_outbox(A.routed(alerts, rule_table), channels, master_configured)
+    if master_configured:
+        moved = B.berth_alerts(tables.berths, tables.status, tables.events, cutoff)
+        rows = rows.unionByName(B.berth_outbox(moved), allowMissingColumns=True)
+    return Poll(
+        kept(rows, "outbox"), kept(A.alert_rejects(alerts, rule_table), "rejects"),
+        kept(without_rule(alerts, rule_table), "non-target"))
+
+
 def outbox(
     tables: PortTables, rule_table: DataFrame, channels: DataFrame, cutoff: Column, master_configured: bool = True
 ) -> DataFrame:

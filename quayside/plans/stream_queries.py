@@ -20,6 +20,7 @@ from quayside.streaming.polls import (
     append_stream,
     first_reports,
     reporting_polls,
+    split_late,
 )
 
 CRAWLS = 3
@@ -56,6 +57,80 @@ def stream_upsert_final_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.read().select(*spec.keys, *spec.payload)
 
 
+_CRAWLS = "least(floor(seq * 3 / (last + 1)), 2)"
+
+
+def _berth_fold() -> str:
+    """The state after each of three crawls, one after the other."""
+    spec = SPECS["ship_berth_order"]
+    keys = ", ".join(spec.keys)
+    steps = []
+    for i in range(CRAWLS):
+        stamp = f"cast('{AS_OF}' as timestamp) + INTERVAL '{i}' MINUTE"
+        steps.append(f"""
+    crawl{i} AS (SELECT * EXCLUDE (rn) FROM (
+        SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY seq DESC) AS rn FROM numbered WHERE crawl = {i}) WHERE rn = 1)""")
+        if i == 0:
+            steps.append(f"""
+    state0 AS (SELECT {keys}, {', '.join(spec.payload)}, {stamp} AS created_at, {stamp} AS updated_at FROM crawl0)""")
+            continue
+        differs = " OR ".join(f"c.{w} <> s.{w}" for w in spec.watched)
+        written = f"(s.{spec.keys[0]} IS NULL OR (c.{spec.keys[0]} IS NOT NULL AND coalesce({differs}, FALSE)))"
+        steps.append(f"""
+    state{i} AS (
+        SELECT {', '.join(f'coalesce(s.{k}, c.{k}) AS {k}' for k in spec.keys)},
+            {', '.join(f'CASE WHEN {written} THEN c.{w} ELSE s.{w} END AS {w}' for w in spec.payload)},
+            CASE WHEN s.{spec.keys[0]} IS NULL THEN {stamp} ELSE s.created_at END AS created_at,
+            CASE WHEN {written} THEN {stamp} ELSE s.updated_at END AS updated_at
+        FROM state{i - 1} s FULL JOIN crawl{i} c ON {' AND '.join(f's.{k} = c.{k}' for k in spec.keys)})""")
+    return ",".join(steps)
+
+
+@query("stream_upsert_berth", f"""{oracle_with('fx_berth_raw')},
+    numbered AS (SELECT *, cast({_CRAWLS} as int) AS crawl FROM fx_berth_raw, (SELECT max(seq) AS last FROM fx_berth_raw)),
+    {_berth_fold()}
+    SELECT * FROM state2""")
+def stream_upsert_berth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three crawls of the berth table have landed before one run of the stream takes them in."""
+    root = scratch_folder(spark, "stream-berth")
+    stored = StateTable(spark, f"{root}/ship_berth_order", SPECS["ship_berth_order"], parts=8)
+    rows = project(spark, sf_dir, "fx_berth_raw")
+    last = rows.agg(F.max("seq").alias("last"))
+    rows = rows.drop("updated_at").join(last).withColumn("crawl", F.expr(_CRAWLS).cast("int")).drop("last")
+    rows.write.parquet(f"{root}/landing")
+    arriving = spark.readStream.schema(rows.schema).parquet(f"{root}/landing")
+    stamp = lambda crawl: moment(AS_OF) + F.make_dt_interval(mins=F.lit(crawl))
+    upsert_stream(arriving, stored, f"{root}/checkpoint", stamp, crawl="crawl").awaitTermination()
+    return stored.read()
+
+
+LATE = "'3' HOUR"
+
+
+@query("stream_late_rows", f"""{oracle_with('fx_events')},
+    seen AS (
+        SELECT ship_voyage_number, event_name, event_time, (INTERVAL '1' HOUR) * cast(seq % 5 as int) AS lag FROM fx_events)
+    SELECT DISTINCT ship_voyage_number, event_name, event_time, FALSE AS late FROM seen WHERE lag <= INTERVAL {LATE}
+    UNION ALL
+    SELECT ship_voyage_number, event_name, event_time, TRUE AS late FROM seen WHERE lag > INTERVAL {LATE}""")
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events are seen up to four hours after their time; those over three hours get an output of their own."""
+    root = scratch_folder(spark, "stream-late")
+    keys = ["ship_voyage_number", "event_name", "event_time"]
+    events = project(spark, sf_dir, "fx_events").withColumn(
+        "seen", F.col("event_time") + F.make_dt_interval(hours=(F.col("seq") % 5).cast("int"))).select(*keys, "seen")
+    events.write.parquet(f"{root}/seen")
+    arriving = spark.readStream.schema(events.schema).parquet(f"{root}/seen")
+    on_time, late = split_late(arriving, "event_time", "seen", LATE)
+    streams = [
+        append_stream(first_reports(on_time, keys, "seen", "60 days").select(*keys), f"{root}/reported", f"{root}/checkpoint"),
+        append_stream(late.select(*keys), f"{root}/late", f"{root}/late-checkpoint")]
+    for stream in streams:
+        stream.awaitTermination()
+    return spark.read.parquet(f"{root}/reported").withColumn("late", F.lit(False)).union(
+        spark.read.parquet(f"{root}/late").withColumn("late", F.lit(True)))
+
+
 @query("stream_dedup_alerts", f"""{oracle_with('fx_events')}
     SELECT DISTINCT ship_voyage_number, event_time, event_name FROM fx_events""")
 def stream_dedup_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:

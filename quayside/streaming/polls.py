@@ -26,6 +26,17 @@ def zoned(df: DataFrame, time: str) -> DataFrame:
     return df.withColumn(time, F.col(time).cast("timestamp"))
 
 
+def split_late(changes: DataFrame, time: str, seen: str, delay: str) -> tuple[DataFrame, DataFrame]:
+    """Changes seen within ``delay`` of their time, and the late ones.
+
+    Stateful operators forget what is older than their watermark, and drop what comes after
+    without a trace. So late rows are told apart before, by the row alone, and get an output
+    of their own; ``first_reports`` is given the others, with ``seen`` as its time.
+    """
+    late = F.col(seen) - F.col(time) > F.expr(f"INTERVAL {delay}")
+    return changes.filter(~F.coalesce(late, F.lit(True))), changes.filter(F.coalesce(late, F.lit(True)))
+
+
 def first_reports(changes: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
     """Each change once, however often it is seen within ``delay``. State is kept no longer
     than the watermark needs, whatever the length of the stream."""
