@@ -23,6 +23,15 @@ def page_address(base: str, voyage_number: Column) -> Column:
     )
 
 
+def voyage_of_address(base: str, url: Column) -> Column:
+    """The voyage that a page of ``base`` is about; NULL for other pages."""
+    parameters = F.substring(url, len(base) + 1, 2**30)
+    pattern = r"(?s)^\?SP_ID=(.*)&SP_SERIAL=(.*)$"
+    key = F.concat(F.regexp_extract(parameters, pattern, 1), F.regexp_extract(parameters, pattern, 2))
+    # Built the same way, the address must come out again.
+    return F.when(page_address(base, key) == url, key)
+
+
 def full_name(chinese: Column, english: Column) -> Column:
     """Both names joined; a missing one is skipped."""
     return F.concat_ws("", chinese, english)

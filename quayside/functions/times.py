@@ -6,6 +6,8 @@ a text that cannot be read from a text that spells "no value".
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,12 +18,13 @@ NO_VALUE_SPELLINGS = ("待接靠", "null", "")
 AFTERNOON = "下午"
 
 _OFFSET = f"INTERVAL '{UTC_OFFSET_HOURS}' HOUR"
-_CLOCK = r"(\d{1,2}):([0-5]?\d)(?::([0-5]?\d))?"
-_ERA = rf"^(\d{{1,4}})/(\d{{1,4}})/(\d{{1,4}}) {_CLOCK}$"
-_MERIDIEM = r"^(\d{4})/(\d{1,2})/(\d{1,2}) (.*) (\d{1,2}):([0-5]?\d):([0-5]?\d)$"
+_BLANKS = " \t\n\x0b\x0c\r"
+_CLOCK = r"\d{1,2}:[0-5]?\d(?::[0-5]?\d)?"
+_ERA = rf"^\d{{1,4}}/\d{{1,4}}/\d{{1,4}} {_CLOCK}$"
+_MERIDIEM = r"^\d{4}/\d{1,2}/\d{1,2} .* \d{1,2}:[0-5]?\d:[0-5]?\d$"
 _CONTENT_SHAPE = r"^\s*\d+/\d+/\d+\s+\S+\s*$"
-_CONTENT = rf"^\s*(\d{{1,4}})/(\d{{1,4}})/(\d{{1,4}})\s+{_CLOCK}\s*$"
-_COMPACT = r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})$"
+_CONTENT = rf"^\d{{1,4}}/\d{{1,4}}/\d{{1,4}}\s+{_CLOCK}$"
+_COMPACT = r"^\d{12}$"
 
 
 def to_utc(local: Column) -> Column:
@@ -32,17 +35,29 @@ def to_local(utc: Column) -> Column:
     return utc + F.expr(_OFFSET)
 
 
-def _part(text: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(text, pattern, group).try_cast("int")
+def _of_parts(text: Column, shape: str, separators: str, make: Callable[[Column], Column]) -> Column:
+    """``make`` of what stands between the separators, of a text of that shape; else NULL.
+
+    Bound in an array of one, so that a text is matched and split once for all its numbers.
+    """
+    parts = F.when(text.rlike(shape), F.split(text, separators))
+    return F.element_at(F.transform(F.array(parts), make), 1)
+
+
+def _number(parts: Column, place: int) -> Column:
+    return F.try_element_at(parts, F.lit(place)).try_cast("int")
 
 
-def _moment(text: Column, pattern: str, year_zero: int, hour: Column | None = None) -> Column:
-    """Timestamp from the six number groups of ``pattern``; missing seconds count as 0."""
-    year, month, day, hours, minutes, seconds = (_part(text, pattern, i) for i in range(1, 7))
+def _year(year: Column) -> Column:
+    """Years the calendar has; others are no time."""
+    return F.when(year.between(1, 9999), year)
+
+
+def _moment(parts: Column) -> Column:
+    """Local-calendar time of date and clock numbers; missing seconds count as 0."""
+    year, month, day, hour, minute, second = (_number(parts, i) for i in range(1, 7))
     return F.try_make_timestamp_ntz(
-        year + F.lit(year_zero), month, day,
-        hours if hour is None else hour, minutes, F.coalesce(seconds, F.lit(0)),
-    )
+        _year(year + F.lit(ERA_YEAR_ZERO)), month, day, hour, minute, F.coalesce(second, F.lit(0)))
 
 
 def era_time(text: Column) -> Column:
@@ -52,7 +67,7 @@ def era_time(text: Column) -> Column:
     """
     return (
         F.when(text.isin(*NO_VALUE_SPELLINGS), F.lit(None))
-        .when(text.contains("/"), to_utc(_moment(text, _ERA, ERA_YEAR_ZERO)))
+        .when(text.contains("/"), to_utc(_of_parts(text, _ERA, "[/ :]", _moment)))
         .otherwise(text.try_cast("timestamp_ntz"))
     )
 
@@ -66,13 +81,14 @@ def meridiem_time(text: Column) -> Column:
 
     Hour 12 counts as 0; any half of day other than the afternoon counts as morning.
     """
-    hour = _part(text, _MERIDIEM, 5)
-    hour = F.when(hour.between(1, 12), hour % 12 + F.when(
-        F.regexp_extract(text, _MERIDIEM, 4) == AFTERNOON, 12).otherwise(0))
-    return to_utc(F.try_make_timestamp_ntz(
-        _part(text, _MERIDIEM, 1), _part(text, _MERIDIEM, 2), _part(text, _MERIDIEM, 3),
-        hour, _part(text, _MERIDIEM, 6), _part(text, _MERIDIEM, 7),
-    ))
+    def make(parts: Column) -> Column:
+        afternoon = (F.size(parts) == 7) & (F.try_element_at(parts, F.lit(4)) == AFTERNOON)
+        hour = _number(parts, -3)
+        hour = F.when(hour.between(1, 12), hour % 12 + F.when(afternoon, 12).otherwise(0))
+        return F.try_make_timestamp_ntz(
+            _year(_number(parts, 1)), _number(parts, 2), _number(parts, 3), hour, _number(parts, -2), _number(parts, -1))
+
+    return to_utc(_of_parts(text, _MERIDIEM, "[/ :]", make))
 
 
 def meridiem_time_rejected(text: Column) -> Column:
@@ -81,7 +97,10 @@ def meridiem_time_rejected(text: Column) -> Column:
 
 
 def _compact_time(text: Column) -> Column:
-    return F.try_make_timestamp_ntz(*(_part(text, _COMPACT, i) for i in range(1, 6)), F.lit(0))
+    digits = F.when(text.rlike(_COMPACT), text)
+    year, month, day, hour, minute = (
+        F.substring(digits, start, length).try_cast("int") for start, length in ((1, 4), (5, 2), (7, 2), (9, 2), (11, 2)))
+    return F.try_make_timestamp_ntz(_year(year), month, day, hour, minute, F.lit(0))
 
 
 def content_time(text: Column) -> Column:
@@ -89,7 +108,7 @@ def content_time(text: Column) -> Column:
     exactly 12 characters, else no value. Shifted to UTC."""
     return (
         F.when((text == "") | (text == "null"), F.lit(None))
-        .when(text.contains("/"), to_utc(_moment(text, _CONTENT, ERA_YEAR_ZERO)))
+        .when(text.contains("/"), to_utc(_of_parts(F.btrim(text, F.lit(_BLANKS)), _CONTENT, r"[/:\s]+", _moment)))
         .when(F.char_length(text) == 12, to_utc(_compact_time(text)))
     )
 

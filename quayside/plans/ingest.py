@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quayside import schemas
 from quayside.functions import times
-from quayside.functions.text import page_address
+from quayside.functions.text import voyage_of_address
 from quayside.operators import quality
 from quayside.operators.latest import keep_last
 from quayside.schemas import BERTH_TITLES, EVENT_TITLES, MILE_TITLES, STATUS_TITLES
@@ -17,8 +17,9 @@ from quayside.sources import pages as P
 from quayside.sources.state import state_table
 
 
-def _checked(table: str, df: DataFrame, **parse_checks: Column) -> DataFrame:
+def _checked(table: str, df: DataFrame, first: dict[str, Column] | None = None, **parse_checks: Column) -> DataFrame:
     checks = {
+        **(first or {}),
         **quality.required_checks(schemas.REQUIRED[table]),
         **parse_checks,
         **quality.length_checks(schemas.LENGTHS[table]),
@@ -43,7 +44,9 @@ def typed_events(rows: DataFrame) -> DataFrame:
         times.meridiem_time(raw_time).alias("event_time"),
         times.content_time(raw_content).alias("event_content_time"),
     )
-    return _checked("ship_events", typed, bad_event_content=times.content_time_rejected(F.col("event_content_text")))
+    # A time that cannot be read is another fault than none.
+    unread = F.col("event_time_text").isNotNull() & F.col("event_time").isNull()
+    return _checked("ship_events", typed, {"bad_event_time": unread}, bad_event_content=times.content_time_rejected(F.col("event_content_text")))
 
 
 def typed_voyage(rows: DataFrame) -> DataFrame:
@@ -67,11 +70,13 @@ def typed_berths(rows: DataFrame) -> DataFrame:
         "ship_berth_order", typed, **{f"bad_{c}": times.era_time_rejected(F.col(f"{c}_text")) for c in names})
 
 
-def own_pages(ships: DataFrame, pages: DataFrame, base: str) -> DataFrame:
-    """Each ship's own page, found by its address; ``crawl_id`` becomes the voyage number."""
-    addressed = ships.select("ship_voyage_number", page_address(base, F.col("ship_voyage_number")).alias("url"))
-    return addressed.join(pages, "url").select(
-        F.col("ship_voyage_number").alias("crawl_id"), "page_no", "url", "html")
+def own_pages(pages: DataFrame, base: str) -> DataFrame:
+    """Pages of single voyages; ``crawl_id`` becomes the voyage number, read from the address.
+
+    So pages are cut where they are read, and only their rows meet the list of ships.
+    """
+    voyage = voyage_of_address(base, F.col("url"))
+    return pages.withColumn("crawl_id", voyage).filter("crawl_id IS NOT NULL").select("crawl_id", "page_no", "url", "html")
 
 
 def crawl_tables(
@@ -84,8 +89,9 @@ def crawl_tables(
     """
     listed = P.status_rows(status_pages).withColumn("seq", F.col("row"))
     ships = listed.select(F.col(STATUS_TITLES[0]).alias("ship_voyage_number")).distinct()
-    events = P.event_rows(own_pages(ships, event_pages, event_base))
-    miles = P.mile_rows(own_pages(ships, mile_pages, mile_base))
+    listed_only = ships.withColumnRenamed("ship_voyage_number", "crawl_id")
+    events = P.event_rows(own_pages(event_pages, event_base)).join(listed_only, "crawl_id", "left_semi")
+    miles = P.mile_rows(own_pages(mile_pages, mile_base)).join(listed_only, "crawl_id", "left_semi")
     berths = P.header_table_rows(berth_pages, BERTH_TITLES)
     voyage = F.col("crawl_id").alias("ship_voyage_number")
     return {

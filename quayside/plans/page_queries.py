@@ -122,10 +122,11 @@ def _event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("navigation_status", F.lit("")), F.col("pilot_order_number"), F.col("berth_number"),
         F.coalesce(content_text(F.col("seq"), times.to_local(F.col("event_content_time"))), F.lit("null")),
     )
-    events = project(spark, sf_dir, "fx_events").withColumn("page_no", F.floor(F.col("seq") / CHUNK))
+    events = project(spark, sf_dir, "fx_events").withColumn("part", F.floor(F.col("seq") / 2**20))
     rows = (
-        with_position(events, ["ship_voyage_number"], "page_no", ["seq"], "row")
+        with_position(events, ["ship_voyage_number"], "part", ["seq"], "row")
         .withColumn("row", F.col("row") - 1)
+        .withColumn("page_no", F.floor(F.col("row") / CHUNK))
         .withColumn("crawl_id", F.col("ship_voyage_number"))
         .withColumn("url", page_address(EVENT_PAGE, F.col("ship_voyage_number")))
     )
@@ -153,7 +154,7 @@ def grid_extract_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyed_page_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each ship's own page found by address, its rows tagged with the ship's key."""
     ships = project(spark, sf_dir, "fx_status").select("ship_voyage_number", "ship_name")
-    pages = own_pages(ships, _event_pages(spark, sf_dir).drop("crawl_id"), EVENT_PAGE)
+    pages = own_pages(_event_pages(spark, sf_dir).drop("crawl_id"), EVENT_PAGE)
     rows = P.event_rows(pages).withColumnRenamed("crawl_id", "ship_voyage_number")
     return rows.join(ships, "ship_voyage_number").select(
         "ship_voyage_number", "ship_name", "pilot_order_number", "event_name")
@@ -180,6 +181,11 @@ def grid_lookup_miles(spark: SparkSession, sf_dir: str) -> DataFrame:
         times.era_time(F.col("pass_5_miles_time")).alias("pass_5_miles_time"))
 
 
+def _code(text: Column) -> Column:
+    """Number of the first character, as pages spell it."""
+    return F.conv(F.hex(F.encode(F.substring(text, 1, 1), "UTF-16BE")), 16, 10)
+
+
 @query("header_zip_rows", f"""{oracle_with('fx_berth_raw')}
     SELECT seq AS order_key, berth_number, berthing_time, ship_status, pilotage_time, ship_name_chinese,
         CASE WHEN seq % 23 = 0 THEN NULL ELSE coalesce(ship_name_english, '') END AS ship_name_english,
@@ -196,7 +202,11 @@ def header_zip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cells = F.array(
         F.col("seq").cast("string"), F.col("berth_number"), time_text("berthing_time"), F.col("ship_status"),
-        time_text("pilotage_time"), F.concat(F.lit("<b>"), "ship_name_chinese", F.lit("</b> ")),
+        time_text("pilotage_time"), F.concat(
+            # The first character as a number, and on some rows a table in the cell.
+            F.when(F.col("seq") % 5 == 0, "<table><tr><td>").otherwise("<b>"), F.lit("&#"),
+            _code(F.col("ship_name_chinese")), F.lit(";"), F.expr("substring(ship_name_chinese, 2)"),
+            F.when(F.col("seq") % 5 == 0, "</td></tr></table>").otherwise("</b> ")),
         F.coalesce("ship_name_english", F.lit("")), F.lit("earlier"), F.coalesce("port_agent", F.lit("")), F.lit("extra"))
     width = F.when(F.col("seq") % 23 == 0, 6).when(F.col("seq") % 17 == 0, 8).when(F.col("seq") % 19 == 0, 10).otherwise(9)
     tds = F.transform(F.slice(cells, F.lit(1), width), lambda c: F.concat(F.lit('<td class="dxgv">'), c, F.lit("</td>")))
@@ -206,7 +216,10 @@ def header_zip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(tds, ""), F.lit("</tr>"))
     titles = {"編號": "order_key", **BERTH_TITLES}
     header = "".join(f'<td class="{P.HEADER_CLASS}"> {t} </td>' for t in (*titles, "港代理"))
-    pages = pages_of(rows, body).withColumn("html", F.concat(F.lit(f"<table><tr>{header}</tr></table>"), "html"))
+    wrong = f'<table class="{P.CONTROL_CLASS}"><tr><td class="{P.HEADER_CLASS}">x</td></tr></table>'
+    pages = pages_of(rows, body).withColumn("html", F.concat(
+        F.lit(f'<p>before</p><div class="{P.CONTROL_CLASS} wide"><table><tr>{header}</tr></table>'), "html",
+        F.lit(f"</div>{wrong}")))
     zipped = P.header_table_rows(pages, titles)
     return zipped.drop("crawl_id", "page_no", "row").withColumns({
         "order_key": F.col("order_key").cast("bigint"),

@@ -100,7 +100,8 @@ def parse_content_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("time_rejects", f"""{oracle_with('fx_events')}
-    SELECT seq, CASE WHEN seq % 11 IN (0, 1, 2, 3) THEN 'null_event_time' ELSE 'bad_event_content' END AS reject_reason
+    SELECT seq, CASE WHEN seq % 11 IN (0, 1, 2) THEN 'bad_event_time' WHEN seq % 11 = 3 THEN 'null_event_time'
+        ELSE 'bad_event_content' END AS reject_reason
     FROM fx_events WHERE seq % 11 IN (0, 1, 2, 3, 4, 5)""")
 def time_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     local = times.to_local(F.col("event_time"))

@@ -86,3 +86,79 @@ def plain_cells(html: str, grid: str) -> list[str]:
         + f"{escape(cell['text'], quote=False)}</td>"
         for cell in read_cells(html, grid)
     ]
+
+
+class _TableReader(HTMLParser):
+    """Headers and rows of the first element of class ``control``; rows and cells at any depth.
+
+    A cell or row that is not closed ends where the next one of its table begins.
+    """
+
+    def __init__(self, control: str, header: str, row: str, cell: str) -> None:
+        super().__init__(convert_charrefs=True)
+        self.classes = {"control": control, "header": header, "row": row, "cell": cell}
+        self.open: list[tuple[str, list[tuple[str, list]]]] = []
+        self.inside, self.done = False, False
+        self.headers: list[list[str]] = []
+        self.rows: list[list[list[str]]] = []
+
+    def _close(self, depth: int) -> None:
+        for _, roles in self.open[depth:]:
+            if any(role == "control" for role, _ in roles):
+                self.inside, self.done = False, True
+        del self.open[depth:]
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag in ("td", "th", "tr"):
+            ended = ("td", "th") if tag != "tr" else ("td", "th", "tr")
+            for depth in range(len(self.open) - 1, -1, -1):
+                if self.open[depth][0] == "table":
+                    break
+                if self.open[depth][0] in ended:
+                    self._close(depth)
+        if tag in _VOID_TAGS:
+            return
+        named = (dict(reversed(attrs)).get("class") or "").split()
+        roles: list[tuple[str, list]] = []
+        if not self.done and not self.inside and self.classes["control"] in named:
+            self.inside = True
+            roles.append(("control", []))
+        elif self.inside:
+            if self.classes["header"] in named:
+                self.headers.append([])
+                roles.append(("text", self.headers[-1]))
+            if self.classes["row"] in named:
+                self.rows.append([])
+                roles.append(("row", self.rows[-1]))
+            if self.classes["cell"] in named:
+                text: list[str] = []
+                for _, above in self.open:
+                    for role, cells in above:
+                        if role == "row":
+                            cells.append(text)
+                roles.append(("text", text))
+        self.open.append((tag, roles))
+
+    def handle_endtag(self, tag: str) -> None:
+        for depth in range(len(self.open) - 1, -1, -1):
+            if self.open[depth][0] == tag:
+                self._close(depth)
+                break
+
+    def handle_data(self, data: str) -> None:
+        for _, roles in self.open:
+            for role, text in roles:
+                if role == "text":
+                    text.append(data)
+
+
+def read_table(html: str, control: str, header: str, row: str, cell: str) -> tuple[list[str], list[list[str]]]:
+    """Shown texts of the headers, and of the cells of each row."""
+    reader = _TableReader(control, header, row, cell)
+    reader.feed(html)
+    reader.close()
+
+    def shown(text: list[str]) -> str:
+        return " ".join("".join(text).split())
+
+    return [shown(x) for x in reader.headers], [[shown(x) for x in cells] for cells in reader.rows]

@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 
 from quayside.operators.prefix import contiguous_prefix
 from quayside.schemas import EVENT_TITLES, MILE_TITLES, STATUS_TITLES
-from quayside.sources.cell_reader import plain_cells
+from quayside.sources.cell_reader import plain_cells, read_table
 
 # Ids and classes on the pages, icons and the flags they stand for.
 STATUS_GRID = "ASPx_船舶即時動態_tccell"
 EVENT_GRID = "ASPx_船舶事件_tccell"
 MILE_GRID = "ASPx_港外船舶進港_tccell"
 MILE_COLUMNS = (2, 3)
+CONTROL_CLASS = "dxgvControl_PlasticBlue"
 HEADER_CLASS = "dxgvHeader_PlasticBlue"
 ROW_CLASS = "dxgvDataRow_PlasticBlue"
 CELL_CLASS = "dxgv"
@@ -181,26 +182,51 @@ def _element(tags: str, css_class: str) -> str:
     )
 
 
+def _read_tables(html: Column) -> Column:
+    @F.pandas_udf("header array<string>, rows array<array<string>>")
+    def read(pages: pd.Series) -> pd.DataFrame:
+        found = [
+            (None, None) if page is None else read_table(page, CONTROL_CLASS, HEADER_CLASS, ROW_CLASS, CELL_CLASS)
+            for page in pages]
+        return pd.DataFrame(found, columns=["header", "rows"])
+
+    return read(html)
+
+
 def header_table_rows(pages: DataFrame, titles: dict[str, str]) -> DataFrame:
     """Rows of tables whose columns are known by their header: ``crawl_id, page_no, row`` and
     one column per entry of ``titles``.
 
-    Headers pair with cells from the left; surplus ones on either side are dropped, a
-    repeated header takes its last cell, a title without a header is NULL.
+    Only the first grid of a page counts, and a page without one has no rows. Headers pair with
+    cells from the left; surplus ones on either side are dropped, a repeated header takes its last
+    cell, a title without a header is NULL. As with cells, a page on which patterns could go wrong (several
+    grids, tables in tables, rare entities, broken tags) is recognised and given to a parser.
     """
+    control = _element("[a-z][a-z0-9]*", CONTROL_CLASS)
     header = _element("t[hd]", HEADER_CLASS) + r"(.*?)</t[hd]\s*>"
     row = _element("tr", ROW_CLASS) + r"(.*?)</tr\s*>"
     cell = _element("td", CELL_CLASS) + r"(.*?)</td\s*>"
+    page = F.col("_page")
+    odd = (
+        (F.regexp_count(page, F.lit(control)) > 1) | (F.regexp_count(page, F.lit(r"(?i)<table\b")) > 1)
+        | page.rlike(_RARE_ENTITY) | page.rlike(_BROKEN_TAG)
+        | (F.regexp_count(page, F.lit(r"(?i)<t[rdh]\b")) != F.regexp_count(page, F.lit(r"(?i)</t[rdh]\s*>"))))
+    plain = F.when(~F.col("_odd"), page)
     rows = (
-        pages.withColumn("_page", visible(F.col("html")))
-        # The header is found before the rows are spread, once per page.
+        pages.withColumn("_page", F.when(F.col("html").contains(CONTROL_CLASS), visible(F.col("html"))))
+        .filter(page.rlike(control))
+        .withColumn("_odd", odd)
+        .select("crawl_id", "page_no", _read_tables(F.when(F.col("_odd"), page)).alias("_read"), plain.alias("_page"))
+        # A plain page is one grid from its first tag on.
+        .withColumn("_grid", F.regexp_extract("_page", rf"(?s){control}(.*)$", 1))
         .select(
             "crawl_id", "page_no",
-            F.transform(F.regexp_extract_all("_page", F.lit(header), 1), shown_text).alias("_header"),
-            F.regexp_extract_all("_page", F.lit(row), 1).alias("_rows"),
+            F.coalesce("_read.header", F.transform(F.regexp_extract_all("_grid", F.lit(header), 1), shown_text)).alias("_header"),
+            F.coalesce("_read.rows", F.transform(
+                F.regexp_extract_all("_grid", F.lit(row), 1),
+                lambda body: F.transform(F.regexp_extract_all(body, F.lit(cell), 1), shown_text))).alias("_rows"),
         )
-        .select("crawl_id", "page_no", "_header", F.posexplode("_rows").alias("row", "_row"))
-        .withColumn("_cells", F.transform(F.regexp_extract_all("_row", F.lit(cell), 1), shown_text))
+        .select("crawl_id", "page_no", "_header", F.posexplode("_rows").alias("row", "_cells"))
         .withColumn("_width", F.least(F.size("_header"), F.size("_cells")))
         .withColumn("_pairs", F.arrays_zip(
             F.slice("_header", F.lit(1), F.col("_width")).alias("title"),

@@ -34,6 +34,16 @@ def queue(spark):
         " ship_name_chinese string, updated_at timestamp_ntz")).cache()
 
 
+def test_missing_keys_and_segments_are_kept(spark):
+    rows = [(None, None, 1), (None, None, 2), ("b", None, 3), ("b", 1, 4), ("b", 2, 5)]
+    df = spark.createDataFrame(rows, "k string, s int, v int")
+    got = with_position(df, ["k"], "s", ["s", "v"])
+    assert as_tuples(got, "k", "v", "position") == sorted(
+        [(None, 1, 1), (None, 2, 2), ("b", 4, 1), ("b", 5, 2), ("b", 3, 3)], key=repr)
+    got = with_next(df, ["k"], "s", ["s", "v"], ["v"]).withColumn("after", F.col("next.v"))
+    assert as_tuples(got, "v", "after") == sorted([(1, 2), (2, None), (4, 5), (5, 3), (3, None)], key=repr)
+
+
 def plain_window():
     return Window.partitionBy("berth_number").orderBy(*(F.asc_nulls_last(c) for c in QUEUE_ORDER))
 

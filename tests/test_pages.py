@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import random
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quayside.operators.prefix import contiguous_prefix
 from quayside.schemas import BERTH_TITLES, PAGES, STATUS_TITLES
 from quayside.sources import pages as P
-from quayside.sources.cell_reader import plain_cells, read_cells
+from quayside.sources.cell_reader import plain_cells, read_cells, read_table
 from tests.conftest import as_tuples
 
 GRID = P.EVENT_GRID
@@ -104,15 +106,46 @@ def test_header_table(spark):
         return "".join(f'<td class="{css}">{t}</td>' for t in texts)
 
     titles = [*BERTH_TITLES][:3] + ["動態"]
-    page = (
-        f"<tr>{tds(P.HEADER_CLASS, titles)}</tr>"
-        f'<tr class="{P.ROW_CLASS}">{tds("dxgv", ["1042", " a <b>b</b>  c ", "old", "new", "extra"])}</tr>'
-        f'<tr class="{P.ROW_CLASS} alt">{tds("dxgv", ["1043"])}</tr>'
-        f'<tr class="other">{tds("dxgv", ["no"])}</tr>'
-    )
-    got = P.header_table_rows(pages_df(spark, page), BERTH_TITLES)
-    assert as_tuples(got, "row", "berth_number", "berthing_time", "ship_status", "port_agent") == [
-        (0, "1042", "a b c", "new", None), (1, "1043", None, None, None)]
+    def grid(first):
+        return (
+            f'<table class="{P.CONTROL_CLASS} x"><tr>{tds(P.HEADER_CLASS, titles)}</tr>'
+            f'<tr class="{P.ROW_CLASS}">{tds("dxgv", [first, " a <b>b</b>  c ", "old", "new", "extra"])}</tr>'
+            f'<tr class="{P.ROW_CLASS} alt">{tds("dxgv", ["1043"])}</tr>'
+            f'<tr class="other">{tds("dxgv", ["no"])}</tr></table>')
+
+    inner = "&#49;<table><tr><td>0</td><td>42</td></tr></table>"
+    stray = f'<table><tr class="{P.ROW_CLASS}">{tds("dxgv", ["out"])}</tr></table>'
+    unclosed = grid("1042").replace("</td>", "").replace("</tr>", "")
+    # Plain; several grids; an entity and a table in a cell; rows outside; cells left open; no grid at all.
+    pages = [grid("1042"), grid("1042") + grid("other"), grid(inner), stray + grid("1042") + stray, unclosed, stray]
+    got = P.header_table_rows(pages_df(spark, *pages), BERTH_TITLES)
+    assert as_tuples(got, "crawl_id", "row", "berth_number", "berthing_time", "ship_status", "port_agent") == sorted(
+        row for i in range(5) for row in [
+            (f"c{i}", 0, "1042", "a b c", "new", None), (f"c{i}", 1, "1043", None, None, None)])
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["1", "a b", " <b>x</b> y", "&amp;", "&nbsp;z", "<br>q", "", "m<span> n</span>"]), max_size=4), max_size=4))
+def test_header_table_equals_reader(rows):
+    """What the patterns read on plain pages is what the parser reads."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    titles = [*BERTH_TITLES][:3]
+    head = "".join(f'<td class="{P.HEADER_CLASS}">{t}</td>' for t in titles)
+    body = "".join(
+        f'<tr class="{P.ROW_CLASS}">' + "".join(f'<td class="dxgv">{c}</td>' for c in row) + "</tr>" for row in rows)
+    page = f'<table class="{P.CONTROL_CLASS}"><tr>{head}</tr>{body}</table>'
+    got = P.header_table_rows(pages_df(spark, page), BERTH_TITLES).orderBy("row").collect()
+    header, cells = read_table(page, P.CONTROL_CLASS, P.HEADER_CLASS, P.ROW_CLASS, P.CELL_CLASS)
+    want = [dict(zip(header, row, strict=False)) for row in cells]
+    assert [tuple(r[BERTH_TITLES[t]] for t in titles) for r in got] == [tuple(w.get(t) for t in titles) for w in want]
+
+
+def test_ids_are_exact_and_may_be_long(spark):
+    page = cell(0, 0, "right") + cell("00", 0, "padded") + cell(10**20, 0, "far") + cell(0, 10**12, "wide") + cell(1, 0, "next")
+    got = P.grid_rows(P.grid_cells(pages_df(spark, page), P.EVENT_GRID), ("t",), F.col("text"))
+    assert as_tuples(got, "row", "t") == [(0, "right"), (1, "next")]
 
 
 def test_links(spark):

@@ -117,3 +117,26 @@ def test_one_name_inside_every_other(spark):
     names = spark.createDataFrame([("明", "x"), ("明1", "y")], "name string, v string")
     got = last_contained(ships, "ship_name", names, "name").groupBy("match.v").count()
     assert as_tuples(got) == [("x", 1889), ("y", 1111)]
+
+
+def test_a_poll_opens_recent_days_only(spark, tmp_path):
+    """The ranking reads what is given as recent; revisions are those of reported voyages."""
+    events = spark.range(40).select(
+        F.concat(F.lit("V"), (F.col("id") % 10).cast("string")).alias("ship_voyage_number"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(days=(F.col("id") % 4).cast("int"))).alias("event_time"),
+        F.lit("申請進港").alias("event_name"), F.lit("S").alias("event_source"), F.lit("進港").alias("navigation_status"),
+        F.lit(None).cast("timestamp_ntz").alias("event_content_time"))
+    events.withColumn("day", F.date_format("event_time", "yyyy-MM-dd")).write.partitionBy("day").parquet(f"{tmp_path}/events")
+    whole = spark.read.parquet(f"{tmp_path}/events").drop("day")
+    recent = spark.read.parquet(f"{tmp_path}/events/day=2024-01-04").withColumn("event_name", F.lit("from the recent days"))
+    status = spark.range(10).select(
+        F.concat(F.lit("V"), F.col("id").cast("string")).alias("ship_voyage_number"), F.lit("n").alias("ship_name"),
+        F.lit("2024-01-04").cast("timestamp_ntz").alias("updated_at"))
+    voyage = status.select("ship_voyage_number", "updated_at", *(
+        F.lit(None).cast("timestamp_ntz").alias(c) for c in ("pass_10_miles_time", "pass_5_miles_time"))).limit(0)
+    cutoff = A.moment("2024-01-04 00:00:00")
+    latest = A.latest_status(status, voyage, whole, cutoff, recent)
+    found = {r.latest_event_name for r in latest.collect()}
+    assert found == {"from the recent days"}
+    assert latest.count() == A.latest_status(status, voyage, whole, cutoff).count() > 0
+    assert re.search(r"LeftSemi", plan(latest))

@@ -17,7 +17,7 @@ from quayside.sources import files
 from quayside.sources import pages as P
 from quayside.sources.state import state_table
 from quayside.streaming.ingest import upsert_stream
-from quayside.streaming.polls import first_reports, reporting_polls
+from quayside.streaming.polls import first_reports, reporting_polls, split_late
 from tests.conftest import as_tuples
 from tests.test_pages import cell
 
@@ -167,6 +167,66 @@ def test_unknown_scratch_on_a_cluster_is_refused(spark):
         scratch_folder(Session, "x")
 
 
+def berth_batch(spark, *rows):
+    return spark.createDataFrame(
+        [(crawl, seq, "1042", name, "P", agent) for crawl, seq, name, agent in rows],
+        "crawl int, seq bigint, berth_number string, ship_name_chinese string, ship_status string, port_agent string",
+    ).withColumns({
+        "berthing_time": moment(0), "pilotage_time": moment(0), "ship_name_english": F.lit("EN")})
+
+
+def test_crawls_of_one_batch_apply_in_order(spark, root, monkeypatch):
+    """Several crawls that landed before one run, with arrival numbers that start anew in each."""
+    monkeypatch.setattr("quayside.sources.state.CRAWLS_PER_PLAN", 2)
+    rows = berth_batch(
+        spark, (2, 0, "a", "third"), (1, 0, "a", "second"), (0, 0, "a", "x"), (0, 1, "a", "first"), (1, 1, "b", "first"),
+        (2, 0, "c", "first"))
+    rows.write.parquet(f"{root}/landing")
+    table = state_table(spark, root, "ship_berth_order", parts=2)
+    for _ in range(2):
+        arriving = spark.readStream.schema(rows.schema).parquet(f"{root}/landing")
+        upsert_stream(arriving, table, f"{root}/checkpoint", moment, crawl="crawl").awaitTermination()
+        assert as_tuples(table.read(), "ship_name_chinese", "port_agent", "created_at", "updated_at") == [
+            ("a", "third", DAY, DAY + timedelta(2)), ("b", "first", DAY + timedelta(1), DAY + timedelta(1)),
+            ("c", "first", DAY + timedelta(2), DAY + timedelta(2))]
+    assert as_tuples(table.changes(0), "ship_name_chinese", "change_type") == [("a", "insert"), ("b", "insert"), ("c", "insert")]
+    assert quality.repeated_keys(table.read(), schemas.KEYS["ship_berth_order"]).count() == 0
+
+
+def test_only_changed_parts_are_written(spark, root):
+    table = state_table(spark, root, "ship_status", parts=4)
+    keys = [f"k{i}" for i in range(40)]
+    table.apply(status_batch(spark, *((k, "0") for k in keys)), 0, moment(0))
+    first = table.held()
+    table.apply(status_batch(spark, *((k, "0") for k in keys)), 1, moment(1))
+    assert table.held() == first and table.changes(1).count() == 0
+    table.apply(status_batch(spark, *((k, "1" if k == "k7" else "0") for k in keys)), 2, moment(2))
+    assert sorted(table.held().values()) == [0, 0, 0, 2]
+    assert as_tuples(table.changes(2), "ship_voyage_number") == [("k7",)]
+    assert table.read().count() == 40
+
+
+def test_days_may_be_split(spark, root):
+    table = state_table(spark, root, "ship_events", parts_per_day=3)
+    rows = [(f"v{i}", DAY + timedelta(days=i % 2), "e", "s", None, None, None, None, i) for i in range(30)]
+    table.apply(spark.createDataFrame(rows, EVENT_BATCH), 0, moment(0))
+    assert len(table.held()) == 6 and table.read().count() == 30
+    assert table.read(since_day="2024-01-02").count() == 15
+
+
+def test_exported_blanks_come_back(spark, root):
+    rows = list(enumerate([" a ", "b\n", "", None, 'q"r, s', "\t"]))
+    df = spark.createDataFrame(rows, "k int, t string")
+    files.export_csv(df, f"{root}/x.csv", rows_per_file=2)
+    assert as_tuples(files.read_csv(spark, f"{root}/x.csv", df.schema)) == sorted(rows, key=repr)
+
+
+def test_late_rows_are_told_apart(spark):
+    seen = spark.createDataFrame([(1, DAY, DAY), (2, DAY, DAY + timedelta(hours=4)), (3, DAY, None)], "k int, t timestamp_ntz, s timestamp_ntz")
+    on_time, late = split_late(seen, "t", "s", "'3' HOUR")
+    assert as_tuples(on_time, "k") == [(1,)] and as_tuples(late, "k") == [(2,), (3,)]
+
+
 def test_a_whole_crawl(spark, root):
     """Pages of all four kinds to stored tables, twice."""
     def pages(*rows):
@@ -194,15 +254,15 @@ def test_a_whole_crawl(spark, root):
             (own("events", "0001"), event(0, "2024/5/1 下午 03:04:05", "113/05/01 10:30") + event(1, "soon", "null")),
             (own("events", "0009"), event(0, "2024/5/1 下午 03:04:05", "null"))),
         pages((own("miles", "0001"), cell(0, 2, "113/05/01 10:30", P.MILE_GRID)), (own("miles", "0002"), "nothing")),
-        pages(("berths", f"<tr>{header}</tr>" + berth("1042", "待接靠", "P", "113/05/01 10:30", "永明", "", "agent")
+        pages(("berths", f'<div class="{P.CONTROL_CLASS}"><tr>{header}</tr>' + berth("1042", "待接靠", "P", "113/05/01 10:30", "永明", "", "agent")
                + berth("1042", "113/05/01 11:30", "P", "113/05/01 10:30", "永明", "EN", "agent")
-               + berth("1043", "tomorrow", "P", "", "好明", "EN", "agent"))),
+               + berth("1043", "tomorrow", "P", "", "好明", "EN", "agent") + "</div>")),
         "http://port.example/events", "http://port.example/miles")
     for version in range(2):
         store_crawl(spark, crawled, root, version, lambda _, v=version: moment(v), parts=2)
     rejects = {name: as_tuples(crawl_rejects(spark, root, name, 0), "reject_reason") for name in SPECS}
     assert rejects == {
-        "ship_status": [("long_ship_name",)], "ship_events": [("null_event_time",)], "ship_voyage": [],
+        "ship_status": [("long_ship_name",)], "ship_events": [("bad_event_time",)], "ship_voyage": [],
         "ship_berth_order": [("bad_berthing_time",)]}
     tables = {name: state_table(spark, root, name, parts=2) for name in SPECS}
     time = datetime(2024, 5, 1, 2, 30)

@@ -18,6 +18,7 @@ ERA = {
     "113/13/01 10:30": "reject", "113/05/01": "reject", "113/05/01 24:00": "reject",
     "113/05/01 10:60": "reject", "113/05/01 10:30:60": "reject", "113/02/30 10:30": "reject",
     "113/05/01  10:30": "reject", "not a time": "reject",
+    "9000/01/01 00:00": "reject", "8088/12/31 10:00": datetime(9999, 12, 31, 2, 0), "0/1/1 08:00": datetime(1911, 1, 1),
 }
 MERIDIEM = {
     "2024/5/1 下午 03:04:05": datetime(2024, 5, 1, 7, 4, 5),
@@ -25,14 +26,15 @@ MERIDIEM = {
     "2024/5/1 上午 12:30:00": datetime(2024, 4, 30, 16, 30),
     "2024/5/1 AM 03:04:05": datetime(2024, 4, 30, 19, 4, 5),
     "2024/5/1 下午 13:00:00": "reject", "2024/5/1 下午 00:10:00": "reject",
-    "2024/5/1 03:04:05": "reject", "24/5/1 下午 03:04:05": "reject", "": "reject", None: "reject",
+    "2024/5/1 03:04:05": "reject", "24/5/1 下午 03:04:05": "reject", "0000/5/1 下午 03:04:05": "reject",
+    "2024/5/1 下午 x 03:04:05": datetime(2024, 4, 30, 19, 4, 5), "": "reject", None: "reject",
 }
 CONTENT = {
     "113/05/01 10:30": datetime(2024, 5, 1, 2, 30),
     "  113/05/01   10:30:15 ": datetime(2024, 5, 1, 2, 30, 15),
     "202405011030": datetime(2024, 5, 1, 2, 30),
     "": None, "null": None, None: None, "靠泊": None, "abc/def": None, "113/05 10:30": None,
-    "twelve chars": "reject", "202413011030": "reject", "113/13/01 10:30": "reject", "113/05/01 soon": "reject",
+    "twelve chars": "reject", "000001010000": "reject", "9999/1/1 00:00": "reject", "202413011030": "reject", "113/13/01 10:30": "reject", "113/05/01 soon": "reject",
 }
 
 
