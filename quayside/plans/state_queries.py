@@ -264,3 +264,51 @@ def null_key_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     checks = quality.required_checks(["berthing_time", "ship_name_english", "port_agent"])
     return quality.rejected(quality.with_reasons(project(spark, sf_dir, "fx_berth_raw"), checks)).select(
         "seq", "reject_reason")
+
+
+# Per port table: its fixture, a row number, and faults planted by it in the limited and required columns.
+_AUDITED = {
+    "ship_status": ("fx_status", "c_custkey"), "ship_berth_order": ("fx_berth_raw", "seq"),
+    "ship_voyage": ("fx_voyage", "cast(substr(ship_voyage_number, 2, 5) as int)"), "ship_events": ("fx_events", "seq"),
+}
+
+
+def _planted(name: str) -> dict[str, str]:
+    number, columns = _AUDITED[name][1], {c: c for c in (*schemas.KEYS[name], *schemas.REQUIRED[name], *schemas.LENGTHS[name])}
+    for i, column in enumerate(schemas.LENGTHS[name]):
+        columns[column] = f"CASE WHEN {number} % 43 = {i} THEN {column} || repeat('x', 101) ELSE {column} END"
+    for i, column in enumerate(schemas.REQUIRED[name]):
+        columns[column] = f"CASE WHEN {number} % 41 = {i} THEN NULL ELSE {columns[column]} END"
+    return columns
+
+
+def _audit_oracle() -> str:
+    planted, parts = [], []
+    for name, (fixture, _) in _AUDITED.items():
+        planted.append(f"{name}_rows AS (SELECT {', '.join(f'{e} AS {c}' for c, e in _planted(name).items())} FROM {fixture})")
+        arms = [f"WHEN {c} IS NULL THEN 'null_{c}'" for c in schemas.REQUIRED[name]]
+        arms += [f"WHEN length(rtrim({c}, ' ')) > {limit} THEN 'long_{c}'" for c, limit in schemas.LENGTHS[name].items()]
+        parts.append(f"""
+    SELECT '{name}' AS table_name, reason, count(*) AS n
+    FROM (SELECT CASE {' '.join(arms)} END AS reason FROM {name}_rows) WHERE reason IS NOT NULL GROUP BY ALL""")
+        parts.append(f"""
+    SELECT '{name}', 'repeated_key', count(*) FROM (
+        SELECT 1 FROM {name}_rows GROUP BY {', '.join(schemas.KEYS[name])} HAVING count(*) > 1) HAVING count(*) > 0""")
+    fixtures = [fixture for fixture, _ in _AUDITED.values()]
+    return f"{oracle_with(*fixtures)}, {', '.join(planted)} {' UNION ALL '.join(parts)}"
+
+
+@query("port_audit", _audit_oracle())
+def port_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing keys, over-long texts and repeated keys of the four port tables, by their own limits."""
+    found = None
+    for name, (fixture, _) in _AUDITED.items():
+        rows = project(spark, sf_dir, fixture).selectExpr(*(f"{e} AS {c}" for c, e in _planted(name).items()))
+        checks = {**quality.required_checks(schemas.REQUIRED[name]), **quality.length_checks(schemas.LENGTHS[name])}
+        bad = quality.rejected(quality.with_reasons(rows, checks)).groupBy(
+            F.lit(name).alias("table_name"), F.col("reject_reason").alias("reason")).agg(F.count("*").alias("n"))
+        repeated = quality.repeated_keys(rows, schemas.KEYS[name]).agg(F.count("*").alias("n")).filter("n > 0").select(
+            F.lit(name).alias("table_name"), F.lit("repeated_key").alias("reason"), "n")
+        part = bad.union(repeated)
+        found = part if found is None else found.union(part)
+    return found
