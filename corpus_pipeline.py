@@ -6,6 +6,8 @@ read again as the documents of the next one, so that a stage starts from whole,
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm.base import prepared, stored, table
@@ -15,12 +17,20 @@ from quayside.llm.packing import packed_documents
 from quayside.llm.quality_rules import kept_documents
 from quayside.llm.signature_trees import distinct_documents
 
-STAGES = [
-    ("quality_rules", kept_documents),
-    ("line_windows", deduplicated_documents),
-    ("signature_trees", distinct_documents),
-    ("mixing", mixed_documents),
-    ("packing", packed_documents),
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _prepared(stage: Stage) -> Stage:
+    """The stage with the session's settings made first, as stages may be called one by one."""
+    return lambda spark, docs, sf_dir: stage(prepared(spark), docs, sf_dir)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", _prepared(kept_documents)),
+    ("line_windows", _prepared(deduplicated_documents)),
+    ("signature_trees", _prepared(distinct_documents)),
+    ("mixing", _prepared(mixed_documents)),
+    ("packing", _prepared(packed_documents)),
 ]
 # The last stage tokenizes, which SQL does not.
 ORACLE_SQL = None
