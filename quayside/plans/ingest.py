@@ -106,23 +106,30 @@ def typed_folder(root: str, table: str, version: int) -> str:
     return f"{root.rstrip('/')}/typed/{table}/crawl={version}"
 
 
+def store_table(
+    spark: SparkSession, rows: DataFrame, root: str, name: str, version: int, as_of: Column, parts: int = 64
+) -> None:
+    """Typed rows of one table into the stored one. They are written first, good and bad ones, so that
+    pages are not read again for the upsert; the rejects stay there with their reason."""
+    folder = typed_folder(root, name, version)
+    rows.write.mode("overwrite").parquet(folder)
+    typed = spark.read.schema(rows.schema).parquet(folder)
+    state_table(spark, root, name, parts).apply(quality.accepted(typed), version, as_of)
+
+
 def store_crawl(
     spark: SparkSession, tables: Mapping[str, DataFrame], root: str, version: int, as_of: Callable[[str], Column],
     parts: int = 64,
 ) -> None:
     """Takes one crawl into the stored tables below ``root``.
 
-    The typed rows of a table are written once, good and bad ones, so that pages are not
-    read again for the upsert; the rejects stay there with their reason. ``as_of`` gives
+    ``as_of`` gives
     the time stamped on a table's rows: tables are taken in one after the other, and a
     ship's voyage row is meant to be a little newer than its status row. ``parts`` is how
     many parts the tables without days have; it stays the same for as long as they live.
     """
     for name in ("ship_status", "ship_events", "ship_voyage", "ship_berth_order"):
-        folder = typed_folder(root, name, version)
-        tables[name].write.mode("overwrite").parquet(folder)
-        typed = spark.read.schema(tables[name].schema).parquet(folder)
-        state_table(spark, root, name, parts).apply(quality.accepted(typed), version, as_of(name))
+        store_table(spark, tables[name], root, name, version, as_of(name), parts)
 
 
 def crawl_rejects(spark: SparkSession, root: str, table: str, version: int) -> DataFrame:

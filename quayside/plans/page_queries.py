@@ -13,12 +13,16 @@ from quayside.functions import times
 from quayside.functions.text import page_address
 from quayside.operators import quality
 from quayside.operators.ordering import with_position
+from quayside.plans.alerts import moment
 from quayside.plans.ingest import own_pages, typed_events
 from quayside.plans.registry import query
 from quayside.plans.text_queries import EVENT_PAGE, content_text, era_text, meridiem_text
 from quayside.schemas import BERTH_TITLES, STATUS_TITLES
+from quayside.session import scratch_folder
 from quayside.sources import pages as P
-from quayside.sources.testdata import oracle_with, project, table
+from quayside.sources.state import state_table
+from quayside.sources.testdata import AS_OF, oracle_with, project, table
+from quayside.streaming.crawls import STATUS, crawl_stream
 
 CHUNK = 64
 PAGE_ROWS = 16
@@ -58,7 +62,7 @@ _NUMBERED = f"""numbered AS (
     FROM fx_status)"""
 
 
-def _status_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _status_pages(spark: SparkSession, sf_dir: str, ships: DataFrame | None = None) -> DataFrame:
     """Ship list pages. Every fiftieth ship lacks a cell, which ends the grid of its chunk."""
     key = F.col("c_custkey")
     flags = [
@@ -70,8 +74,8 @@ def _status_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = F.array(
         F.concat(F.lit("<a href='#'> "), "ship_voyage_number", F.lit("\n</a>")), F.col("ship_name"),
         F.coalesce("latest_event", F.lit("")), *flags)
-    rows = numbered(project(spark, sf_dir, "fx_status"), "c_custkey").withColumn(
-        "page_no", F.floor(F.col("row") / PAGE_ROWS))
+    ships = project(spark, sf_dir, "fx_status") if ships is None else ships
+    rows = numbered(ships, "c_custkey").withColumn("page_no", F.floor(F.col("row") / PAGE_ROWS))
     return pages_of(rows, grid_row(P.STATUS_GRID, cells))
 
 
@@ -87,6 +91,36 @@ def grid_extract_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("crawl_id", "row", *(F.col(t).alias(n) for t, n in zip(STATUS_TITLES, names, strict=True)))
 
 
+def _seen(crawl: str) -> str:
+    """Event of a ship at a crawl: the second one finds every seventh changed."""
+    return f"CASE WHEN {crawl} = 1 AND c_custkey % 7 = 0 THEN 'changed' ELSE coalesce(latest_event, 'NO') END"
+
+
+@query("stream_crawl", f"""{oracle_with('fx_status')}, {_NUMBERED},
+    gaps AS (SELECT crawl_id, min(row) AS gap FROM numbered WHERE c_custkey % 50 = 7 GROUP BY crawl_id)
+    SELECT ship_voyage_number, ship_name, {_seen('1')} AS latest_event, cast('{AS_OF}' as timestamp) AS created_at,
+        CASE WHEN {_seen('0')} <> {_seen('1')} THEN cast('{AS_OF}' as timestamp) + INTERVAL '1' HOUR
+            ELSE cast('{AS_OF}' as timestamp) END AS updated_at
+    FROM numbered n LEFT JOIN gaps g ON g.crawl_id = n.crawl_id WHERE g.gap IS NULL OR n.row < g.gap""")
+def stream_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of two crawls have landed before one run of the stream; both are taken in, in order."""
+    root = scratch_folder(spark, "stream-crawl")
+    found = None
+    for crawl in range(2):
+        ships = project(spark, sf_dir, "fx_status").withColumn("latest_event", F.expr(_seen(str(crawl))))
+        part = _status_pages(spark, sf_dir, ships).withColumns({
+            "url": F.lit("list"), "kind": F.lit(STATUS), "crawl": F.lit(crawl)})
+        found = part if found is None else found.union(part)
+    found = found.select("crawl_id", F.col("page_no").cast("int").alias("page_no"), "url", "html", "kind", "crawl")
+    found.write.parquet(f"{root}/arrived")
+    arriving = spark.readStream.schema(found.schema).parquet(f"{root}/arrived")
+    crawl_stream(
+        arriving, root, f"{root}/checkpoint", EVENT_PAGE, f"{EVENT_PAGE}-miles",
+        lambda crawl, _: moment(AS_OF) + F.make_dt_interval(hours=F.lit(crawl)), parts=8, export_stem="output",
+    ).awaitTermination()
+    return state_table(spark, root, "ship_status", 8).read()
+
+
 @query("arity_audit", f"""{oracle_with('fx_status')}, {_NUMBERED}
     SELECT crawl_id, row, cast({len(STATUS_TITLES) - 1} as bigint) AS n_cells FROM numbered WHERE c_custkey % 50 = 7""")
 def arity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,6 +63,10 @@ class StateTable:
                 lists.setdefault(row["version"], {})[row["part"]] = (row["held_by"], place)
         return lists
 
+    def newest(self) -> int:
+        """Number of the newest published version, -1 if there is none."""
+        return max(self._lists(), default=-1)
+
     def held(self) -> dict[str, int]:
         """Which version holds each part, in the newest version."""
         lists = self._lists()
