@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from quayside.llm.base import query, stored, table
 
 K = 20
-LEAF = 32
-CHILDREN = 16
+LEAF = 256
+CHILDREN = 4
 MOST_PIVOTS = 1024
 CANDIDATES_PER_BLOCK = 2048
 QUERIES_PER_BLOCK = 1024
@@ -124,6 +124,12 @@ class CoverTree:
         self.norm = np.sqrt((self.centre ** 2).sum(1))
         self.leaf = np.array([not k for k in self.kids])
 
+    def opened(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Children of ``nodes``, and for each the place of its parent in ``nodes``."""
+        kids = [self.kids[i] for i in nodes]
+        parent = np.repeat(np.arange(len(nodes)), [len(k) for k in kids])
+        return np.array([i for k in kids for i in k], np.int64), parent
+
 
 def _bound(qc: np.ndarray, qn: np.ndarray, qr: np.ndarray, cc: np.ndarray, cn: np.ndarray, cr: np.ndarray) -> np.ndarray:
     value = (qc * cc).sum(-1) + qn * cr + cn * qr + qr * cr
@@ -135,7 +141,7 @@ def search(q_ids: np.ndarray, q: np.ndarray, kth: np.ndarray, c_ids: np.ndarray,
     without scores below ``kth``, a score that k other candidates are known to reach."""
     one, two = CoverTree(q), CoverTree(c)
     kth = kth.copy()
-    pairs = np.zeros((1, 2), np.int64)
+    pairs = np.zeros((1, 2), np.int64)  # the two roots
     leaves: list[tuple[np.ndarray, np.ndarray]] = []
     while len(pairs):
         a, b = pairs.T
@@ -145,14 +151,13 @@ def search(q_ids: np.ndarray, q: np.ndarray, kth: np.ndarray, c_ids: np.ndarray,
         pairs, bound, a, b = pairs[keep], bound[keep], a[keep], b[keep]
         done = one.leaf[a] & two.leaf[b]
         leaves.append((pairs[done], bound[done]))
-        grown = []
-        for i, j in pairs[~done]:
-            # The wider node is opened.
-            if two.leaf[j] or (not one.leaf[i] and one.radius[i] > two.radius[j]):
-                grown += [(kid, j) for kid in one.kids[i]]
-            else:
-                grown += [(i, kid) for kid in two.kids[j]]
-        pairs = np.array(grown, np.int64).reshape(-1, 2)
+        a, b = a[~done], b[~done]
+        # The wider node is opened.
+        left = two.leaf[b] | (~one.leaf[a] & (one.radius[a] > two.radius[b]))
+        kids, parent = one.opened(a[left])
+        others, above = two.opened(b[~left])
+        pairs = np.concatenate((
+            np.stack([kids, b[left][parent]], 1), np.stack([a[~left][above], others], 1)))
     pairs, bound = (np.concatenate(x) for x in zip(*leaves, strict=True))
     order = np.lexsort((-bound, pairs[:, 0]))
     pairs, bound = pairs[order], bound[order]
@@ -163,9 +168,9 @@ def search(q_ids: np.ndarray, q: np.ndarray, kth: np.ndarray, c_ids: np.ndarray,
         node = pairs[rows[0], 0]
         mine = one.order[one.low[node]: one.high[node]]
         scores, ids = np.zeros((len(mine), 0)), np.zeros(0, np.int64)
-        for low in range(0, len(rows), 8):
+        for low in range(0, len(rows), 4):
             # Best bounds first; after the first that is too low none follows.
-            some = rows[low: low + 8]
+            some = rows[low: low + 4]
             some = some[bound[some] >= kth[mine].min()]
             if not len(some):
                 break
