@@ -9,7 +9,7 @@ import zstandard
 def pack(parts: list[np.ndarray], compress: bool = True) -> bytes:
     head = np.array([len(parts), *(p.nbytes for p in parts)], np.int64)
     raw = b"".join([head.tobytes(), *(p.tobytes() for p in parts)])
-    return zstandard.ZstdCompressor(level=1).compress(raw) if compress else raw
+    return zstandard.ZstdCompressor(level=3).compress(raw) if compress else raw
 
 
 def unpack(blob: bytes, compress: bool = True) -> list[bytes]:

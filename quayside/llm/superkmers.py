@@ -35,7 +35,7 @@ from quayside.llm.packed import pack, unpack
 from quayside.llm.words import SLICE_BYTES, Words, mix, run_hashes, run_starts, shingles, spans, text_slices
 
 WINDOW = 35
-SEED_WORDS = 5
+SEED_WORDS = 3
 HOT_SHARE = 1000
 BUCKET_BYTES = 16_000_000
 LEAST_BUCKETS = 64
