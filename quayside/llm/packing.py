@@ -1,15 +1,20 @@
 """Packing documents into sequences by lexical retrieval.
 
-The corpus is cut into shards of consecutive documents. Each shard has an inverted index from
+Related documents are brought together first. Each document goes to the pivot, of some sampled
+documents, that BM25 puts nearest to it; those of one pivot are ordered by their most telling terms, so
+copies and most near copies come next to each other wherever they were stored. This order is cut into
+shards of about equal numbers of documents, a big group into several.
+
+Each shard has an inverted index from
 token to the documents that hold it, with BM25 weights; the document frequencies and the mean
 length in these weights are those of the whole corpus. A window starts with a seed document. The
 index returns the unused documents of the shard that are nearest to the seed, and they fill the
 window one after the other; one that does not fit is cut, and its rest seeds the next window. So
-all windows of a partition but its last are full.
+all windows of a partition but its last are full. A seed does not ask other shards than its own.
 
 Tokens are the terms, so the table of frequencies has one entry per id of the vocabulary, whatever
-the corpus. Token ids are stored once, below the shared folder; shards are cut from that table, so
-that a task that is run again makes the same sequences.
+the corpus. Token ids are stored once, below the shared folder; shards are made from that table in an
+order that depends on the rows alone, so that a task that is run again makes the same sequences.
 
 Results by case: a NULL or empty text is the closing id alone; repeated rows and rows without
 doc_id are documents like others; a table without rows gives none; other columns are not looked at.
@@ -18,6 +23,7 @@ doc_id are documents like others; a table without rows gives none; other columns
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +40,10 @@ LENGTH = 2048
 END = 1
 SHARD_DOCS, SHARD_TOKENS = 2048, 4_000_000
 TERMS = 24
+#: Documents that the order of routes is shaped by, and the most bytes of ids of one.
+PIVOTS, PIVOT_BYTES = 64, 1 << 17
+#: Documents sampled per shard to find where the order is cut.
+SAMPLED = 32
 K1, B = 1.2, 0.75
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
@@ -106,10 +116,70 @@ class Shard:
         terms = terms[self._held[terms] > 1]
         if len(terms) > TERMS:
             terms = terms[np.argpartition(-self._idf[terms], TERMS)[:TERMS]]
+        return self.scores_of(terms)
+
+    def scores_of(self, terms: np.ndarray) -> np.ndarray:
+        """BM25 of all documents for these terms, each once."""
         places = spans(self._at[terms], self._held[terms])
         return np.bincount(self._owner[places], self._weight[places], self._n)
 
 
+class Routes:
+    """A number for each document; like ones have equal numbers, or numbers next to each other."""
+
+    def __init__(self, pivots: list[np.ndarray], frequency: np.ndarray, idf: np.ndarray, mean_length: float) -> None:
+        self._index = Shard(pivots, idf, mean_length) if pivots else None
+        self._frequency = frequency
+
+    def of(self, ids: np.ndarray) -> int:
+        """The nearest pivot, then the three rarest terms that another document holds."""
+        terms = np.unique(ids[:-1])
+        pivot = int(np.argmax(self._index.scores_of(terms))) if self._index and len(terms) else 0
+        held = self._frequency[terms]
+        rarest = (held << 16 | terms)[held > 1]
+        rarest = np.sort(np.partition(rarest, 2)[:3] if len(rarest) > 3 else rarest)
+        rarest = (rarest & 0xFFFF).tolist()
+        number = pivot
+        for term in rarest + [0xFFFF] * (3 - len(rarest)):
+            number = number << 16 | term
+        return number
+
+
+def _routed(routes: Routes, bounds: list[tuple[int, int]]):
+    """Adds route and shard: the place of (route, salt) among the bounds."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            number = [routes.of(np.frombuffer(ids.as_py(), np.uint16)) for ids in batch.column(1)]
+            shard = [bisect_right(bounds, x) for x in zip(number, batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(number, pa.int64()), pa.array(shard, pa.int64())],
+                ["doc_id", "ids", "salt", "route", "shard"])
+    return run
+
+
+ROUTED = "doc_id long, ids binary, salt long, route long, shard long"
+
+
+def _by_route(rows: DataFrame, docs: int, tokens: int, frequency: np.ndarray, idf: np.ndarray, mean_length: float) -> DataFrame:
+    """``(doc_id, ids)`` in the order of routes, consecutive ones in one partition."""
+    rows = rows.withColumn("salt", F.xxhash64("doc_id", "ids"))
+    # A big group of copies is not to take all places, so rows are sampled, and equal texts once.
+    some = rows.filter(F.octet_length("ids").between(4, PIVOT_BYTES)).filter(
+        F.pmod("salt", F.lit(max(1, docs // (4 * PIVOTS)))) == 0).groupBy("salt").agg(F.first("ids").alias("ids"))
+    pivots = [np.frombuffer(x, np.uint16) for x in dict.fromkeys(bytes(r["ids"]) for r in some.orderBy("salt").limit(PIVOTS).collect())]
+    routes = Routes(pivots, frequency, idf, mean_length)
+    # Somewhat more partitions than full shards, so that most are one shard.
+    shards = int(max(1, -(-5 * max(docs / SHARD_DOCS, tokens / SHARD_TOKENS) // 4)))
+    bounds = []
+    if shards > 1:
+        step = max(1, docs // (SAMPLED * shards))
+        found = rows.filter(F.pmod("salt", F.lit(step)) == 0).mapInArrow(_routed(routes, []), ROUTED)
+        found = sorted((r["route"], r["salt"]) for r in found.select("route", "salt").collect())
+        bounds = [found[len(found) * k // shards] for k in range(1, shards)] if found else []
+    routed = rows.mapInArrow(_routed(routes, bounds), ROUTED)
+    return routed.repartition(shards, "shard").sortWithinPartitions("shard", "route", "salt", "doc_id").select("doc_id", "ids", "shard")
+
+
 def _order(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, length: int, filled: int) -> Iterator[int]:
     """The documents of a shard in packing order; ``filled`` is how full the window is before."""
     shard = Shard(docs, idf, mean_length)
@@ -156,15 +226,16 @@ def _packed(idf: np.ndarray, mean_length: float, length: int):
             names = [x.split()[0] for x in PIECES.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names)
 
-        keys, docs, tokens = [], [], 0
+        keys, docs, tokens, number = [], [], 0, None
         for batch in batches:
-            for key, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for key, ids, at in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                if docs and (at != number or len(docs) >= SHARD_DOCS or tokens >= SHARD_TOKENS):
+                    yield shard(keys, docs)
+                    keys, docs, tokens = [], [], 0
+                number = at
                 keys.append(key)
                 docs.append(np.frombuffer(ids.as_py(), np.uint16))
                 tokens += len(docs[-1])
-                if len(docs) >= SHARD_DOCS or tokens >= SHARD_TOKENS:
-                    yield shard(keys, docs)
-                    keys, docs, tokens = [], [], 0
         if docs:
             yield shard(keys, docs)
     return run
@@ -181,7 +252,9 @@ def packed(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int
     n = max(1, sums["n"])
     frequency = document_frequency(encoded)
     idf = np.log(1 + (n - frequency + 0.5) / (frequency + 0.5))
-    return rows.mapInArrow(_packed(idf, (sums["bytes"] or 0) / 2 / n, length), PIECES)
+    tokens = (sums["bytes"] or 0) / 2
+    routed = _by_route(rows, n, tokens, frequency, idf, tokens / n)
+    return routed.mapInArrow(_packed(idf, tokens / n, length), PIECES)
 
 
 def packed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections import defaultdict
 
@@ -133,3 +134,18 @@ def test_neighbours_share_windows(session):
         windows[r.sequence_id].add(r.doc_id % 4)
     # In the order of the table every window would hold four subjects.
     assert np.mean([len(w) for w in windows.values()]) < 2
+
+
+def test_packing_brings_copies_together(session):
+    """Copies far apart in the table, more documents than a shard holds."""
+    from tests.llm.conftest import words
+
+    rng = random.Random(5)
+    n = packing.SHARD_DOCS + 200
+    texts = [words(rng, 12) for _ in range(n)]
+    docs = session.createDataFrame([(i, texts[i % n]) for i in range(2 * n)], "doc_id long, text string").coalesce(1)
+    rows = packing.packed(docs, length=256).collect()
+    first = {r.doc_id: (r.sequence_id, r.offset) for r in rows if r.start == 0}
+    assert len(first) == 2 * n
+    near = sum(abs(first[i][0] - first[i + n][0]) <= 1 for i in range(n))
+    assert near > 0.95 * n
