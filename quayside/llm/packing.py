@@ -40,6 +40,8 @@ LENGTH = 2048
 END = 1
 SHARD_DOCS, SHARD_TOKENS = 2048, 4_000_000
 TERMS = 24
+#: Nearest documents that are sorted at first.
+BLOCK = 16
 #: Documents that the order of routes is shaped by, and the most bytes of ids of one.
 PIVOTS, PIVOT_BYTES = 64, 1 << 17
 #: Documents sampled per shard to find where the order is cut.
@@ -180,16 +182,26 @@ def _by_route(rows: DataFrame, docs: int, tokens: int, frequency: np.ndarray, id
     return routed.repartition(shards, "shard").sortWithinPartitions("shard", "route", "salt", "doc_id").select("doc_id", "ids", "shard")
 
 
+def _nearest(scores: np.ndarray, some: int) -> np.ndarray:
+    """The documents that score best, best first: ``some``, and those that score as much as the last of them."""
+    some = min(some, len(scores))
+    near = np.flatnonzero((scores > 0) & (scores >= np.partition(scores, -some)[-some]))
+    return near[np.lexsort((near, -scores[near]))]
+
+
 def _order(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, length: int, filled: int) -> Iterator[int]:
     """The documents of a shard in packing order; ``filled`` is how full the window is before."""
     shard = Shard(docs, idf, mean_length)
     unused = np.ones(len(docs), bool)
-    lowest, seed, near = 0, -1, np.zeros(0, np.int64)
+    lowest, seed, near, at, some = 0, -1, np.zeros(0, np.int64), 0, BLOCK
+    scores = np.zeros(len(docs))
     for _ in range(len(docs)):
-        while len(near) and not unused[near[0]]:
-            near = near[1:]
-        if seed >= 0 and len(near):
-            pick = int(near[0])
+        if at == len(near) and len(near):
+            # All of these are in the window: the next best, more of them each time.
+            scores[near], some = 0.0, 2 * some
+            near, at = _nearest(scores, some), 0
+        if at < len(near):
+            pick, at = int(near[at]), at + 1
         else:
             while not unused[lowest]:
                 lowest += 1
@@ -202,10 +214,8 @@ def _order(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, length:
             # A new window: what is cut, or else this document, is its seed.
             seed = pick
             scores = np.where(unused, shard.scores(pick), 0.0)
-            some = min(16, len(scores))
-            near = np.argpartition(-scores, some - 1)[:some]
-            near = near[np.lexsort((near, -scores[near]))]
-            near = near[scores[near] > 0]
+            some = BLOCK
+            near, at = _nearest(scores, some), 0
 
 
 def _packed(idf: np.ndarray, mean_length: float, length: int):

@@ -149,3 +149,12 @@ def test_packing_brings_copies_together(session):
     assert len(first) == 2 * n
     near = sum(abs(first[i][0] - first[i + n][0]) <= 1 for i in range(n))
     assert near > 0.95 * n
+
+
+def test_window_goes_on_with_related_documents():
+    """More short related documents than the first block holds, with others between them in the table."""
+    related = np.array([*range(100, 120), packing.END], np.uint16)
+    docs = [related if i % 3 == 0 else np.array([*range(1000 + 20 * i, 1020 + 20 * i), packing.END], np.uint16) for i in range(210)]
+    order = list(packing._order(docs, np.ones(packing.VOCABULARY), 21.0, 2048, 0))
+    assert sorted(order) == list(range(210))
+    assert order[:70] == list(range(0, 210, 3))
