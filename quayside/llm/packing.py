@@ -39,7 +39,8 @@ from quayside.llm.words import spans, text_slices
 LENGTH = 2048
 END = 1
 SHARD_DOCS, SHARD_TOKENS = 2048, 4_000_000
-TERMS = 24
+#: A term that this share of a shard's documents hold has a row of weights.
+COMMON = 1 / 8
 #: Nearest documents that are sorted at first.
 BLOCK = 16
 #: Documents that the order of routes is shaped by, and the most bytes of ids of one.
@@ -110,20 +111,25 @@ class Shard:
         self._owner, self._weight = owner[order], weight[order]
         held = np.bincount(self._terms, minlength=VOCABULARY)
         self._at, self._held = np.concatenate(([0], np.cumsum(held))), held
-        self._idf, self._n = idf, len(docs)
+        self._n = len(docs)
+        # Adding up rows is much quicker than going through the documents of common terms.
+        common = np.flatnonzero(held >= max(2, COMMON * self._n))
+        self._row = np.full(VOCABULARY, -1, np.int32)
+        self._row[common] = np.arange(len(common))
+        self._rows = np.zeros((len(common), self._n), np.float32)
+        row = self._row[self._terms[order]]
+        self._rows[row[row >= 0], self._owner[row >= 0]] = self._weight[row >= 0]
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 of all documents for the seed's most telling terms."""
-        terms = self._terms[self._first[seed]: self._first[seed + 1]]
-        terms = terms[self._held[terms] > 1]
-        if len(terms) > TERMS:
-            terms = terms[np.argpartition(-self._idf[terms], TERMS)[:TERMS]]
-        return self.scores_of(terms)
+        """BM25 of all documents for all terms of a seed."""
+        return self.scores_of(self._terms[self._first[seed]: self._first[seed + 1]])
 
     def scores_of(self, terms: np.ndarray) -> np.ndarray:
         """BM25 of all documents for these terms, each once."""
+        row = self._row[terms]
+        terms = terms[row < 0]
         places = spans(self._at[terms], self._held[terms])
-        return np.bincount(self._owner[places], self._weight[places], self._n)
+        return np.bincount(self._owner[places], self._weight[places], self._n) + self._rows[row[row >= 0]].sum(axis=0)
 
 
 class Routes:

@@ -158,3 +158,20 @@ def test_window_goes_on_with_related_documents():
     order = list(packing._order(docs, np.ones(packing.VOCABULARY), 21.0, 2048, 0))
     assert sorted(order) == list(range(210))
     assert order[:70] == list(range(0, 210, 3))
+
+
+def test_scores_count_all_terms():
+    """BM25 by plain Python, of seeds with many terms: common ones, rare ones, and terms of one document."""
+    rng = random.Random(7)
+    docs = [np.array([*(rng.choices(range(10, 400), k=rng.randint(0, 300)) + [500 + i] * 2), packing.END], np.uint16) for i in range(30)]
+    idf = np.array([0.5 + t % 13 for t in range(packing.VOCABULARY)])
+    mean = float(np.mean([len(d) for d in docs]))
+    shard = packing.Shard(docs, idf, mean)
+    for seed, ids in enumerate(docs):
+        want = []
+        for d in docs:
+            held = d[:-1].tolist()
+            norm = packing.K1 * (1 - packing.B + packing.B * len(d) / mean)
+            want.append(sum(
+                idf[t] * held.count(t) * (packing.K1 + 1) / (held.count(t) + norm) for t in set(ids[:-1].tolist()) if t in held))
+        assert np.allclose(shard.scores(seed), want, rtol=1e-5)
