@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # What the three exports are called, after the stem of the first.
@@ -29,9 +30,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).options(**options).csv(path)
 
 
-def land_pages(pages: DataFrame, path: str) -> None:
-    """Raw pages as they came, by crawl date. A date crawled again is replaced."""
+def land_pages(pages: DataFrame, path: str, batch: int | None = None) -> None:
+    """Raw pages as they came, by crawl date. A date crawled again is replaced; with ``batch``, only
+    what that batch has brought for it, and pages of other batches stay beside it."""
+    by = ["crawl_date"]
+    if batch is not None:
+        pages, by = pages.withColumn("batch", F.lit(batch)), [*by, "batch"]
     (
         pages.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("crawl_date").parquet(path)
+        .partitionBy(*by).parquet(path)
     )
+
+
+def landed_pages(spark: SparkSession, path: str, crawl_date: str, schema: T.StructType) -> DataFrame:
+    """All pages that have landed for one date."""
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{path}/crawl_date={crawl_date}")

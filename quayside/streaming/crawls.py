@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -18,6 +18,19 @@ STATUS, EVENT, MILE, BERTH = "status", "event", "mile", "berth"
 ORDER = ("ship_status", "ship_events", "ship_voyage", "ship_berth_order")
 
 
+def late_folder(root: str, table: str, number: int) -> str:
+    return f"{root.rstrip('/')}/late/{table}/crawl={number}"
+
+
+def _newest_before(spark: SparkSession, root: str, batch_id: int, numbers: list[int]) -> int | None:
+    """Greatest crawl of the batches before this one, whose crawls are noted for the next."""
+    noted = f"{root}/crawls"
+    spark.createDataFrame([(n,) for n in numbers], "crawl bigint").coalesce(1).write.mode("overwrite").json(
+        f"{noted}/batch={batch_id}")
+    return spark.read.schema("crawl bigint, batch bigint").json(noted).filter(F.col("batch") < batch_id).agg(
+        F.max("crawl")).first()[0]
+
+
 def crawl_stream(
     pages: DataFrame, root: str, checkpoint: str, event_base: str, mile_base: str,
     as_of: Callable[[int, str], Column], parts: int = 64, export_stem: str | None = None,
@@ -27,22 +40,28 @@ def crawl_stream(
     ``pages`` has the columns of pages, ``kind``, and ``crawl``, the number of the crawl that
     found them. All pages are kept as they came, below ``root/landing``. Crawls of one micro-batch
     are stored one after the other, as the version of their number; ``as_of`` gives the time to stamp
-    from number and table. A crawl that is stored is left alone when a batch is run again, and so
-    is one that lands after a later one was stored: its pages stay in the landing area. With
+    from number and table. A crawl that goes on in a later micro-batch is taken again with all its
+    pages that have landed, in place of its first part. A crawl that is stored is left alone when a batch is run
+    again. Of one that lands, or goes on, after a later one has landed in an earlier batch, the typed rows with
+    their rejects go to ``late_folder`` instead, as the later one is not to be undone. With
     ``export_stem``, the three exports are made anew after each batch.
     """
 
-    def take(batch: DataFrame, _: int) -> None:
+    def take(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
         try:
-            files.land_pages(batch.withColumn("crawl_date", F.col("crawl").cast("string")), f"{root}/landing")
-            for number in sorted(row["crawl"] for row in batch.select("crawl").distinct().collect()):
-                mine = batch.filter(F.col("crawl") == number)
+            files.land_pages(batch.withColumn("crawl_date", F.col("crawl").cast("string")), f"{root}/landing", batch_id)
+            numbers = sorted(row["crawl"] for row in batch.select("crawl").distinct().collect())
+            newest = _newest_before(spark, root, batch_id, numbers)
+            for number in numbers:
+                mine = files.landed_pages(spark, f"{root}/landing", str(number), batch.schema)
                 kinds = {k: mine.filter(F.col("kind") == k).drop("kind", "crawl") for k in (STATUS, EVENT, MILE, BERTH)}
                 crawled = crawl_tables(kinds[STATUS], kinds[EVENT], kinds[MILE], kinds[BERTH], event_base, mile_base)
                 for name in ORDER:
-                    if state_table(spark, root, name, parts).newest() <= number:
+                    if newest is not None and number < newest:
+                        crawled[name].write.mode("overwrite").parquet(late_folder(root, name, number))
+                    elif state_table(spark, root, name, parts).newest() <= number:
                         store_table(spark, crawled[name], root, name, number, as_of(number, name), parts)
         finally:
             batch.unpersist()

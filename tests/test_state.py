@@ -16,6 +16,7 @@ from quayside.session import scratch_folder
 from quayside.sources import files
 from quayside.sources import pages as P
 from quayside.sources.state import state_table
+from quayside.streaming.crawls import EVENT, STATUS, crawl_stream, late_folder
 from quayside.streaming.ingest import upsert_stream
 from quayside.streaming.polls import first_reports, reporting_polls, split_late
 from tests.conftest import as_tuples
@@ -274,3 +275,39 @@ def test_a_whole_crawl(spark, root):
     assert as_tuples(tables["ship_berth_order"].read()) == [
         ("1042", time + timedelta(hours=1), "P", time, "永明", "EN", "agent", DAY, DAY)]
     assert tables["ship_status"].changes(1).count() == 0
+
+
+def test_crawl_in_several_batches(spark, root):
+    """A crawl whose pages land in two batches is stored whole; one that lands late is put out, and undoes nothing."""
+    schema = "crawl_id string, page_no int, url string, html string, kind string, crawl int"
+
+    def ships(crawl, page, *rows):
+        html = "".join(
+            cell(10 * page + i, c, v, P.STATUS_GRID) for i, r in enumerate(rows) for c, v in enumerate([*r, *["NO"] * 11]))
+        return ("c", page, "list", html, STATUS, crawl)
+
+    def land(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/arrived")
+        crawl_stream(
+            spark.readStream.schema(schema).parquet(f"{root}/arrived"), root, f"{root}/checkpoint", "http://port.example/events",
+            "http://port.example/miles", lambda crawl, _: moment(crawl), parts=2).awaitTermination()
+
+    def status():
+        rows = state_table(spark, root, "ship_status", parts=2).read()
+        return as_tuples(rows.select("ship_voyage_number", "latest_event"))
+
+    times = ["S", "2024/5/1 下午 03:04:05", "申請進港", "進港", "7", "1042", "null"]
+    own = "http://port.example/events?SP_ID=V00001&SP_SERIAL=0001"
+    first = [(f"V00001000{i}", f"n{i}", "a") for i in range(10)]
+    land(ships(1, 0, *first))
+    # The rows of the list and the events of a ship in its first part come in the second one.
+    land(ships(1, 1, ("V000020000", "n", "b")), ("c", 0, own, "".join(cell(0, i, v) for i, v in enumerate(times)), EVENT, 1))
+    want = sorted([*((k, e) for k, _, e in first), ("V000020000", "b")], key=repr)
+    assert status() == want
+    assert state_table(spark, root, "ship_events", parts=2).read().count() == 1
+    assert files.landed_pages(spark, f"{root}/landing", "1", spark.createDataFrame([], schema).schema).count() == 3
+    land(ships(3, 0, ("V000030000", "n", "c")))
+    land(ships(2, 0, ("V000030000", "n", "old"), ("V000040000", "n", "d")))
+    assert status() == sorted([*want, ("V000030000", "c")], key=repr)
+    late = spark.read.parquet(late_folder(root, "ship_status", 2))
+    assert as_tuples(late, "ship_voyage_number", "latest_event") == [("V000030000", "old"), ("V000040000", "d")]
