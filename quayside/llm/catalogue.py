@@ -2,7 +2,7 @@
 
 from quayside.llm import (  # noqa: F401
     cover_trees, fill_middle, line_windows, mixing, packing, pu_classifier, quality_rules,
-    signature_trees, superkmers, token_trees, warc)
+    signature_trees, superkmers, token_trees, transducer, warc)
 from quayside.llm.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
