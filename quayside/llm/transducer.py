@@ -34,6 +34,7 @@ import unicodedata
 from collections.abc import Callable, Iterator
 from functools import cache
 from heapq import heapify, heappop, heappush
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -48,6 +49,8 @@ PIECE_CHARS = 1 << 16
 PART_IDS = 1 << 16
 #: Longer runs without a blank are streamed and not remembered.
 LONG_CHARS = 256
+#: Texts are taken together up to this.
+TOGETHER_CHARS = 1 << 20
 KNOWN_MOST = 200_000
 #: Characters looked through for a place to cut at before more are read.
 CUT_CHARS = 64
@@ -77,6 +80,16 @@ class MergeList:
         self.ids: dict[str, int] = model["vocab"]
         self._rules: dict[tuple[int, int], tuple[int, int]] = {}
         self.lookahead = 1 + self._reach(model["merges"])
+        rules = sorted((a * len(self.ids) + b, rank, made) for (a, b), (rank, made) in self._rules.items())
+        self._keys, self._ranks = (np.array([r[k] for r in rules], np.int64) for k in (0, 1))
+        self._none = len(rules)
+        # Ids of the symbols within a word and at its end.
+        symbols = byte_symbols()
+        self._inner, self._last = np.zeros((2, 1 + max(map(ord, symbols))), np.int64)
+        for symbol in symbols:
+            self._inner[ord(symbol)], self._last[ord(symbol)] = self.ids.get(symbol, -1), self.ids.get(symbol + self.suffix, -1)
+        #: What each rule makes, by rank.
+        self._made = np.array([made for _, made in sorted(self._rules.values())], np.int64)
 
     def _reach(self, merges: list[list[str]]) -> int:
         """The longest chain of rules by which a difference moves left; fills the rules."""
@@ -135,6 +148,39 @@ class MergeList:
         held = [i for i in range(n) if size[i]]
         return [token[i] for i in held], [size[i] for i in held]
 
+    def merged_words(self, words: list[str]) -> list[bytes]:
+        """Ids of many whole words: in each pass every word has its merge of lowest rank everywhere."""
+        out: list[bytes] = [b""] * len(words)
+        sizes = np.array([len(word) for word in words], np.int64)
+        letters = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        token = self._inner[letters]
+        last = np.cumsum(sizes) - 1
+        token[last] = self._last[letters[last]]
+        which = np.arange(len(words))
+        while len(which):
+            first = np.concatenate(([0], np.cumsum(sizes)))
+            key = token[:-1] * len(self.ids) + token[1:]
+            at = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+            rank = np.full(len(token), self._none)
+            rank[:-1] = np.where(self._keys[at] == key, self._ranks[at], self._none)
+            rank[first[1:] - 1] = self._none
+            lowest = np.minimum.reduceat(rank, first[:-1])
+            more = lowest < self._none
+            for i in np.flatnonzero(~more).tolist():
+                out[which[i]] = token[first[i]: first[i + 1]].astype("<u4").tobytes()
+            owner = np.repeat(np.arange(len(which)), sizes)
+            kept, merge = more[owner], (rank == lowest[owner]) & (rank < self._none)
+            # Of merges that overlap, as in "aaa", the first, third and so on happen.
+            places = np.flatnonzero(merge)
+            begins = np.concatenate(([True], np.diff(places) != 1)) if len(places) else np.zeros(0, bool)
+            index = np.arange(len(places))
+            places = places[(index - np.maximum.accumulate(np.where(begins, index, 0))) % 2 == 0]
+            token[places] = self._made[rank[places]]
+            kept[places + 1] = False
+            sizes = np.bincount(owner[kept], minlength=len(which))[more]
+            token, which = token[kept], which[more]
+        return out
+
 
 class Word:
     """An open word: symbols come in, tokens go out once nothing that follows can change them."""
@@ -180,7 +226,7 @@ class Transducer:
         self._decoding: dict[bool, list[bytes]] = {}
         self._runs: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
-        self._words: dict[str, list[int]] = {}
+        self._words: dict[str, bytes] = {}
 
     def decoding(self, entries: bool) -> list[bytes]:
         """What each id puts out."""
@@ -228,39 +274,45 @@ class Transducer:
                 return i
         return 0
 
-    def run(self, text: str) -> bytes:
-        """Ids of a run that ends at both sides and is short enough to be remembered."""
-        ids = self._older.get(text)
-        if ids is None:
-            found: list[int] = []
-            for k, part in enumerate(self.parts(text)):
-                if k % 2:
-                    found.append(self.special[part])
-                elif part:
-                    for word in self.words(self.normal(part)):
-                        found += self.word(word)
-            ids = np.array(found, "<u4").tobytes()
-        if len(self._runs) >= KNOWN_MOST:
-            self._older, self._runs = self._runs, {}
-        self._runs[text] = ids
-        return ids
-
     def runs(self, texts: list[str]) -> list[bytes]:
-        known = self._runs.get
-        found = list(map(known, texts))
+        """Ids of runs that end at both sides and are short enough to be remembered."""
+        found = list(map(self._runs.get, texts))
         if None in found:
-            found = [self.run(text) if (ids := known(text)) is None else ids for text in texts]
+            made = self._learn({text for text, ids in zip(texts, found, strict=True) if ids is None})
+            found = [made[text] if ids is None else ids for text, ids in zip(texts, found, strict=True)]
         return found
 
-    def word(self, symbols: str) -> list[int]:
-        ids = self._words.get(symbols)
-        if ids is None:
-            if len(self._words) >= KNOWN_MOST:
-                self._words = {}
-            word = Word(self.merges)
-            ids = word.feed(symbols) + word.finish()
-            self._words[symbols] = ids
-        return ids
+    def _learn(self, texts: set[str]) -> dict[str, bytes]:
+        made = {text: self._older[text] for text in texts if text in self._older}
+        plain = []
+        for text in texts:
+            if text not in made and "<|" in text and self._special.search(text):
+                made[text] = b"".join(
+                    np.uint32(self.special[part]).tobytes() if k % 2 else b"".join(self.words_ids(self.words(self.normal(part))))
+                    for k, part in enumerate(self.parts(text)))
+            elif text not in made:
+                plain.append(text)
+        if plain:
+            # Blanks hold for normalizer and splitter, so all runs go through them as one text.
+            normal = self.normal(" ".join(plain))
+            ends = np.cumsum([len(run) + 1 for run in normal.split(" ")])
+            split = self._split(normal)
+            ids = self.words_ids([word for word, _ in split])
+            first = np.searchsorted(np.fromiter((at[0] for _, at in split), np.int64, len(split)), ends).tolist()
+            made.update((run, b"".join(ids[a:b])) for run, a, b in zip(plain, [0, *first], first, strict=False))
+        if len(self._runs) + len(made) > KNOWN_MOST:
+            self._older, self._runs = self._runs, {}
+        self._runs.update(made)
+        return made
+
+    def words_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of whole words, in symbols."""
+        known = self._words
+        new = list({word for word in words if word not in known})
+        if len(known) + len(new) > KNOWN_MOST:
+            known = self._words = {word: known[word] for word in words if word in known}
+        known.update(zip(new, self.merges.merged_words(new), strict=True))
+        return [known[word] for word in words]
 
 
 class Stream:
@@ -296,7 +348,7 @@ class Stream:
             out += self._shared.runs(runs)
         else:
             for run in runs:
-                out.append(self._shared.run(run) if len(run) <= LONG_CHARS else self._close(run))
+                out += self._shared.runs([run]) if len(run) <= LONG_CHARS else [self._close(run)]
         if len(self._raw) > LONG_CHARS:
             out.append(self._go_on(self._raw))
         return b"".join(out)
@@ -349,12 +401,9 @@ class Stream:
                 self._guard = self._shared.run_kind(normal[-1])
         opened = words.pop() if self._guard else ""
         for word in words:
-            out += self._shared.word(word) if len(word) <= LONG_CHARS else self._whole(word)
+            out += self._word.feed(word) + self._word.finish()
         return out + self._word.feed(opened)
 
-    def _whole(self, word: str) -> list[int]:
-        return self._word.feed(word) + self._word.finish()
-
 
 # The splitter's contractions, and how they begin: one, or two characters that are words by themselves.
 _CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
@@ -410,14 +459,35 @@ def streamed(shared: Transducer, text: str) -> Iterator[bytes]:
     yield b"".join([*held, stream.finish()])
 
 
+def together(shared: Transducer, texts: list[str]) -> Iterator[Iterator[bytes]]:
+    """The same for several texts; what is new in the short ones is learnt at once."""
+    runs = [_RUN.findall(text) if len(text) <= PIECE_CHARS else None for text in texts]
+    short = [found is not None and all(len(run) <= LONG_CHARS for run in found) for found in runs]
+    ids = iter(shared.runs([run for found, ok in zip(runs, short, strict=True) if ok for run in found]))
+    for text, found, ok in zip(texts, runs, short, strict=True):
+        yield iter([b"".join(islice(ids, len(found)))]) if ok else streamed(shared, text)
+
+
 def _encode(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = transducer(path)
         out = _Rows(ENCODED)
+
+        def rows(keys: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
+            for key, parts in zip(keys, together(shared, texts), strict=True):
+                for part, ids in enumerate(parts):
+                    yield from out.add((key, part, ids), len(ids))
+
         for batch in batches:
+            keys, texts, size = [], [], 0
             for key, text in zip(batch.column(0), batch.column(1), strict=True):
-                for part, ids in enumerate(streamed(shared, text.as_py() or "")):
-                    yield from out.add((key.as_py(), part, ids), len(ids))
+                keys.append(key.as_py())
+                texts.append(text.as_py() or "")
+                size += len(texts[-1])
+                if size >= TOGETHER_CHARS:
+                    yield from rows(keys, texts)
+                    keys, texts, size = [], [], 0
+            yield from rows(keys, texts)
         yield from out.rest()
     return run
 
