@@ -11,8 +11,8 @@ used and whose results are made once, which is checked.
 that end further back than it are then the same whatever comes, so they go out. What is held is
 bounded by the lookahead, not by word or text. Words that end soon are looked up among those seen lately.
 Text comes in pieces, which are cut where neither a special token, a composed character nor a
-contraction can lie across; words are told apart by the tokenizer's own normalizer and splitter, so that
-classes of characters are the library's. Only a run of combining marks has no such place and is held whole.
+contraction can lie across; beyond ASCII, words are told apart by the tokenizer's own normalizer and splitter, so
+that classes of characters are the library's. Only a run of combining marks has no such place and is held whole.
 
 *Decoding.* A machine over bytes: each id stands for some bytes, a character whose bytes have not all
 come is held, and bytes that are no character become U+FFFD.
@@ -276,43 +276,49 @@ class Transducer:
 
     def runs(self, texts: list[str]) -> list[bytes]:
         """Ids of runs that end at both sides and are short enough to be remembered."""
-        found = list(map(self._runs.get, texts))
-        if None in found:
-            made = self._learn({text for text, ids in zip(texts, found, strict=True) if ids is None})
-            found = [made[text] if ids is None else ids for text, ids in zip(texts, found, strict=True)]
+        known = self._runs
+        missing = set(texts).difference(known)
+        if missing:
+            known.update(self._learn(missing))
+        found = list(map(known.__getitem__, texts))
+        if len(known) > KNOWN_MOST:
+            self._older, self._runs = known, {}
         return found
 
     def _learn(self, texts: set[str]) -> dict[str, bytes]:
-        made = {text: self._older[text] for text in texts if text in self._older}
-        plain = []
-        for text in texts:
-            if text not in made and "<|" in text and self._special.search(text):
+        older = self._older
+        made = {text: older[text] for text in texts if text in older}
+        plain, lists, other = [], [], []
+        for text in texts.difference(made):
+            if "<|" in text and self._special.search(text):
                 made[text] = b"".join(
                     np.uint32(self.special[part]).tobytes() if k % 2 else b"".join(self.words_ids(self.words(self.normal(part))))
                     for k, part in enumerate(self.parts(text)))
-            elif text not in made:
+            elif text.isascii() and text.isprintable():
                 plain.append(text)
-        if plain:
-            # Blanks hold for normalizer and splitter, so all runs go through them as one text.
-            normal = self.normal(" ".join(plain))
+                lists.append(_ASCII_WORD.findall(text.lower()))
+            else:
+                other.append(text)
+        if other:
+            # Blanks hold for normalizer and splitter, so all these runs go through them as one text.
+            normal = self.normal(" ".join(other))
             ends = np.cumsum([len(run) + 1 for run in normal.split(" ")])
             split = self._split(normal)
-            ids = self.words_ids([word for word, _ in split])
             first = np.searchsorted(np.fromiter((at[0] for _, at in split), np.int64, len(split)), ends).tolist()
-            made.update((run, b"".join(ids[a:b])) for run, a, b in zip(plain, [0, *first], first, strict=False))
-        if len(self._runs) + len(made) > KNOWN_MOST:
-            self._older, self._runs = self._runs, {}
-        self._runs.update(made)
+            plain += other
+            lists += [[word for word, _ in split[a:b]] for a, b in zip([0, *first], first, strict=False)]
+        ids = iter(self.words_ids([word for words in lists for word in words]))
+        made.update((run, b"".join(islice(ids, len(words)))) for run, words in zip(plain, lists, strict=True))
         return made
 
     def words_ids(self, words: list[str]) -> list[bytes]:
         """Ids of whole words, in symbols."""
         known = self._words
-        new = list({word for word in words if word not in known})
+        new = list(set(words).difference(known))
         if len(known) + len(new) > KNOWN_MOST:
             known = self._words = {word: known[word] for word in words if word in known}
         known.update(zip(new, self.merges.merged_words(new), strict=True))
-        return [known[word] for word in words]
+        return list(map(known.__getitem__, words))
 
 
 class Stream:
@@ -405,7 +411,9 @@ class Stream:
         return out + self._word.feed(opened)
 
 
-# The splitter's contractions, and how they begin: one, or two characters that are words by themselves.
+# What the splitter finds in visible ASCII characters, which are symbols as they are.
+_ASCII_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+# Its contractions, and how they begin: one, or two characters that are words by themselves.
 _CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 _CONTRACTED = {1: ("'",), 2: ("'r", "'v", "'l")}
 
@@ -462,7 +470,7 @@ def streamed(shared: Transducer, text: str) -> Iterator[bytes]:
 def together(shared: Transducer, texts: list[str]) -> Iterator[Iterator[bytes]]:
     """The same for several texts; what is new in the short ones is learnt at once."""
     runs = [_RUN.findall(text) if len(text) <= PIECE_CHARS else None for text in texts]
-    short = [found is not None and all(len(run) <= LONG_CHARS for run in found) for found in runs]
+    short = [found is not None and max(map(len, found), default=0) <= LONG_CHARS for found in runs]
     ids = iter(shared.runs([run for found, ok in zip(runs, short, strict=True) if ok for run in found]))
     for text, found, ok in zip(texts, runs, short, strict=True):
         yield iter([b"".join(islice(ids, len(found)))]) if ok else streamed(shared, text)
