@@ -1,6 +1,6 @@
 """Near duplicates by word shingles: an exact Jaccard join with signature trees.
 
-A document is the set of its runs of five words; two link when the sets' Jaccard similarity is
+A document is the set of its runs of five words, A-Z taken as a-z; two link when the sets' Jaccard similarity is
 0.8 or more. Equal sets form one class, so copies are compared once.
 
 *Which classes may link.* If two sets link, the first ``n - ceil(0.8 n) + 1`` members of each, in
@@ -58,9 +58,14 @@ BAND = 1.26
 HOT_TIMES = 50_000
 
 
+# A-Z as a-z; no byte of a longer character lies there.
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[0x41:0x5B] += 0x20
+
+
 def _sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles of all texts of a slice, per text in order and once, and where each text begins."""
-    words = Words(data, offsets)
+    words = Words(_FOLD[data], offsets)
     values, starts = shingles(words, width)
     text = np.searchsorted(words.first, starts, "right") - 1
     counts = np.diff(words.first)
@@ -534,7 +539,8 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 _ORACLE = f"""
     WITH RECURSIVE words AS (
-        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
     shingles AS (
         SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {WIDTH} THEN [array_to_string(w, ' ')]
             ELSE list_transform(range(1, len(w) - {WIDTH} + 2), lambda i: array_to_string(w[i:i + {WIDTH} - 1], ' ')) END) AS shingle

@@ -24,6 +24,7 @@ def odd_rows():
     base, passage, long = words(rng, 120), words(rng, 50), words(rng, 6000)
     near = base.split()
     near[60] = "changed"
+    shouted = words(rng, 70)
     lines = "\n".join(words(rng, 12) for _ in range(6))
     texts = [
         (1, base), (2, base), (2, base), (3, " ".join(near)), (4, None), (5, ""), (6, " \n\t "), (None, base), (None, None),
@@ -31,6 +32,7 @@ def odd_rows():
         (12, words(rng, 30) + " " + passage + " " + words(rng, 30)), (13, words(rng, 40) + "\n" + passage),
         (14, lines), (15, words(rng, 8) + "\n" + lines), (16, "ünï 日本 #$% | " + words(rng, 60)), (16, "other text of the same id"),
         (17, "same same same same " * 30), (18, lines + "\n\n" + lines), (2**40, words(rng, 55)),
+        (19, shouted.upper()), (20, shouted.title()), (21, shouted + " \xc9T\xc9"), (22, shouted + " \xe9t\xe9"), (23, "Four Words OF Text"),
     ]
     return [(k, t, ("a", "b", None)[i % 3]) for i, (k, t) in enumerate(texts)]
 

@@ -140,7 +140,7 @@ def test_superkmers(odd, odd_rows, empty):
 def brute_components(rows):
     sets = []
     for _, text, _ in rows:
-        w = split(text)
+        w = split(text and re.sub("[A-Z]", lambda m: m[0].lower(), text))
         sets.append({tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
     group = list(range(len(rows)))
     for i in range(len(rows)):
