@@ -17,7 +17,7 @@ from quayside import schemas
 from quayside.operators.changes import any_of, differs_null_safe, differs_plain
 from quayside.operators.latest import keep_last
 
-REPLACE, COALESCE = "replace", "coalesce"
+REPLACE, COALESCE, NEWEST = "replace", "coalesce", "newest"
 INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
 
 
@@ -28,7 +28,9 @@ class UpsertSpec:
     ``watched``: a difference in these makes a stored row change.
     ``payload``: the columns then written (``watched`` included).
     ``null_safe``: whether NULL against a value is a difference.
-    ``merge``: write the new values, or keep stored ones where the new are NULL.
+    ``merge``: write the new values; or keep stored ones where the new are NULL; or keep of each of the
+    ``reports``, groups of columns led by those that say how new it is, the newest, wherever it is.
+    ``layout``: columns that say where a row is stored, if not all keys.
     ``stamped``: whether the table has ``created_at`` and ``updated_at``.
     ``last_only``: of a batch, which is one crawl, only the last row of a key counts.
     """
@@ -41,6 +43,8 @@ class UpsertSpec:
     merge: str = REPLACE
     stamped: bool = True
     last_only: bool = False
+    reports: tuple[tuple[tuple[str, ...], tuple[str, ...]], ...] = ()
+    layout: tuple[str, ...] = ()
 
     def variant(self, **changes: object) -> UpsertSpec:
         return replace(self, **changes)
@@ -57,7 +61,7 @@ SPECS = {
         UpsertSpec("ship_berth_order", schemas.KEYS["ship_berth_order"],
                    ("berthing_time", "pilotage_time", "ship_name_english", "port_agent"),
                    ("berthing_time", "pilotage_time", "ship_name_english", "port_agent"),
-                   null_safe=False, last_only=True),
+                   null_safe=False, last_only=True, layout=("berth_number",)),
         UpsertSpec("ship_voyage", schemas.KEYS["ship_voyage"],
                    ("pass_10_miles_time", "pass_5_miles_time"), ("pass_10_miles_time", "pass_5_miles_time"),
                    merge=COALESCE),
@@ -69,10 +73,29 @@ SPECS = {
 }
 
 
+
+def _kept_newest(table: str, *reports: tuple[tuple[str, ...], tuple[str, ...]], layout: tuple[str, ...] = ()) -> UpsertSpec:
+    columns = tuple(name for order, values in reports for name in (*order, *values))
+    return UpsertSpec(
+        table, schemas.KEYS[table], columns, columns, merge=NEWEST, stamped=False, reports=reports, layout=layout)
+
+
+# Tables kept up to date from the changes of the others.
+DERIVED_SPECS = {
+    spec.table: spec
+    for spec in (
+        _kept_newest("announced_times", (("eta_reported",), ("eta",)), (("etd_reported",), ("etd",))),
+        _kept_newest("name_agents", (("changed_at", "berth_number", "ship_status"), ("port_agent",))),
+        _kept_newest("ship_names", (("seen_at",), ()), layout=("ship_name",)),
+    )
+}
+
+
 def spec_for(table: str) -> UpsertSpec:
-    if table not in SPECS:
+    spec = SPECS.get(table) or DERIVED_SPECS.get(table)
+    if spec is None:
         raise ValueError(f"no such table: {table}")
-    return SPECS[table]
+    return spec
 
 
 def _row(spec: UpsertSpec, arrival: str) -> Column:
@@ -153,6 +176,28 @@ def _coalesce_result(spec: UpsertSpec, old: dict[str, Column]) -> tuple[Column,
     return any_of(fired), values
 
 
+def _fold_newest(batch: DataFrame, spec: UpsertSpec, arrival: str) -> DataFrame:
+    """Per key the newest of each report; of equally new ones the last to arrive. One row per key and task travels."""
+    newest = [
+        F.max(F.when(F.col(order[0]).isNotNull(), F.struct(F.struct(*order).alias("order"), arrival, *values))).alias(f"_report_{i}")
+        for i, (order, values) in enumerate(spec.reports)]
+    return batch.groupBy(*spec.keys).agg(*newest)
+
+
+def _newest_result(spec: UpsertSpec, old: dict[str, Column]) -> tuple[Column, dict[str, Column]]:
+    """A report counts unless a newer one is stored, so batches may come in any order."""
+    fired, result = [], {}
+    for i, (order, values) in enumerate(spec.reports):
+        report = F.col(f"_report_{i}")
+        stored = F.struct(*(old[name].alias(name) for name in order))
+        taken = report.isNotNull() & (old[order[0]].isNull() | (report["order"] >= stored))
+        for name in (*order, *values):
+            new = report["order"][name] if name in order else report[name]
+            result[name] = F.when(taken, new).otherwise(old[name])
+            fired.append(~result[name].eqNullSafe(old[name]))
+    return any_of(fired), result
+
+
 def _run_result(spec: UpsertSpec, old: dict[str, Column], stored: Column) -> tuple[Column, dict[str, Column]]:
     final = F.coalesce("change", "first")
     first_differs = any_of([spec.differs(F.col(f"first.{name}"), old[name]) for name in spec.watched])
@@ -196,6 +241,8 @@ def upsert(
         if not spec.null_safe:
             raise ValueError("repeated keys under coalesce need the null-safe comparison")
         summary = _fold_coalesce(batch, spec, arrival)
+    elif spec.merge == NEWEST:
+        summary = _fold_newest(batch, spec, arrival)
     elif len(spec.watched) > 1 and not spec.null_safe:
         raise ValueError("several plainly compared columns need a batch of which the last row counts")
     else:
@@ -213,6 +260,8 @@ def upsert(
         fired, values = _single_result(spec, old)
     elif spec.merge == COALESCE:
         fired, values = _coalesce_result(spec, old)
+    elif spec.merge == NEWEST:
+        fired, values = _newest_result(spec, old)
     else:
         fired, values = _run_result(spec, old, stored)
 

@@ -149,6 +149,19 @@ _BERTH_ALERTS = f"""{_REVISED},
         LEFT JOIN eta ON eta.ship_voyage_number = ss.ship_voyage_number
         LEFT JOIN etd ON etd.ship_voyage_number = ss.ship_voyage_number)"""
 
+_OUTBOX = f"""
+    outbox AS (
+        SELECT md5(message) AS alert_id, message_format, ship_voyage_number, event_name, stakeholder, message,
+            CASE WHEN stakeholder = 'Tugboat' THEN 'no_token' ELSE 'queued' END AS status FROM passed
+        UNION ALL
+        SELECT md5(any_value(message)), any_value(message_format), ship_voyage_number, any_value(event_name),
+            '{rules.MASTER_GROUP}', chr(10) || '通知對象: ' || chr(10)
+                || string_agg(stakeholder, chr(10) ORDER BY position) || any_value(message), 'queued'
+        FROM passed GROUP BY alert, ship_voyage_number
+        UNION ALL
+        SELECT md5(message), message_format, ship_voyage_number, event_name, '{rules.MASTER_GROUP}', message, 'queued'
+        FROM (SELECT *, {_BERTH_TEXT} AS message FROM berth_alerts))"""
+
 _STATE = oracle_with("fx_status", "fx_voyage", "fx_events")
 _ALL = oracle_with("fx_status", "fx_voyage", "fx_events", "fx_berth")
 _BERTHS = oracle_with("fx_status", "fx_events", "fx_berth")
@@ -324,19 +337,7 @@ def master_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.master_digests(_routed(spark, sf_dir)).select("ship_voyage_number", "event_name", "message")
 
 
-@query("poll_outbox", f"""{_ALL}, {_ROUTED}, {_BERTH_ALERTS.replace(_REVISED + ",", "", 1)},
-    outbox AS (
-        SELECT md5(message) AS alert_id, message_format, ship_voyage_number, event_name, stakeholder, message,
-            CASE WHEN stakeholder = 'Tugboat' THEN 'no_token' ELSE 'queued' END AS status FROM passed
-        UNION ALL
-        SELECT md5(any_value(message)), any_value(message_format), ship_voyage_number, any_value(event_name),
-            '{rules.MASTER_GROUP}', chr(10) || '通知對象: ' || chr(10)
-                || string_agg(stakeholder, chr(10) ORDER BY position) || any_value(message), 'queued'
-        FROM passed GROUP BY alert, ship_voyage_number
-        UNION ALL
-        SELECT md5(message), message_format, ship_voyage_number, event_name, '{rules.MASTER_GROUP}', message, 'queued'
-        FROM (SELECT *, {_BERTH_TEXT} AS message FROM berth_alerts))
-    SELECT * FROM outbox""")
+@query("poll_outbox", f"""{_ALL}, {_ROUTED}, {_BERTH_ALERTS.replace(_REVISED + ",", "", 1)}, {_OUTBOX} SELECT * FROM outbox""")
 def poll_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.outbox(
         _tables(spark, sf_dir), rules.rule_table(spark), rules.channel_table(spark, CHANNELS), A.moment(CUTOFF))

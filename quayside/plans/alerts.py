@@ -68,13 +68,15 @@ def recent_candidates(status: DataFrame, voyage: DataFrame, cutoff: Column) -> D
 
 
 def latest_status(
-    status: DataFrame, voyage: DataFrame, events: DataFrame, cutoff: Column, recent_events: DataFrame | None = None
+    status: DataFrame, voyage: DataFrame, events: DataFrame | None, cutoff: Column, recent_events: DataFrame | None = None,
+    announced: DataFrame | None = None,
 ) -> DataFrame:
     """Recently changed ships with their latest event(s), ETA, ETD and mile passages.
 
     Only events since ``cutoff`` are ranked: the newest event of a voyage is reported only
     if it is that recent, and then it is also the newest of the recent ones. They are taken from
-    ``recent_events`` if given. Of the revisions only those of the reported voyages are aggregated.
+    ``recent_events`` if given. The announced times are taken from ``announced`` if given; else the revisions
+    of the reported voyages are aggregated.
     """
     recent = events if recent_events is None else recent_events
     latest = newest_with_ties(
@@ -90,8 +92,9 @@ def latest_status(
         F.col("event_source").alias("latest_event_source"),
     )
     reported = recent_candidates(status, voyage, cutoff).join(latest, KEY)
+    times = revised_times(events, reported) if announced is None else announced.select(KEY, "eta", "etd")
     return (
-        reported.join(revised_times(events, reported), KEY, "left")
+        reported.join(times, KEY, "left")
         .select(
             "ship_name", KEY, "eta", "etd", "latest_event_name", "latest_event_time", "navigation_status",
             "latest_event_content_time", "latest_event_source", "updated_at", "pass_10_miles_time",

@@ -52,12 +52,15 @@ def moved_ahead(berths: DataFrame, cutoff: Column) -> DataFrame:
     )
 
 
-def berth_alerts(berths: DataFrame, status: DataFrame, events: DataFrame, cutoff: Column) -> DataFrame:
-    """Alert rows for every voyage of the ship behind one that moved."""
+def berth_alerts(
+    berths: DataFrame, status: DataFrame, events: DataFrame | None, cutoff: Column, announced: DataFrame | None = None
+) -> DataFrame:
+    """Alert rows for every voyage of the ship behind one that moved; announced times as in ``latest_status``."""
     berthed = F.col("berthing_time").isNotNull()
     moved = moved_ahead(berths, cutoff).join(status.select("ship_name", KEY), "ship_name")
+    times = revised_times(events, moved) if announced is None else announced.select(KEY, "eta", "etd")
     return (
-        moved.join(revised_times(events, moved), KEY, "left")
+        moved.join(times, KEY, "left")
         .select(
             F.lit(rules.BERTH_FORMAT).alias("message_format"),
             "ship_name",

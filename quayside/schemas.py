@@ -37,6 +37,20 @@ SHIP_EVENTS = _schema(
     ("berth_number", _S), ("event_content_time", _TS),
 )
 
+# Kept up to date from the changes of the others: newest announced arrival and departure of a voyage, newest
+# queue entry of a Chinese name, and the voyages that a ship name has had.
+ANNOUNCED_TIMES = _schema(
+    ("ship_voyage_number", _S), ("eta_reported", _TS), ("eta", _TS), ("etd_reported", _TS), ("etd", _TS),
+)
+
+NAME_AGENTS = _schema(
+    ("ship_name_chinese", _S), ("changed_at", _TS), ("berth_number", _S), ("ship_status", _S), ("port_agent", _S),
+)
+
+SHIP_NAMES = _schema(
+    ("ship_name", _S), ("ship_voyage_number", _S), ("seen_at", _TS),
+)
+
 TABLES = {
     "ship_status": SHIP_STATUS,
     "ship_berth_order": SHIP_BERTH_ORDER,
@@ -44,11 +58,20 @@ TABLES = {
     "ship_events": SHIP_EVENTS,
 }
 
+DERIVED = {
+    "announced_times": ANNOUNCED_TIMES,
+    "name_agents": NAME_AGENTS,
+    "ship_names": SHIP_NAMES,
+}
+
 KEYS = {
     "ship_status": ("ship_voyage_number",),
     "ship_berth_order": ("berth_number", "ship_name_chinese", "ship_status"),
     "ship_voyage": ("ship_voyage_number",),
     "ship_events": ("ship_voyage_number", "event_time", "event_name"),
+    "announced_times": ("ship_voyage_number",),
+    "name_agents": ("ship_name_chinese",),
+    "ship_names": ("ship_name", "ship_voyage_number"),
 }
 
 # Columns that may not be NULL: the primary keys, plus the event time on which the

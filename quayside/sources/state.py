@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.operators.upsert import UNCHANGED, UpsertSpec, changes_of, spec_for, upsert
-from quayside.schemas import TABLES
+from quayside.schemas import DERIVED, TABLES
 from quayside.session import scratch_folder
 
 # Crawls of one batch that are folded in one plan; of more, the rows in between are written.
@@ -35,17 +35,25 @@ class StateTable:
         self.root = root.rstrip("/")
         self.spec = spec
         self.parts = parts
-        columns = [f for f in TABLES[spec.table].fields if f.name != "id"]
+        self.names = {**TABLES, **DERIVED}[spec.table].names
+        columns = [f for f in {**TABLES, **DERIVED}[spec.table].fields if f.name != "id"]
         self.schema = T.StructType([*columns, T.StructField("change_type", T.StringType())])
 
-    def _part(self) -> Column:
+    def _place(self) -> Column:
+        """What the name of a part begins with: the day, or a hash."""
         if self.spec.table == "ship_events":
-            day = F.date_format("event_time", "yyyy-MM-dd")
-            if self.parts_per_day == 1:
-                return day
-            share = F.pmod(F.xxhash64(*self.spec.keys), F.lit(self.parts_per_day))
-            return F.concat_ws("_", day, share.cast("string"))
-        return F.pmod(F.xxhash64(*self.spec.keys), F.lit(self.parts)).cast("string")
+            return F.date_format("event_time", "yyyy-MM-dd")
+        return F.pmod(F.xxhash64(*(self.spec.layout or self.spec.keys)), F.lit(self.parts)).cast("string")
+
+    def _part(self) -> Column:
+        if self.parts_per_day == 1 or not (self.spec.table == "ship_events" or self.spec.layout):
+            return self._place()
+        share = F.pmod(F.xxhash64(*self.spec.keys), F.lit(self.parts_per_day))
+        return F.concat_ws("_", self._place(), share.cast("string"))
+
+    def places_of(self, rows: DataFrame) -> set[str]:
+        """Places that rows with these keys, or columns of the layout, lie in; no more than there are parts."""
+        return {row["place"] for row in rows.select(self._place().alias("place")).distinct().collect()}
 
     def _lists(self) -> dict[int, dict[str, tuple[int, int]]]:
         """Version -> part -> (version holding it, place of the list). As small as the number of parts."""
@@ -89,18 +97,23 @@ class StateTable:
         folders = [f"{self.root}/data/version={v}/part={p}" for p, v in sorted(held.items())]
         return self.spark.read.schema(self.schema).parquet(*folders)
 
-    def read(self, since_day: str | None = None) -> DataFrame:
-        """The newest published version; of events, if wanted, only days from ``since_day`` on."""
+    def read(self, since_day: str | None = None, places: set[str] | None = None, after: int | None = None) -> DataFrame:
+        """The newest published version. If wanted, only: of events the days from ``since_day`` on; the parts at
+        some ``places``; the parts rewritten by a version ``after`` a given one."""
         held = self.held()
         if since_day is not None:
             if self.spec.table != "ship_events":
                 raise ValueError("only events are stored by day")
             held = {part: version for part, version in held.items() if part >= since_day}
+        if places is not None:
+            held = {part: version for part, version in held.items() if part.split("_")[0] in places}
+        if after is not None:
+            held = {part: version for part, version in held.items() if version > after}
         rows = self._rows(held).drop("change_type")
         if self.spec.table == "ship_events":
             # Stands for a serial number: the same key always has the same one.
             rows = rows.withColumn("id", F.xxhash64(*self.spec.keys))
-        return rows.select(*TABLES[self.spec.table].names)
+        return rows.select(*self.names)
 
     def changes(self, version: int) -> DataFrame:
         """Change feed of one version, as long as its data is kept."""
@@ -109,6 +122,14 @@ class StateTable:
         folder = f"{self.root}/data/version={version}"
         return changes_of(self.spark.read.schema(self.schema).parquet(folder))
 
+    def since(self, version: int) -> DataFrame:
+        """All rows changed after ``version``, as they are now: just these if one version came since, else
+        with them the other rows of the parts rewritten."""
+        known = sorted(self._lists())
+        if known and known[0] <= version < known[-1]:
+            return self.changes(known[-1]).drop("change_type")
+        return self.read(after=version)
+
     def apply(
         self, batch: DataFrame, version: int, as_of: Column | Callable[[int], Column], arrival: str = "seq",
         crawl: str | None = None,
@@ -158,6 +179,7 @@ class StateTable:
 
 
 def state_table(spark: SparkSession, root: str, table: str, parts: int = 64, parts_per_day: int = 1) -> StateTable:
-    """The stored table of that name; an unknown name is refused. Days of events are split into
-    ``parts_per_day``, the other tables into ``parts``; both stay the same for a table's life."""
+    """The stored table of that name; an unknown name is refused. Days of events, and parts that are laid out
+    by some of the keys, are split into ``parts_per_day``, the other tables into ``parts``; both stay the
+    same for a table's life."""
     return StateTable(spark, f"{root.rstrip('/')}/{table}", spec_for(table), parts, parts_per_day)
