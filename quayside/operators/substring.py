@@ -1,7 +1,12 @@
 """Join on "this text contains that name", without comparing every pair.
 
-Each text is cut into its substrings of the lengths that occur among the names; an equality
-join on the substring then finds exactly the contained names.
+Names are indexed by one of their grams, pieces of ``GRAM`` neighbouring characters: the one that the
+fewest names hold, so that names with a common beginning or stem spread over many keys. Each text is cut into
+its distinct grams, no more than it has characters; an equality join on the gram finds the names that may
+be contained, and only those are compared with the text. Names shorter than a gram are joined apart, on the
+pieces of the text of their lengths.
+
+Names are read several times, so they are best stored.
 """
 
 from __future__ import annotations
@@ -9,29 +14,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+GRAM = 3
+
+
+def _pieces(text: Column, length: Column) -> Column:
+    """The parts of ``text`` that have this length."""
+    last = F.char_length(text) - length + 1
+    return F.when(last > 0, F.transform(
+        F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda start: F.substring(text, start, length)))
 
-def _substrings(text: Column, lengths: Column) -> Column:
-    fitting = F.filter(lengths, lambda n: (n > 0) & (n <= F.char_length(text)))
-    return F.array_distinct(F.flatten(F.transform(
-        fitting,
-        lambda n: F.transform(
-            F.sequence(F.lit(1), F.char_length(text) - n + 1), lambda start: F.substring(text, start, n)
-        ),
-    )))
 
+def rarest_grams(names: DataFrame, name: str, gram: int = GRAM) -> DataFrame:
+    """Distinct names that have grams with ``_gram``, of theirs the one that the fewest names hold."""
+    grams = names.select(name, F.explode(F.array_distinct(_pieces(F.col(name), F.lit(gram)))).alias("_gram"))
+    held = grams.groupBy("_gram").agg(F.count("*").alias("_held"))
+    return grams.join(held, "_gram").groupBy(name).agg(F.min(F.struct("_held", "_gram"))["_gram"].alias("_gram"))
 
-def contained_names(texts: DataFrame, text: str, names: DataFrame, name: str) -> DataFrame:
+
+def contained_names(texts: DataFrame, text: str, names: DataFrame, name: str, gram: int = GRAM) -> DataFrame:
     """``texts`` joined with each row of ``names`` whose ``name`` is a part of ``text``.
 
     Texts must be distinct. An empty name is part of every text, but is left out here: see
-    ``last_contained``. The array of lengths is small by nature: it has at most as many
-    entries as the longest name has characters.
+    ``last_contained``.
     """
-    lengths = names.agg(F.array_sort(F.collect_set(F.char_length(name)))).scalar()
-    parts = texts.withColumn("_lengths", lengths).select(
-        *texts.columns, F.explode(_substrings(F.col(text), F.col("_lengths"))).alias(name)
-    )
-    return parts.join(names.filter(F.col(name) != ""), name)
+    keyed = names.join(rarest_grams(names, name, gram), name)
+    grams = texts.select(*texts.columns, F.explode(F.array_distinct(_pieces(F.col(text), F.lit(gram)))).alias("_gram"))
+    long = grams.join(keyed, "_gram").filter(F.contains(text, name)).drop("_gram")
+    few = names.filter(F.char_length(name).between(1, gram - 1))
+    lengths = few.agg(F.collect_set(F.char_length(name))).scalar()
+    pieces = F.array_distinct(F.flatten(F.filter(
+        F.transform("_lengths", lambda n: _pieces(F.col(text), n)), lambda found: found.isNotNull())))
+    cut = texts.withColumn("_lengths", lengths).select(*texts.columns, F.explode(pieces).alias(name))
+    return long.unionByName(cut.join(few, name))
 
 
 def last_contained(rows: DataFrame, text: str, names: DataFrame, name: str, match: str = "match") -> DataFrame:
@@ -39,13 +53,12 @@ def last_contained(rows: DataFrame, text: str, names: DataFrame, name: str, matc
 
     ``names`` has one row per name. Repeated texts are matched once.
     """
+    best = F.max(F.struct(name, *(c for c in names.columns if c != name)))
     found = contained_names(rows.select(text).filter(F.col(text).isNotNull()).distinct(), text, names, name)
-    best = found.groupBy(text).agg(F.max(F.struct(name, *(c for c in names.columns if c != name))).alias("_best"))
     # The empty name sorts before all others, so it only counts where nothing else matched.
-    empty = names.filter(F.col(name) == "").agg(
-        F.max(F.struct(name, *(c for c in names.columns if c != name)))).scalar()
+    empty = names.filter(F.col(name) == "").agg(best).scalar()
     return (
-        rows.join(best, text, "left")
+        rows.join(found.groupBy(text).agg(best.alias("_best")), text, "left")
         .withColumn(match, F.coalesce(F.col("_best"), F.when(F.col(text).isNotNull(), empty)))
         .drop("_best")
     )

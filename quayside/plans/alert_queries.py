@@ -285,7 +285,7 @@ def latest_agent(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM fx_status s JOIN agents g ON contains(s.ship_name, g.ship_name_chinese)""")
 def substring_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     ships = project(spark, sf_dir, "fx_status").select("ship_name")
-    agents = A.latest_agents(project(spark, sf_dir, "fx_berth"))
+    agents = D.stored_agents(project(spark, sf_dir, "fx_berth"))
     return contained_names(ships, "ship_name", agents, "ship_name_chinese").select(
         "ship_name", "ship_name_chinese", "berth_number", "port_agent")
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from quayside.operators.routing import without_rule
 from quayside.plans import alerts as A
 from quayside.plans import berths as B
+from quayside.session import scratch_folder
 
 
 @dataclass(frozen=True)
@@ -34,10 +35,18 @@ def _with_announced(tables: PortTables) -> PortTables:
 
 def enriched_alerts(tables: PortTables, cutoff: Column) -> DataFrame:
     latest = A.latest_status(tables.status, tables.voyage, tables.events, cutoff, tables.recent_events, tables.announced)
-    agents = A.latest_agents(tables.berths) if tables.agents is None else tables.agents
+    agents = stored_agents(tables.berths) if tables.agents is None else tables.agents
     return A.enriched(A.status_alerts(latest), agents.select("ship_name_chinese", "berth_number", "port_agent"))
 
 
+def stored_agents(berths: DataFrame) -> DataFrame:
+    """``latest_agents``, written once below the scratch folder: an index of names asks for them several times."""
+    agents = A.latest_agents(berths)
+    path = scratch_folder(berths.sparkSession, "agents")
+    agents.write.parquet(path)
+    return berths.sparkSession.read.schema(agents.schema).parquet(path)
+
+
 def _berth_rows(tables: PortTables, cutoff: Column) -> DataFrame:
     status = tables.status if tables.named is None else tables.named
     return B.berth_outbox(B.berth_alerts(tables.berths, status, tables.events, cutoff, tables.announced))
