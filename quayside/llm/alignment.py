@@ -24,14 +24,15 @@ columns are not looked at.
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,12 +79,16 @@ class Aligner:
     """Both tokenizers, the identity map, and the cuts seen lately."""
 
     def __init__(self, a_path: str, b_path: str) -> None:
-        # Tasks share a machine already.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._a = Tokenizer.from_file(a_path)
         self._a.encode_special_tokens = True
         self._b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self._bytes_a, self._bytes_b = token_bytes_a(self._a), token_bytes_b(self._b)
+        # Ids are ranks in this file; for short texts this is the quicker way to them.
+        special = set(self._a.get_added_tokens_decoder())
+        self._bpe = tiktoken.Encoding(
+            "a", pat_str=public_tokenizers.PATTERN, special_tokens={},
+            mergeable_ranks={x: i for i, x in enumerate(self._bytes_a) if i not in special})
+        self._joined_b = np.frombuffer(b"".join(self._bytes_b), np.uint8)
         self._size_a = np.array([len(x) for x in self._bytes_a], np.int64)
         self._size_b = np.array([len(x) for x in self._bytes_b], np.int64)
         self.n_a, self.n_b = len(self._bytes_a), len(self._bytes_b)
@@ -94,6 +99,8 @@ class Aligner:
         #: Code of the pair of an A id and the B id of the same bytes; -1 without one.
         b = np.array([first.get(x, -1) for x in self._bytes_a], np.int64)
         self.identity = np.where(b >= 0, np.arange(self.n_a) * self.n_b + b, -1)
+        self._name = np.array([b"%d" % i for i in range(max(self.n_a, self.n_b))], object)
+        self._identity_name = np.array([b"%d|%d" % pair for pair in enumerate(b.tolist())], object)
         self._hash = np.zeros(0, np.uint64)
         self._used = np.zeros(0, np.int64)
         self._numbers = np.zeros((0, len(NUMBERS)), np.int64)
@@ -169,13 +176,11 @@ class Aligner:
 
     def _learn(self, hashes: np.ndarray, cuts: list[bytes]) -> None:
         texts = [cut.decode("utf-8", "replace") for cut in cuts]
-        a_ids = [e.ids for e in self._a.encode_batch_fast(texts, add_special_tokens=False)]
+        encode = self._bpe.encode_ordinary
+        a_ids = [encode(text) for text in texts]
         # B puts a space before what it is given.
         b_ids = self._b.encode([text[1:] for text in texts], num_threads=1)
-        a_bytes, b_bytes = self._bytes_a, self._bytes_b
-        valid = np.array([
-            b"".join([a_bytes[i] for i in a]) == cut == b"".join([b_bytes[i] for i in b])
-            for cut, a, b in zip(cuts, a_ids, b_ids, strict=True)], bool)
+        valid = self._whole(cuts, texts, b_ids)
         numbers, codes, groups = self._grouped(
             [x for x, ok in zip(a_ids, valid, strict=True) if ok], [x for x, ok in zip(b_ids, valid, strict=True) if ok])
         all_numbers = np.zeros((len(cuts), len(NUMBERS)), np.int64)
@@ -203,29 +208,49 @@ class Aligner:
         low = np.searchsorted(b_ends, a_ends - self._size_a[a], "right")
         n_links = np.searchsorted(b_ends, a_ends, "left") + 1 - low
         codes = (np.repeat(a, n_links) * self.n_b + b[spans(low, n_links)]).astype(np.uint32)
-        a_group, b_group = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
         last = np.append(a_ends, 0)[a_first[1:] - 1]
         groups_to = np.concatenate(([0], np.searchsorted(common, last, "right")))
         links_to = np.concatenate(([0], np.cumsum(n_links)))[a_first]
         numbers = np.stack([np.diff(a_first), np.diff(b_first), np.diff(groups_to), np.diff(links_to)], 1)
-        sides = [
-            [b",".join(names[i:j]) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            for names, at in (
-                (_names(a), np.searchsorted(a_group, np.arange(len(common) + 1))),
-                (_names(b), np.searchsorted(b_group, np.arange(len(common) + 1))))]
-        each = [x + b"|" + y for x, y in zip(*sides, strict=True)]
+        each = self._group_names(a, np.searchsorted(a_ends, common, "right"), b, np.searchsorted(b_ends, common, "right"))
         groups = np.empty(len(a_ids), object)
         groups[:] = [b";".join(each[i:j]) for i, j in zip(groups_to[:-1].tolist(), groups_to[1:].tolist(), strict=True)]
         return numbers, codes, groups
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    first = np.concatenate(([0], np.cumsum([len(x) for x in lists], dtype=np.int64)))
-    return np.fromiter((i for x in lists for i in x), np.int64, int(first[-1])), first
+    def _group_names(self, a: np.ndarray, a_to: np.ndarray, b: np.ndarray, b_to: np.ndarray) -> list[bytes]:
+        """Each group as text, from where its tokens end in both lists."""
+        a_from, b_from = np.append(0, a_to)[:-1], np.append(0, b_to)[:-1]
+        one = (a_to - a_from == 1) & (b_to - b_from == 1)
+        one[one] = self.identity[a[a_from[one]]] == a[a_from[one]] * self.n_b + b[b_from[one]]
+        out = np.empty(len(a_to), object)
+        out[one] = self._identity_name[a[a_from[one]]]
+        left, right = self._name[a].tolist(), self._name[b].tolist()
+        rest = np.flatnonzero(~one)
+        bounds = zip(*(x[rest].tolist() for x in (a_from, a_to, b_from, b_to)), strict=True)
+        out[rest] = [b",".join(left[i:j]) + b"|" + b",".join(right[k:m]) for i, j, k, m in bounds]
+        return out.tolist()
+
+    def _whole(self, cuts: list[bytes], texts: list[str], b_ids: list[list[int]]) -> np.ndarray:
+        """Whether both give back a cut's bytes: A does for all text, B where it has them all and no other."""
+        ids, first = _flat(b_ids)
+        lengths = np.array([len(cut) for cut in cuts], np.int64)
+        ends = np.concatenate(([0], np.cumsum(self._size_b[ids])))
+        valid = np.diff(ends[first]) == lengths
+        kept = ids[np.repeat(valid, np.diff(first))]
+        begins = np.cumsum(self._size_b) - self._size_b
+        made = self._joined_b[spans(begins[kept], self._size_b[kept])]
+        given = np.frombuffer(b"".join([cut for cut, ok in zip(cuts, valid.tolist(), strict=True) if ok]), np.uint8)
+        wrong = np.searchsorted(np.cumsum(lengths[valid]), np.flatnonzero(made != given), "right")
+        valid[np.flatnonzero(valid)[wrong]] = False
+        if "\ufffd" in "".join(texts):
+            valid &= np.array([text.encode() == cut for cut, text in zip(cuts, texts, strict=True)], bool)
+        return valid
 
 
-def _names(ids: np.ndarray) -> list[bytes]:
-    return [b"%d" % i for i in ids.tolist()]
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    first = np.concatenate(([0], np.cumsum([len(x) for x in lists], dtype=np.int64)))
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(first[-1])), first
 
 
 @cache
