@@ -42,11 +42,12 @@ from quayside.llm.base import query, stored, table
 from quayside.llm.bpe import cut_starts
 from quayside.llm.packed import pack, unpack
 from quayside.llm.transducer import byte_symbols
-from quayside.llm.words import byte_values, run_hashes, spans, text_slices
+from quayside.llm.words import SLICE_BYTES, byte_values, run_hashes, spans, text_slices
 
-SLICE = 8_000_000
+SLICE = SLICE_BYTES
 #: Cuts and links that are remembered.
-KNOWN_MOST, LINKS_MOST = 300_000, 6_000_000
+KNOWN_MOST, LINKS_MOST = 200_000, 4_000_000
+LEARNT_TOGETHER = 1 << 15
 NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
 STORED = "slice long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, links binary, pairs binary, same binary"
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
@@ -79,12 +80,11 @@ class Aligner:
     """Both tokenizers, the identity map, and the cuts seen lately."""
 
     def __init__(self, a_path: str, b_path: str) -> None:
-        self._a = Tokenizer.from_file(a_path)
-        self._a.encode_special_tokens = True
+        library = Tokenizer.from_file(a_path)
         self._b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        self._bytes_a, self._bytes_b = token_bytes_a(self._a), token_bytes_b(self._b)
+        self._bytes_a, self._bytes_b = token_bytes_a(library), token_bytes_b(self._b)
         # Ids are ranks in this file; for short texts this is the quicker way to them.
-        special = set(self._a.get_added_tokens_decoder())
+        special = set(library.get_added_tokens_decoder())
         self._bpe = tiktoken.Encoding(
             "a", pat_str=public_tokenizers.PATTERN, special_tokens={},
             mergeable_ranks={x: i for i, x in enumerate(self._bytes_a) if i not in special})
@@ -161,9 +161,10 @@ class Aligner:
         inside = at < len(self._hash)
         known[inside] = self._hash[at[inside]] == found[inside]
         new = np.flatnonzero(~known)
-        if len(new):
-            self._learn(found[new], [raw[starts[i]: ends[i]] for i in first[new]])
-            at = np.searchsorted(self._hash, found)
+        for low in range(0, len(new), LEARNT_TOGETHER):
+            some = new[low: low + LEARNT_TOGETHER]
+            self._learn(found[some], [raw[starts[i]: ends[i]] for i in first[some]])
+        at = np.searchsorted(self._hash, found)
         self._used[at] = self._round
         return at
 

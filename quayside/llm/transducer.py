@@ -51,7 +51,7 @@ PART_IDS = 1 << 16
 LONG_CHARS = 256
 #: Texts are taken together up to this.
 TOGETHER_CHARS = 1 << 20
-KNOWN_MOST = 200_000
+KNOWN_MOST = 120_000
 #: Characters looked through for a place to cut at before more are read.
 CUT_CHARS = 64
 ENCODED = "doc_id long, part int, ids binary"
@@ -223,27 +223,10 @@ class Transducer:
         self._special = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
         self._heads = {text[:n] for text in added for n in range(1, len(text))}
         self._longest = max(map(len, added))
-        self._decoding: dict[bool, list[bytes]] = {}
         self._runs: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         self._words: dict[str, bytes] = {}
 
-    def decoding(self, entries: bool) -> list[bytes]:
-        """What each id puts out."""
-        if entries not in self._decoding:
-            number = {symbol: b for b, symbol in enumerate(byte_symbols())}
-            suffix, out = self.merges.suffix, []
-            for name, _ in sorted((self.merges.ids | self.special).items(), key=lambda item: item[1]):
-                if entries:
-                    out.append(b" " + name.encode())
-                elif name in self.special:
-                    out.append(name.encode())
-                else:
-                    ends = bool(suffix) and name.endswith(suffix)
-                    out.append(bytes(number[c] for c in name.removesuffix(suffix)) + b" " * ends)
-            self._decoding[entries] = out
-        return self._decoding[entries]
-
     def parts(self, text: str) -> list[str]:
         """Text and special tokens in turn."""
         return self._special.split(text)
@@ -426,8 +409,8 @@ class Decoder:
     stand for, with a space for the end of a word.
     """
 
-    def __init__(self, shared: Transducer, entries: bool = True) -> None:
-        self._bytes = shared.decoding(entries)
+    def __init__(self, path: str, entries: bool = True) -> None:
+        self._bytes = decoding(path, entries)
         self._text = codecs.getincrementaldecoder("utf-8")("replace")
         self._drop = entries
 
@@ -448,6 +431,25 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in visible else chr(next(hidden)) for b in range(256)]
 
 
+@cache
+def decoding(path: str, entries: bool) -> list[bytes]:
+    """What each id puts out."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    suffix, special = spec["model"]["end_of_word_suffix"] or "", {t["content"]: t["id"] for t in spec["added_tokens"]}
+    number = {symbol: b for b, symbol in enumerate(byte_symbols())}
+    out = []
+    for name, _ in sorted((spec["model"]["vocab"] | special).items(), key=lambda item: item[1]):
+        if entries:
+            out.append(b" " + name.encode())
+        elif name in special:
+            out.append(name.encode())
+        else:
+            ends = bool(suffix) and name.endswith(suffix)
+            out.append(bytes(number[c] for c in name.removesuffix(suffix)) + b" " * ends)
+    return out
+
+
 @cache
 def transducer(path: str) -> Transducer:
     """One per worker process, as what it has seen serves later tasks too."""
@@ -502,7 +504,6 @@ def _encode(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 
 def _decode(path: str, entries: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shared = transducer(path)
         out = _Rows(DECODED)
         decoder: Decoder | None = None
         # A part is held until it is known whether its document goes on.
@@ -513,7 +514,7 @@ def _decode(path: str, entries: bool) -> Callable[[Iterator[pa.RecordBatch]], It
                     text = held[3] + decoder.finish() if part.as_py() == 0 else held[3]
                     yield from out.add((*held[:3], text), len(held[2]) + len(text))
                 if part.as_py() == 0:
-                    decoder = Decoder(shared, entries)
+                    decoder = Decoder(path, entries)
                 raw = ids.as_py()
                 held = key.as_py(), part.as_py(), raw, decoder.feed(np.frombuffer(raw, "<u4").tolist())
         if held is not None:

@@ -51,7 +51,7 @@ def test_stream(library, shared, text, piece, long, part):
         transducer.PIECE_CHARS, transducer.LONG_CHARS, transducer.PART_IDS = held
     want = library.encode(text, add_special_tokens=False).ids
     assert ids_of(parts) == want
-    decoder = transducer.Decoder(shared)
+    decoder = transducer.Decoder(transducer.default_path())
     assert "".join([decoder.feed(ids_of([p])) for p in parts]) + decoder.finish() == library.decode(want, skip_special_tokens=False)
 
 
@@ -106,11 +106,11 @@ def test_bytes_to_text(library, shared):
     """The machine over bytes holds a character until its bytes have come."""
     text = "h" + chr(0xE9) + "llo " + chr(0x65E5) + chr(0x672C) + chr(0x8A9E) + " x"
     ids = library.encode(text, add_special_tokens=False).ids
-    decoder = transducer.Decoder(shared, entries=False)
+    decoder = transducer.Decoder(transducer.default_path(), entries=False)
     pieces = [decoder.feed([i]) for i in ids]
     assert "".join(pieces) + decoder.finish() == text + " "
     assert "" in pieces
-    broken = transducer.Decoder(shared, entries=False)
+    broken = transducer.Decoder(transducer.default_path(), entries=False)
     lead = transducer.byte_symbols()[0xE6]
     assert broken.feed([shared.merges.ids[lead]]) + broken.finish() == chr(0xFFFD)
 
