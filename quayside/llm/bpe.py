@@ -43,19 +43,28 @@ def cut_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes slices of texts; keeps up to ``KNOWN_MOST`` cuts with their ids."""
+    """Encodes slices of texts; keeps the ids of some ``KNOWN_MOST`` cuts, those used last."""
 
     def __init__(self, ranks_path: str) -> None:
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self._bpe = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self._forget()
-
-    def _forget(self) -> None:
+        self._bytes = np.zeros(VOCABULARY, np.int64)
+        for token, rank in ranks.items():
+            self._bytes[rank] = len(token)
         self._hash = np.zeros(0, np.uint64)
         self._at = np.zeros(0, np.int64)
         self._count = np.zeros(0, np.int64)
+        self._used = np.zeros(0, np.int64)
         self._ids = np.zeros(0, np.uint16)
+        self._slices = 0
+
+    def _forget(self) -> None:
+        """Keeps the half of the cuts that were used last."""
+        kept = np.sort(np.argpartition(-self._used, KNOWN_MOST // 2)[: KNOWN_MOST // 2])
+        self._ids = self._ids[spans(self._at[kept], self._count[kept])]
+        self._hash, self._count, self._used = self._hash[kept], self._count[kept], self._used[kept]
+        self._at = np.cumsum(self._count) - self._count
 
     def whole(self, text: bytes) -> list[int]:
         """Ids of one text, without the cuts."""
@@ -87,10 +96,13 @@ class Encoder:
         hashes = run_hashes(byte_values()[data], starts, ends)
         found, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         self._learn(found, first, starts, ends, raw)
-        place = np.searchsorted(self._hash, found)[which]
+        known = np.searchsorted(self._hash, found)
+        self._used[known] = self._slices
+        place = known[which]
         return starts, self._at[place], self._count[place]
 
     def _learn(self, found: np.ndarray, first: np.ndarray, starts: np.ndarray, ends: np.ndarray, raw: bytes) -> None:
+        self._slices += 1
         if len(self._hash) > KNOWN_MOST:
             self._forget()
         at = np.searchsorted(self._hash, found)
@@ -100,14 +112,43 @@ class Encoder:
         new = np.flatnonzero(~known)
         if not len(new):
             return
-        encode = self._bpe.encode_ordinary
-        lists = [encode(raw[starts[i]: ends[i]].decode("utf-8", "replace")) for i in first[new]]
-        counts = np.array([len(x) for x in lists], np.int64)
-        ids = np.fromiter((i for x in lists for i in x), np.uint16, int(counts.sum()))
-        places = len(self._ids) + np.concatenate(([0], np.cumsum(counts)[:-1]))
+        ids, counts = self._encoded(raw, starts[first[new]], ends[first[new]])
+        places = len(self._ids) + np.cumsum(counts) - counts
         self._ids = np.concatenate((self._ids, ids))
         hashes = np.concatenate((self._hash, found[new]))
         order = np.argsort(hashes)
         self._hash = hashes[order]
         self._at = np.concatenate((self._at, places))[order]
         self._count = np.concatenate((self._count, counts))[order]
+        self._used = np.concatenate((self._used, np.zeros(len(new), np.int64)))[order]
+
+    def _encoded(self, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some cuts, one after the other, and how many each has.
+
+        Cuts that begin with a space and no blank behind it begin a part after any text, so they are
+        encoded in one go. The others, and bytes that are no text, are encoded on their own.
+        """
+        data = np.frombuffer(raw + b"  ", np.uint8)
+        joined = (data[starts] == 0x20) & ~_NO_CUT[data[starts + 1]] & (ends > starts + 1)
+        counts, parts = np.zeros(len(starts), np.int64), [np.zeros(0, np.uint16)] * 2
+        together, alone = np.flatnonzero(joined), np.flatnonzero(~joined)
+        if len(together):
+            lengths = ends[together] - starts[together]
+            try:
+                text = data[spans(starts[together], lengths)].tobytes().decode("utf-8")
+            except UnicodeDecodeError:
+                together, alone = together[:0], np.arange(len(starts))
+            else:
+                parts[0] = np.array(self._bpe.encode_ordinary(text), np.uint16)
+                after = np.searchsorted(np.cumsum(self._bytes[parts[0]]), np.cumsum(lengths), "right")
+                # A token ends where a cut ends, so this is the number of tokens up to there.
+                counts[together] = np.diff(after, prepend=0)
+        if len(alone):
+            lists = [self._bpe.encode_ordinary(raw[a:b].decode("utf-8", "replace")) for a, b in zip(starts[alone], ends[alone], strict=True)]
+            counts[alone] = [len(x) for x in lists]
+            parts[1] = np.fromiter((i for x in lists for i in x), np.uint16, int(counts[alone].sum()))
+        # From those in one go and those on their own to the order of the cuts.
+        asked = np.concatenate((together, alone))
+        place = np.zeros(len(starts), np.int64)
+        place[asked] = np.cumsum(counts[asked]) - counts[asked]
+        return np.concatenate(parts)[spans(place, counts)], counts

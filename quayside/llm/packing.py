@@ -45,13 +45,25 @@ COMMON = 1 / 8
 BLOCK = 16
 #: Documents that the order of routes is shaped by, and the most bytes of ids of one.
 PIVOTS, PIVOT_BYTES = 64, 1 << 17
-#: Documents sampled per shard to find where the order is cut.
-SAMPLED = 32
+#: Partitions the order is cut into at most, each of one or more shards, and documents sampled for the cuts.
+PARTITIONS, SAMPLED = 20_000, 1 << 17
 K1, B = 1.2, 0.75
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
+def distinct(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, id and count of the distinct ids of consecutive documents, all in one sort."""
+    n = len(lengths)
+    keys = np.repeat(np.arange(n, dtype=np.uint32 if n <= 1 << 16 else np.uint64) << 16, lengths)
+    keys |= ids
+    keys.sort()
+    new = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
+    counts = np.diff(new, append=len(keys))
+    keys = keys[new]
+    return (keys >> 16).astype(np.int64), (keys & 0xFFFF).astype(np.int64), counts
+
+
 def _encoded(ranks_path: str, end: int):
     """A row of ids per document, and a last row per task with its document frequencies."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,8 +78,7 @@ def _encoded(ranks_path: str, end: int):
                 starts = first + np.arange(n + 1)
                 out[spans(starts[:-1], np.diff(first))] = ids
                 raw = out.tobytes()
-                for a, b in zip(first[:-1], first[1:], strict=True):
-                    frequency[np.unique(ids[a:b])] += 1
+                frequency += np.bincount(distinct(ids, np.diff(first))[1], minlength=VOCABULARY)
                 rows = pa.array([raw[2 * a: 2 * b] for a, b in zip(starts[:-1], starts[1:], strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), rows, pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())], names)
@@ -95,22 +106,15 @@ class Shard:
     """An inverted index with BM25 weights over some documents, each an array of ids."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float) -> None:
-        terms, counts, owner = [], [], []
-        for i, ids in enumerate(docs):
-            t, c = np.unique(ids[:-1], return_counts=True)
-            terms.append(t)
-            counts.append(c)
-            owner.append(np.full(len(t), i, np.int32))
-        sizes = np.array([len(t) for t in terms])
-        self._first = np.concatenate(([0], np.cumsum(sizes)))
-        self._terms = np.concatenate(terms)
-        counts, owner = np.concatenate(counts), np.concatenate(owner)
-        lengths = np.array([len(d) for d in docs], np.float64)
+        lengths = np.array([len(d) for d in docs], np.int64)
+        # Without the closing ids.
+        owner, self._terms, counts = distinct(np.concatenate([d[:-1] for d in docs]), lengths - 1)
+        self._first = np.searchsorted(owner, np.arange(len(docs) + 1))
         weight = idf[self._terms] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * lengths[owner] / mean_length))
         order = np.argsort(self._terms, kind="stable")
         self._owner, self._weight = owner[order], weight[order]
         held = np.bincount(self._terms, minlength=VOCABULARY)
-        self._at, self._held = np.concatenate(([0], np.cumsum(held))), held
+        self._at, self.held = np.concatenate(([0], np.cumsum(held))), held
         self._n = len(docs)
         # Adding up rows is much quicker than going through the documents of common terms.
         common = np.flatnonzero(held >= max(2, COMMON * self._n))
@@ -128,7 +132,7 @@ class Shard:
         """BM25 of all documents for these terms, each once."""
         row = self._row[terms]
         terms = terms[row < 0]
-        places = spans(self._at[terms], self._held[terms])
+        places = spans(self._at[terms], self.held[terms])
         return np.bincount(self._owner[places], self._weight[places], self._n) + self._rows[row[row >= 0]].sum(axis=0)
 
 
@@ -136,56 +140,93 @@ class Routes:
     """A number for each document; like ones have equal numbers, or numbers next to each other."""
 
     def __init__(self, pivots: list[np.ndarray], frequency: np.ndarray, idf: np.ndarray, mean_length: float) -> None:
-        self._index = Shard(pivots, idf, mean_length) if pivots else None
-        self._frequency = frequency
-
-    def of(self, ids: np.ndarray) -> int:
-        """The nearest pivot, then the three rarest terms that another document holds."""
-        terms = np.unique(ids[:-1])
-        pivot = int(np.argmax(self._index.scores_of(terms))) if self._index and len(terms) else 0
-        held = self._frequency[terms]
-        rarest = (held << 16 | terms)[held > 1]
-        rarest = np.sort(np.partition(rarest, 2)[:3] if len(rarest) > 3 else rarest)
-        rarest = (rarest & 0xFFFF).tolist()
-        number = pivot
-        for term in rarest + [0xFFFF] * (3 - len(rarest)):
+        self._weights = np.zeros((VOCABULARY, max(1, len(pivots))), np.float32)
+        if pivots:
+            index = Shard(pivots, idf, mean_length)
+            for term in range(VOCABULARY):
+                if index.held[term]:
+                    self._weights[term] = index.scores_of(np.array([term]))
+        # Terms by rarity, and how many of them no two documents hold.
+        self._term = np.argsort(frequency, kind="stable").astype(np.uint16)
+        self._rank = np.zeros(VOCABULARY, np.uint16)
+        self._rank[self._term] = np.arange(VOCABULARY)
+        self._alone = int((frequency <= 1).sum())
+
+    def of(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Per document the nearest pivot, then the three rarest terms that another document holds."""
+        n = len(lengths)
+        owner, rank, _ = distinct(self._rank[ids], lengths)
+        first = np.searchsorted(owner, np.arange(n + 1))
+        scores, nearest = self._weights[self._term[rank]], np.zeros(n, np.int64)
+        held = np.flatnonzero(np.diff(first))
+        if len(held):
+            nearest[held] = np.argmax(np.add.reduceat(scores, first[held], axis=0), axis=1)
+        # Ranks of a document rise, so its rarest terms are the first ones that are not alone.
+        shared = rank >= self._alone
+        rank, first = rank[shared], np.concatenate(([0], np.cumsum(shared)))[first]
+        number = nearest
+        for k in range(3):
+            at = first[:-1] + k
+            there = at < first[1:]
+            term = np.full(n, 0xFFFF, np.int64)
+            term[there] = self._term[rank[at[there]]]
             number = number << 16 | term
         return number
 
 
+def _blocks(lengths: np.ndarray, most: int = 1 << 17) -> Iterator[tuple[int, int]]:
+    """Consecutive documents of some ``most`` ids together, one at least."""
+    ends, low = np.cumsum(lengths), 0
+    while low < len(lengths):
+        high = int(np.searchsorted(ends, (ends[low - 1] if low else 0) + most, "right"))
+        high = max(high, low + 1)
+        yield low, high
+        low = high
+
+
+def _ids_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a column of documents without the closing ones, and their number per document."""
+    rows = [np.frombuffer(x.as_py(), np.uint16)[:-1] for x in column]
+    return np.concatenate(rows) if rows else np.zeros(0, np.uint16), np.array([len(r) for r in rows], np.int64)
+
+
 def _routed(routes: Routes, bounds: list[tuple[int, int]]):
-    """Adds route and shard: the place of (route, salt) among the bounds."""
+    """Adds route and part: the place of (route, salt) among the bounds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            number = [routes.of(np.frombuffer(ids.as_py(), np.uint16)) for ids in batch.column(1)]
-            shard = [bisect_right(bounds, x) for x in zip(number, batch.column(2).to_pylist(), strict=True)]
+            ids, lengths = _ids_of(batch.column(1))
+            first = np.concatenate(([0], np.cumsum(lengths)))
+            number = np.concatenate([np.zeros(0, np.int64)] + [
+                routes.of(ids[first[a]: first[b]], lengths[a:b]) for a, b in _blocks(lengths)])
+            part = [bisect_right(bounds, x) for x in zip(number.tolist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(number, pa.int64()), pa.array(shard, pa.int64())],
-                ["doc_id", "ids", "salt", "route", "shard"])
+                [*batch.columns, pa.array(number, pa.int64()), pa.array(part, pa.int32())],
+                ["doc_id", "ids", "salt", "route", "part"])
     return run
 
 
-ROUTED = "doc_id long, ids binary, salt long, route long, shard long"
+ROUTED = "doc_id long, ids binary, salt long, route long, part int"
 
 
 def _by_route(rows: DataFrame, docs: int, tokens: int, frequency: np.ndarray, idf: np.ndarray, mean_length: float) -> DataFrame:
     """``(doc_id, ids)`` in the order of routes, consecutive ones in one partition."""
-    rows = rows.withColumn("salt", F.xxhash64("doc_id", "ids"))
+    rows = rows.withColumn("tie", F.xxhash64("doc_id", "ids"))
     # A big group of copies is not to take all places, so rows are sampled, and equal texts once.
     some = rows.filter(F.octet_length("ids").between(4, PIVOT_BYTES)).filter(
-        F.pmod("salt", F.lit(max(1, docs // (4 * PIVOTS)))) == 0).groupBy("salt").agg(F.first("ids").alias("ids"))
-    pivots = [np.frombuffer(x, np.uint16) for x in dict.fromkeys(bytes(r["ids"]) for r in some.orderBy("salt").limit(PIVOTS).collect())]
+        F.pmod("tie", F.lit(max(1, docs // (4 * PIVOTS)))) == 0).groupBy("tie").agg(F.first("ids").alias("ids"))
+    pivots = [np.frombuffer(x, np.uint16) for x in dict.fromkeys(bytes(r["ids"]) for r in some.orderBy("tie").limit(PIVOTS).collect())]
     routes = Routes(pivots, frequency, idf, mean_length)
     # Somewhat more partitions than full shards, so that most are one shard.
-    shards = int(max(1, -(-5 * max(docs / SHARD_DOCS, tokens / SHARD_TOKENS) // 4)))
+    parts = int(min(PARTITIONS, max(1, -(-5 * max(docs / SHARD_DOCS, tokens / SHARD_TOKENS) // 4))))
+    # Rows alike in doc_id and text differ by their place in the stored table, so that no partition gets all of them.
+    rows = rows.select("doc_id", "ids", F.xxhash64("tie", F.monotonically_increasing_id()).alias("salt"))
     bounds = []
-    if shards > 1:
-        step = max(1, docs // (SAMPLED * shards))
-        found = rows.filter(F.pmod("salt", F.lit(step)) == 0).mapInArrow(_routed(routes, []), ROUTED)
+    if parts > 1:
+        found = rows.sample(min(1.0, SAMPLED / docs), seed=1).mapInArrow(_routed(routes, []), ROUTED)
         found = sorted((r["route"], r["salt"]) for r in found.select("route", "salt").collect())
-        bounds = [found[len(found) * k // shards] for k in range(1, shards)] if found else []
+        bounds = [found[len(found) * k // parts] for k in range(1, parts)] if found else []
     routed = rows.mapInArrow(_routed(routes, bounds), ROUTED)
-    return routed.repartition(shards, "shard").sortWithinPartitions("shard", "route", "salt", "doc_id").select("doc_id", "ids", "shard")
+    return routed.repartitionById(parts, F.col("part")).sortWithinPartitions("route", "salt", "doc_id").select("doc_id", "ids")
 
 
 def _nearest(scores: np.ndarray, some: int) -> np.ndarray:
@@ -242,13 +283,12 @@ def _packed(idf: np.ndarray, mean_length: float, length: int):
             names = [x.split()[0] for x in PIECES.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names)
 
-        keys, docs, tokens, number = [], [], 0, None
+        keys, docs, tokens = [], [], 0
         for batch in batches:
-            for key, ids, at in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                if docs and (at != number or len(docs) >= SHARD_DOCS or tokens >= SHARD_TOKENS):
+            for key, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if docs and (len(docs) >= SHARD_DOCS or tokens >= SHARD_TOKENS):
                     yield shard(keys, docs)
                     keys, docs, tokens = [], [], 0
-                number = at
                 keys.append(key)
                 docs.append(np.frombuffer(ids.as_py(), np.uint16))
                 tokens += len(docs[-1])
