@@ -45,8 +45,8 @@ COMMON = 1 / 8
 BLOCK = 16
 #: Documents that the order of routes is shaped by, and the most bytes of ids of one.
 PIVOTS, PIVOT_BYTES = 64, 1 << 17
-#: Partitions the order is cut into at most, each of one or more shards, and documents sampled for the cuts.
-PARTITIONS, SAMPLED = 20_000, 1 << 17
+#: Partitions the order is cut into at most, each of one or more shards; documents sampled for the cuts, for each and at most.
+PARTITIONS, PER_PART, SAMPLED = 20_000, 32, 1 << 17
 K1, B = 1.2, 0.75
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
@@ -222,7 +222,7 @@ def _by_route(rows: DataFrame, docs: int, tokens: int, frequency: np.ndarray, id
     rows = rows.select("doc_id", "ids", F.xxhash64("tie", F.monotonically_increasing_id()).alias("salt"))
     bounds = []
     if parts > 1:
-        found = rows.sample(min(1.0, SAMPLED / docs), seed=1).mapInArrow(_routed(routes, []), ROUTED)
+        found = rows.sample(min(1.0, min(SAMPLED, PER_PART * parts) / docs), seed=1).mapInArrow(_routed(routes, []), ROUTED)
         found = sorted((r["route"], r["salt"]) for r in found.select("route", "salt").collect())
         bounds = [found[len(found) * k // parts] for k in range(1, parts)] if found else []
     routed = rows.mapInArrow(_routed(routes, bounds), ROUTED)
