@@ -42,6 +42,16 @@ def cut_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def texts_with_special(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The numbers of the texts of a slice that hold ``SPECIAL``."""
+    raw, found, at = data.tobytes(), set(), -1
+    while (at := raw.find(SPECIAL, at + 1)) >= 0:
+        text = int(np.searchsorted(offsets, at, "right")) - 1
+        if at + len(SPECIAL) <= offsets[text + 1]:
+            found.add(text)
+    return np.array(sorted(found), np.int64)
+
+
 class Encoder:
     """Encodes slices of texts; keeps the ids of some ``KNOWN_MOST`` cuts, those used last."""
 
@@ -80,15 +90,36 @@ class Encoder:
         n = len(offsets) - 1
         if not len(data):
             return np.zeros(0, np.uint16), np.zeros(n + 1, np.int64)
-        raw = data.tobytes()
-        if SPECIAL in raw:
-            parts = [np.array(self.whole(raw[a:b]), np.uint16) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
-        starts, place, counts = self.cuts(data, offsets)
-        ids = self._ids[spans(place, counts)]
+        starts, counts, ids = self.parts(data, offsets)
         before = np.concatenate(([0], np.cumsum(counts)))
         return ids, before[np.searchsorted(starts, offsets)]
 
+    def parts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the parts of all texts begin, the number of ids of each, and all ids. The parts are the
+        cuts; a text that holds ``SPECIAL`` is one part, whatever stands next to it in the slice."""
+        odd = texts_with_special(data, offsets)
+        if not len(odd):
+            starts, place, counts = self.cuts(data, offsets)
+            return starts, counts, self._ids[spans(place, counts)]
+        raw = data.tobytes()
+        wholes = [np.array(self.whole(raw[offsets[i]: offsets[i + 1]]), np.uint16) for i in odd]
+        starts = counts = place = np.zeros(0, np.int64)
+        plain = np.setdiff1d(np.arange(len(offsets) - 1), odd)
+        lengths = np.diff(offsets)[plain]
+        if lengths.sum():
+            inner = np.concatenate(([0], np.cumsum(lengths)))
+            starts, place, counts = self.cuts(data[spans(offsets[plain], lengths)], inner)
+            # Back to places in the whole slice; empty texts begin no cut.
+            text = np.searchsorted(inner, starts, "right") - 1
+            starts = starts - inner[text] + offsets[plain][text]
+        kept = self._ids[spans(place, counts)]
+        sizes = np.array([len(w) for w in wholes], np.int64)
+        all_starts, all_counts = np.concatenate((starts, offsets[odd])), np.concatenate((counts, sizes))
+        order = np.argsort(all_starts)
+        first = np.cumsum(all_counts) - all_counts
+        ids = np.concatenate((kept, *wholes))[spans(first[order], all_counts[order])]
+        return all_starts[order], all_counts[order], ids
+
     def cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Where the cuts of texts without ``SPECIAL`` begin, and place and number of each one's ids."""
         raw, starts = data.tobytes(), cut_starts(data, offsets)

@@ -125,13 +125,8 @@ def _trees(ranks_path: str):
             for part, data, offsets in text_slices(batch):
                 n = len(offsets) - 1
                 lists: dict[str, list[bytes]] = {name: [] for name in KEPT}
-                if len(data) and SPECIAL not in data.tobytes():
-                    starts, _, counts = encoder.cuts(data, offsets)
-                else:
-                    # Such texts are one leaf each.
-                    starts = offsets[:-1][np.diff(offsets) > 0]
-                    bounds = zip(starts, np.append(starts, len(data))[1:], strict=True)
-                    counts = np.array([len(encoder.whole(data[a:b].tobytes())) for a, b in bounds], np.int64)
+                # A text that holds the special string is one leaf.
+                starts, counts, _ = encoder.parts(data, offsets)
                 first = np.searchsorted(starts, offsets)
                 later = np.concatenate(([0], np.cumsum(_LATER_BYTES[data])))
                 ends = np.append(starts, len(data))[1:]
@@ -233,7 +228,9 @@ def edited(trees: DataFrame, edits: DataFrame, ranks_path: str | None = None, wi
         F.coalesce(F.col("seq").cast("long"), F.lit(0)).alias("seq"))
     rows = left.select(right.columns).union(right)
     parts = int(trees.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartition(parts, "doc_id").sortWithinPartitions(
+    # Rows without doc_id are never edited, so they need not meet.
+    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
+    ordered = rows.repartition(parts, spread).sortWithinPartitions(
         "doc_id", F.col("text").isNull(), "text", "seq", "at", "delete", "insert")
     return ordered.mapInArrow(_edited(ranks_path or default_ranks(), with_trees), COUNTED)
 

@@ -72,6 +72,37 @@ def _trees_with(encoder, batch):
         token_trees.Encoder = original
 
 
+def test_special_neighbours_change_nothing(session):
+    """What is encoded again does not depend on the texts that share a batch."""
+    rng = random.Random(5)
+    long = " ".join("".join(rng.choices("abcdefghij", k=4)) for _ in range(4000))
+    rows = [(1, long), (2, "a <|endoftext|> b"), (3, ""), (4, "<|endof"), (5, "text|> c"), (6, None)]
+    edits = session.createDataFrame([(1, 0, 9000, 3, "zz"), (2, 0, 1, 1, "q")], "doc_id long, seq int, at long, delete long, insert string")
+    found = []
+    for shown in (rows, rows[:1], rows[::-1]):
+        docs = session.createDataFrame(shown, "doc_id long, text string").coalesce(1)
+        got = {r.doc_id: r for r in token_trees.edited(token_trees.token_trees(docs), edits).collect()}
+        found.append((got[1].bytes_encoded, got[1].n_tokens, bytes(got[1].leaf_tokens)))
+    assert found[0] == found[1] == found[2] and found[0][0] < 2000
+
+
+def test_known_cuts_are_dropped_and_learnt_again(tokenizer):
+    from quayside.llm import bpe
+
+    before, bpe.KNOWN_MOST = bpe.KNOWN_MOST, 40
+    try:
+        rng, encoder = random.Random(6), Encoder(default_ranks())
+        for _ in range(30):
+            texts = [" ".join(rng.choice("abcdefg") * rng.randint(1, 9) + rng.choice(["", "\n", " ", "é"]) for _ in range(20)) for _ in range(3)]
+            data = np.frombuffer("".join(texts).encode(), np.uint8)
+            offsets = np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts])))
+            ids, first = encoder.slice(data, offsets)
+            assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)] == [
+                tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    finally:
+        bpe.KNOWN_MOST = before
+
+
 def test_edits_of_odd_documents(odd, tokenizer, empty):
     edits = odd.sparkSession.createDataFrame([
         (7, 0, 5, 3, "zz zz"), (7, 1, 10**9, 1, " tail"), (7, 2, 20000, 9000, None), (4, 0, 0, 0, "new"), (None, 0, 0, 0, "no"),
