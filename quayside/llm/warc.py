@@ -11,6 +11,11 @@ empty one, which ends with zero).
 decompresses and passes its checksum, its header parses, its length fits and its digest is right.
 Where that fails, the reader looks for the next place at which a valid member or a version line
 with a valid record begins, goes on from there, and logs the bytes between as a gap with the reason.
+Inside a member that passes its checksum, bad records are gaps with their place in the unpacked bytes, and
+the records around them are kept. Of a member that is damaged or cut off, what unpacks before the damage is searched
+by version lines, too; records found there have no checksum of their member behind them and are marked as not checked.
+Fields of other writers: digests may be in base32 or hexadecimal; a digest, length or record id that
+cannot be read or does not fit is NULL.
 
 Results by case: a NULL html is an empty payload; a NULL page_id orders before all others, and of
 pages without id none refers; NULL urls leave out the header; line ends in urls are escaped; repeated
@@ -35,7 +40,10 @@ from quayside.llm.base import query, table
 from quayside.session import scratch_folder
 
 REVISIT_BYTES = 1000
-RECORDS_PER_FILE = 4096
+#: An archive holds at most so many records and bytes, as it is read back whole.
+RECORDS_PER_FILE, FILE_BYTES = 4096, 1 << 29
+#: Compressed bytes unpacked at a time where a member is known to be damaged.
+STEP = 64
 DATE = "2024-01-01T00:00:00Z"
 LEVEL = 4
 RECORD_ID = "urn:x-page:"
@@ -44,6 +52,7 @@ MAGIC, VERSION = b"\x1f\x8b\x08", b"WARC/1."
 _MUST = {"warc-type", "warc-record-id", "warc-date"}
 _EMPTY_MEMBER = zlib.compressobj(9, wbits=31).flush()
 _START = re.compile(rb"\x1f\x8b\x08|(?:(?<=\n)|\A)WARC/1\.")
+_LINE = re.compile(rb"(?:(?<=\n)|\A)WARC/1\.")
 _HEAD = re.compile(rb"WARC/1\.\d\r\n((?:[!-9;-~]+:[^\r\n]*\r\n)+)\r\n")
 
 
@@ -51,6 +60,16 @@ def _sha1(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
+def _hexadecimal(digest: str) -> str | None:
+    """A SHA-1 digest field as lower-case hexadecimal; NULL if it is none."""
+    value = digest.removeprefix("sha1:")
+    if value == digest:
+        return None
+    if re.fullmatch(r"[0-9A-Fa-f]{40}", value):
+        return value.lower()
+    return base64.b32decode(value.upper()).hex() if re.fullmatch(r"[A-Za-z2-7]{32}", value) else None
+
+
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool, date: str = DATE) -> bytes:
     """One record, not compressed."""
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
@@ -91,8 +110,12 @@ def _members(date: str):
     return run
 
 
-def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE, date: str = DATE) -> None:
-    """Writes ``pages(page_id, url, html)`` as archives below ``path``."""
+def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE, date: str = DATE,
+                   file_bytes: int = FILE_BYTES) -> None:
+    """Writes ``pages(page_id, url, html)`` as archives below ``path``.
+
+    An archive has so few records that even the longest of all would not take it beyond ``file_bytes``.
+    """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload")).withColumn("long", F.octet_length("payload") >= REVISIT_BYTES)
@@ -103,19 +126,29 @@ def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_
     joined = rows.join(twice, F.when(F.col("long"), F.col("digest")) == F.col("_digest"), "left")
     revisit = F.col("_digest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_last"))
     records = joined.select("page_id", "url", "payload", F.when(revisit, F.col("_last")).alias("refers_to"), revisit.alias("revisit"))
+    longest = pages.agg(F.max(
+        F.coalesce(F.octet_length(F.col("html").cast("binary")), F.lit(0)).cast("long")
+        + 3 * F.coalesce(F.octet_length("url"), F.lit(0)))).first()[0] or 0
+    records_per_file = max(1, min(records_per_file, file_bytes // (longest + 1024)))
     (
         records.mapInArrow(_members(date), "member binary").select(F.col("member").cast("string").alias("value"))
         .write.option("lineSep", "\0").option("maxRecordsPerFile", records_per_file).text(path))
 
 
 class Salvaged(NamedTuple):
-    """A record, or (with ``problem``) a gap, at bytes start to end of an archive."""
+    """A record, or (with ``problem``) a gap, at bytes start to end of an archive.
+
+    ``inner`` is the place in the unpacked member, for gaps and records in one. A gap's ``recovered`` are
+    records out of damaged members in it.
+    """
 
     start: int
     end: int
     problem: str | None
     fields: dict[str, str]
     payload: bytes
+    inner: tuple[int, int] | None = None
+    recovered: tuple[Salvaged, ...] = ()
 
 
 def _unzipped(data: memoryview, start: int) -> tuple[bytes, int]:
@@ -130,6 +163,20 @@ def _unzipped(data: memoryview, start: int) -> tuple[bytes, int]:
     return b"".join(parts), at - len(unpacker.unused_data)
 
 
+def _unzipped_part(data: memoryview, start: int) -> tuple[bytes, int]:
+    """What a damaged member holds before the damage, and about where that is."""
+    unpacker = zlib.decompressobj(wbits=31)
+    parts, at = [], start
+    try:
+        while at < len(data) and not unpacker.eof:
+            part = data[at: at + STEP]
+            parts.append(unpacker.decompress(part))
+            at += len(part)
+    except zlib.error:
+        pass
+    return b"".join(parts), at
+
+
 def _parsed(data: bytes | memoryview, start: int) -> tuple[dict[str, str], bytes, int]:
     """Header, payload and end of the record that begins at ``start``."""
     head = _HEAD.match(data, start)
@@ -146,7 +193,7 @@ def _parsed(data: bytes | memoryview, start: int) -> tuple[dict[str, str], bytes
         raise ValueError("bad length")
     block = bytes(data[head.end(): end])
     digest = fields.get("warc-block-digest", "")
-    if digest.startswith("sha1:") and digest != _sha1(block):
+    if digest.startswith("sha1:") and _hexadecimal(digest) != hashlib.sha1(block).hexdigest():
         raise ValueError("bad digest")
     payload = block
     if fields.get("content-type", "").startswith("application/http"):
@@ -157,64 +204,99 @@ def _parsed(data: bytes | memoryview, start: int) -> tuple[dict[str, str], bytes
         if length:
             fields["payload-length"] = length[1].decode()
     if fields["warc-type"] == "response" and fields.get("warc-payload-digest", "").startswith("sha1:"):
-        if fields["warc-payload-digest"] != _sha1(payload):
+        if _hexadecimal(fields["warc-payload-digest"]) != hashlib.sha1(payload).hexdigest():
             raise ValueError("bad digest")
     return fields, payload, end + 4
 
 
-def _at(data: memoryview, start: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
-    """The records that begin at ``start`` (those of one member, or one plain record) and their end."""
+def _inside(raw: bytes, start: int, end: int) -> Iterator[Salvaged]:
+    """Records and gaps of the unpacked bytes of the member at ``start`` to ``end``."""
+    at, gap, reason = 0, None, ""
+    while at < len(raw):
+        try:
+            fields, payload, after = _parsed(raw, at)
+        except ValueError as error:
+            if gap is None:
+                gap, reason = at, str(error)
+            following = _LINE.search(raw, at + 1)
+            at = following.start() if following else len(raw)
+            continue
+        if gap is not None:
+            yield Salvaged(start, end, reason, {}, b"", (gap, at))
+            gap = None
+        yield Salvaged(start, end, None, fields, payload, (at, after))
+        at = after
+    if gap is not None:
+        yield Salvaged(start, end, reason, {}, b"", (gap, len(raw)))
+
+
+def _at(data: memoryview, start: int) -> tuple[Iterator[Salvaged], int]:
+    """What begins at ``start`` (a member with all in it, or one plain record) and its end."""
     if bytes(data[start: start + 3]) == MAGIC:
         try:
             raw, end = _unzipped(data, start)
         except zlib.error as error:
             raise ValueError("bad member") from error
-        records, at = [], 0
-        while at < len(raw):
-            fields, payload, at = _parsed(raw, at)
-            records.append((fields, payload))
-        return records, end
+        return _inside(raw, start, end), end
     if bytes(data[start: start + len(VERSION)]) == VERSION:
         fields, payload, end = _parsed(data, start)
-        return [(fields, payload)], end
+        return iter([Salvaged(start, end, None, fields, payload)]), end
     raise ValueError("no record")
 
 
 def salvage(content: bytes) -> Iterator[Salvaged]:
     """All valid records of an archive, and the gaps between them, in order."""
     data, at, gap, reason = memoryview(content), 0, None, ""
+    recovered: list[Salvaged] = []
     while at < len(data):
         try:
-            records, end = _at(data, at)
+            found, end = _at(data, at)
         except ValueError as error:
             if gap is None:
                 gap, reason = at, str(error)
+            if bytes(data[at: at + 3]) == MAGIC:
+                raw, damaged = _unzipped_part(data, at)
+                recovered += [r for r in _inside(raw, at, damaged) if r.problem is None]
             following = _START.search(content, at + 1)
             at = following.start() if following else len(data)
             continue
         if gap is not None:
-            yield Salvaged(gap, at, reason, {}, b"")
-            gap = None
-        for fields, payload in records:
-            yield Salvaged(at, end, None, fields, payload)
+            yield Salvaged(gap, at, reason, {}, b"", None, tuple(recovered))
+            gap, recovered = None, []
+        yield from found
         at = end
     if gap is not None:
-        yield Salvaged(gap, len(data), reason, {}, b"")
+        yield Salvaged(gap, len(data), reason, {}, b"", None, tuple(recovered))
 
 
 READ = (
-    "archive string, start long, end long, problem string, record_type string, page_id long, url string, refers_to long,"
-    " payload_bytes long, payload_digest string, payload binary")
+    "archive string, start long, end long, inner_start long, inner_end long, problem string, checked boolean, record_type string,"
+    " page_id long, url string, refers_to long, payload_bytes long, payload_digest string, payload binary")
+
+
+def _long(number: str) -> int | None:
+    """A number as Spark's long; NULL if it is none or does not fit."""
+    return int(number) if re.fullmatch(r"-?\d{1,19}", number) and -(1 << 63) <= int(number) < 1 << 63 else None
 
 
 def _page(name: str) -> int | None:
-    number = name.strip("<>").removeprefix(RECORD_ID)
-    return int(number) if re.fullmatch(r"-?\d{1,19}", number) else None
+    return _long(name.strip("<>").removeprefix(RECORD_ID))
+
+
+def _values(r: Salvaged, checked: bool) -> tuple:
+    """The columns of a record from ``checked`` on."""
+    kind, f = r.fields["warc-type"], r.fields
+    digest = _hexadecimal(f.get("warc-payload-digest", ""))
+    length = _long(f["payload-length"]) if kind == "revisit" and "payload-length" in f else len(r.payload)
+    if kind == "response":
+        digest = hashlib.sha1(r.payload).hexdigest()
+    return (checked, kind, _page(f.get("warc-record-id", "")), f.get("warc-target-uri"),
+            _page(f.get("warc-refers-to", "")), length, digest)
 
 
 def _rows(with_payload: bool):
     names = [x.split()[0] for x in READ.split(", ")]
-    types = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
+    types = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
     kinds = [types[x.split()[1]] for x in READ.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,33 +306,29 @@ def _rows(with_payload: bool):
         for batch in batches:
             for path, content in zip(*batch.columns, strict=True):
                 rows, size = [], 0
-                for r in salvage(content.as_py()):
-                    if r.problem is not None:
-                        rows.append((path.as_py(), r.start, r.end, r.problem, *[None] * 7))
-                        continue
-                    kind, f = r.fields["warc-type"], r.fields
-                    digest = f.get("warc-payload-digest", "")
-                    digest = base64.b32decode(digest[5:]).hex() if digest.startswith("sha1:") else None
-                    length = int(f["payload-length"]) if kind == "revisit" and "payload-length" in f else len(r.payload)
-                    if kind == "response":
-                        digest = hashlib.sha1(r.payload).hexdigest()
-                    rows.append((
-                        path.as_py(), r.start, r.end, None, kind, _page(f.get("warc-record-id", "")), f.get("warc-target-uri"),
-                        _page(f.get("warc-refers-to", "")), length, digest, r.payload if with_payload else None))
-                    size += len(r.payload) if with_payload else 100
-                    if size > 4_000_000:
-                        yield out(rows)
-                        rows, size = [], 0
+                for found in salvage(content.as_py()):
+                    for r in (found, *found.recovered):
+                        place = (path.as_py(), r.start, r.end, *(r.inner or (None, None)), r.problem)
+                        if r.problem is not None:
+                            rows.append((*place, *[None] * 8))
+                            continue
+                        rows.append((*place, *_values(r, r is found), r.payload if with_payload else None))
+                        size += len(r.payload) if with_payload else 100
+                        if size > 4_000_000:
+                            yield out(rows)
+                            rows, size = [], 0
                 if rows:
                     yield out(rows)
     return run
 
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> tuple[DataFrame, DataFrame]:
-    """The records of all archives below ``path``, and the log of quarantined gaps (archive, start, end, problem)."""
+    """The records of all archives below ``path``, and the log of quarantined gaps (archive, start, end, place
+    in the unpacked member, problem). Records out of damaged members have ``checked`` false."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
     rows = files.mapInArrow(_rows(with_payload), READ)
-    return rows.filter("problem IS NULL").drop("problem"), rows.filter("problem IS NOT NULL").select("archive", "start", "end", "problem")
+    return rows.filter("problem IS NULL").drop("problem"), rows.filter("problem IS NOT NULL").select(
+        "archive", "start", "end", "inner_start", "inner_end", "problem")
 
 
 _ORACLE = f"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import random
 
 import numpy as np
 from hypothesis import given, settings
@@ -109,6 +110,67 @@ def test_salvage(packed, damage, junk):
     assert at == len(content) + len(junk)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.sets(st.integers(0, 9), max_size=4), st.integers(0, 200))
+def test_salvage_inside_members(bad, lost):
+    """One member with ten records, some of them bad; then the same member cut off."""
+    payloads = [bytes(random.Random(i).choices(range(256), k=400)) for i in range(10)]
+    parts = [warc.record(i, "u", p, None, False) for i, p in enumerate(payloads)]
+    starts = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+    broken = [p.replace(b"\r\n\r\n", b"\r\n--", 1) if i in bad else p for i, p in enumerate(parts)]
+    content = warc.member(b"".join(broken))
+    rows = list(warc.salvage(content))
+    assert [r.payload for r in rows if r.problem is None] == [p for i, p in enumerate(payloads) if i not in bad]
+    gaps = [r.inner for r in rows if r.problem is not None]
+    ends = np.concatenate(([0], np.cumsum([len(p) for p in broken])))
+    want: list[list[int]] = []
+    for i in sorted(bad):
+        if want and want[-1][1] == ends[i]:
+            want[-1][1] = ends[i + 1]
+        else:
+            want.append([ends[i], ends[i + 1]])
+    assert gaps == [tuple(w) for w in want] and all((r.start, r.end) == (0, len(content)) for r in rows)
+
+    cut = warc.member(b"".join(parts))[: -(20 + lost * 15)]
+    (row,) = warc.salvage(cut)
+    assert row.problem == "cut off member" and (row.start, row.end) == (0, len(cut))
+    assert [r.payload for r in row.recovered] == payloads[: len(row.recovered)]
+    # Random bytes do not shrink: what comes back is all that was unpacked whole.
+    assert starts[len(row.recovered)] >= len(cut) * 0.9 - 2 * len(parts[0]) or lost > 190
+
+
+def test_fields_of_other_writers(session, tmp_path):
+    import hashlib
+
+    block = b"HTTP/1.1 200 OK\r\nContent-Length: 99999999999999999999\r\n\r\n"
+    digest = hashlib.sha1(b"x").hexdigest()
+
+    def foreign(number, digest, block_digest):
+        head = (f"WARC/1.0\r\nWARC-Type: revisit\r\nWARC-Record-ID: <urn:x-page:{number}>\r\nWARC-Date: d\r\nWARC-Payload-Digest: {digest}\r\n"
+                f"WARC-Block-Digest: {block_digest}\r\nContent-Type: application/http\r\nContent-Length: {len(block)}\r\n\r\n")
+        return head.encode() + block + b"\r\n\r\n"
+
+    right = "sha1:" + hashlib.sha1(block).hexdigest().upper()
+    parts = [
+        foreign(9999999999999999999, f"sha1:{digest}", right), foreign("x", "sha1:0189", right), foreign(-5, "md5:77", right),
+        foreign(7, f"sha1:{digest}", "sha1:" + "0" * 40), foreign(8, "sha1:" + "A" * 32, "md5:1")]
+    (tmp_path / "a.warc").write_bytes(b"".join(parts))
+    (tmp_path / "b.warc.gz").write_bytes(warc.member(b"".join(parts))[:-4])
+    records, gaps = warc.read_archives(session, str(tmp_path))
+    got = sorted(((r.archive[-1], r.page_id, r.payload_digest, r.payload_bytes, r.checked) for r in records.collect()), key=repr)
+    want = [(None, digest, None), (None, None, None), (-5, None, None), (8, "00" * 20, None)]
+    assert got == sorted([(a, *w, a == "c") for a in "cz" for w in want], key=repr)
+    assert sorted(r.problem for r in gaps.collect()) == ["bad digest", "cut off member"]
+
+
+def test_archives_are_bounded_by_bytes(session, tmp_path):
+    pages = session.createDataFrame([(i, "u", "".join(random.Random(i).choices("abcdefghij", k=20_000))) for i in range(30)], "page_id long, url string, html string")
+    warc.write_archives(pages.coalesce(1), str(tmp_path / "a"), file_bytes=70_000)
+    files = list((tmp_path / "a").glob("part-*"))
+    assert len(files) == 10 and all(f.stat().st_size <= 70_000 for f in files)
+    assert warc.read_archives(session, str(tmp_path / "a"))[0].count() == 30
+
+
 def test_classifier(session, odd, empty):
     rng = np.random.default_rng(0)
     rows, labels = [], []
