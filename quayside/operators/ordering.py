@@ -5,6 +5,9 @@ inside a segment; only one summary row per segment is ordered over the whole gro
 caller names the segment column: its values must rise along the order (NULL is the last segment),
 and a row's segment must depend on the row alone, so that a rerun task cuts the group at the same
 places. NULL keys make a group like others.
+
+Where no column cuts a group evenly (all of a queue in one hour, or without any time), ``with_ranges``
+makes the segments from a sample: ranges of the order that hold about as many rows each.
 """
 
 from __future__ import annotations
@@ -14,6 +17,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.session import scratch_folder
+
+#: Ranges that all groups together are cut into, and rows sampled to find them.
+RANGES, SAMPLED = 512, 1 << 16
+
 
 def _nulls_last(order: Sequence[str]) -> list[Column]:
     return [F.asc_nulls_last(name) for name in order]
@@ -36,6 +44,48 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
     return left.join(renamed, condition).drop(*(f"_key_{name}" for name in keys))
 
 
+def range_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int = RANGES, sampled: int = SAMPLED) -> DataFrame:
+    """``(*keys, cuts)``: places along ``order`` at which a group is cut, about ``ranges`` over all groups.
+
+    Every so many sampled rows of a group are a cut, so a group has cuts in proportion to its rows, and
+    most have none. The cuts are stored, since another sample would cut elsewhere.
+    """
+    rows = df.count()
+    along = Window.partitionBy(*keys).orderBy("at")
+    found = (
+        df.select(*keys, F.struct(*_sort_struct(order)).alias("at"))
+        .sample(min(1.0, sampled / max(1, rows)), seed=17)
+        .withColumn("n", F.row_number().over(along))
+        .filter(F.col("n") % max(1, -(-min(rows, sampled) // ranges)) == 0)
+        .groupBy(*keys).agg(F.collect_set("at").alias("cuts"))
+    )
+    path = scratch_folder(df.sparkSession, "range-cuts")
+    found.coalesce(1).write.parquet(path)
+    return df.sparkSession.read.schema(found.schema).parquet(path)
+
+
+def with_ranges(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "segment", ranges: int = RANGES, sampled: int = SAMPLED
+) -> DataFrame:
+    """Adds segments that rise along ``order`` and hold about equally many rows, however the values lie.
+
+    A row's segment is the number of its group's cuts up to it. Rows alike in all of ``order`` stay
+    together, so the order should end in what tells rows apart. ``df`` is read twice before the result is, for its
+    size and for the sample.
+    """
+    # Some ``ranges`` cuts go to every task, whatever the size of the table.
+    cuts = range_cuts(df, keys, order, ranges, sampled).withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    condition = F.lit(True)
+    for key in keys:
+        condition &= df[key].eqNullSafe(F.col(f"_key_{key}"))
+    at = F.struct(*_sort_struct(order))
+    return (
+        df.withColumn("_at", at).join(F.broadcast(cuts), condition, "left")
+        .withColumn(name, F.coalesce(F.size(F.filter("cuts", lambda cut: cut <= F.col("_at"))), F.lit(0)))
+        .drop("_at", "cuts", *(f"_key_{key}" for key in keys))
+    )
+
+
 def with_position(
     df: DataFrame, keys: Sequence[str], segment: str, order: Sequence[str], name: str = "position"
 ) -> DataFrame:

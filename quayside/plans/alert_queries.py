@@ -264,6 +264,35 @@ def berth_queue_position(spark: SparkSession, sf_dir: str) -> DataFrame:
         "berth_number", *B.QUEUE_ORDER, "queue_position")
 
 
+# A third of all entries wait at one berth, in one hour or without any time.
+_HOT = """hot AS (
+        SELECT CASE WHEN ascii(ship_name_chinese) % 3 = 0 THEN '1042' ELSE berth_number END AS berth_number,
+            CASE WHEN ascii(ship_name_chinese) % 3 <> 0 THEN berthing_time
+                WHEN ship_status = 'P' THEN NULL ELSE TIMESTAMP '2024-01-20 08:00:00' END AS berthing_time,
+            CASE WHEN ascii(ship_name_chinese) % 3 <> 0 THEN pilotage_time END AS pilotage_time,
+            ship_name_chinese, ship_name_english, ship_status, updated_at
+        FROM fx_berth)"""
+
+
+def _hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hot = F.ascii("ship_name_chinese") % 3 == 0
+    hour = F.when(F.col("ship_status") != "P", F.lit("2024-01-20 08:00:00").cast("timestamp_ntz"))
+    return project(spark, sf_dir, "fx_berth").withColumns({
+        "berth_number": F.when(hot, "1042").otherwise(F.col("berth_number")),
+        "berthing_time": F.when(hot, hour).otherwise(F.col("berthing_time")),
+        "pilotage_time": F.when(~hot, F.col("pilotage_time")),
+    })
+
+
+@query("hot_queue_position", f"""{oracle_with('fx_berth')}, {_HOT}
+    SELECT berth_number, berthing_time, pilotage_time, ship_name_chinese, ship_status,
+        row_number() OVER (PARTITION BY berth_number ORDER BY berthing_time NULLS LAST, pilotage_time NULLS LAST,
+            ship_name_chinese NULLS LAST, ship_status NULLS LAST) AS queue_position
+    FROM hot""")
+def hot_queue_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.queue_positions(_hot(spark, sf_dir), even=True).select("berth_number", *B.QUEUE_ORDER, "queue_position")
+
+
 @query("berth_neighbours", f"{_BERTHS}, {_BERTH_ALERTS} SELECT * FROM moved")
 def berth_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.moved_ahead(project(spark, sf_dir, "fx_berth"), A.moment(CUTOFF))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quayside import rules
 from quayside.functions.messages import berth_message
 from quayside.functions.text import full_name, ship_id, voyage_serial
-from quayside.operators.ordering import with_next, with_position
+from quayside.operators.ordering import with_next, with_position, with_ranges
 from quayside.plans.alerts import KEY, revised_times
 
 QUEUE_ORDER = ("berthing_time", "pilotage_time", "ship_name_chinese", "ship_status")
@@ -30,20 +30,25 @@ def with_queue_segment(berths: DataFrame) -> DataFrame:
     return berths.withColumn("_queue_segment", segment)
 
 
-def queue_positions(berths: DataFrame) -> DataFrame:
-    """Each entry's place in its berth's queue, from 1."""
+def with_even_segment(berths: DataFrame) -> DataFrame:
+    """Cuts a berth's queue into ranges of about equally many entries, also where all have one hour or no time."""
+    return with_ranges(berths, ["berth_number"], QUEUE_ORDER, "_queue_segment")
+
+
+def queue_positions(berths: DataFrame, even: bool = False) -> DataFrame:
+    """Each entry's place in its berth's queue, from 1; ``even`` for queues that hours do not cut well."""
     return with_position(
-        with_queue_segment(berths), ["berth_number"], "_queue_segment", QUEUE_ORDER, "queue_position",
+        with_even_segment(berths) if even else with_queue_segment(berths), ["berth_number"], "_queue_segment", QUEUE_ORDER, "queue_position",
     ).drop("_queue_segment")
 
 
-def moved_ahead(berths: DataFrame, cutoff: Column) -> DataFrame:
-    """Queue entries changed since ``cutoff`` with the name of the ship behind them.
+def moved_ahead(berths: DataFrame, cutoff: Column, even: bool = False) -> DataFrame:
+    """Queue entries changed since ``cutoff`` with the name of the ship behind them; ``even`` as above.
 
     The change test is on the ship ahead, so it must not remove any follower.
     """
     paired = with_next(
-        with_queue_segment(berths), ["berth_number"], "_queue_segment", QUEUE_ORDER,
+        with_even_segment(berths) if even else with_queue_segment(berths), ["berth_number"], "_queue_segment", QUEUE_ORDER,
         ["ship_name_chinese", "ship_name_english"], "_behind", only=F.col("updated_at") >= cutoff,
     )
     return paired.filter(F.col("_behind").isNotNull()).select(

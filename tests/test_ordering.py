@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quayside.operators.latest import keep_last, newest_row, newest_with_ties
-from quayside.operators.ordering import with_next, with_position
+from quayside.operators.ordering import with_next, with_position, with_ranges
 from quayside.plans.berths import QUEUE_ORDER, with_queue_segment
 from tests.conftest import as_tuples
 
@@ -112,3 +112,33 @@ def test_choice_does_not_depend_on_row_order(spark):
         newest_row(spark.createDataFrame(order, "k string, t int, v string").repartition(n), ["k"], ["t"], ["v"])
         .first()["v"] for order, n in ((rows, 1), (rows[::-1], 3))}
     assert picked == {"d"}
+
+
+def test_ranges_of_a_hot_queue_are_even(queue):
+    """A third of all entries at one berth and in one hour: same results, and no segment far above the others."""
+    hour = F.lit("2024-01-02 08:00:00").cast("timestamp_ntz")
+    hot = F.col("berth_number") == "1042"
+    skewed = queue.withColumns({
+        "berthing_time": F.when(~hot, F.col("berthing_time")).when(F.col("ship_status") == "P", hour),
+        "pilotage_time": F.when(~hot, F.col("pilotage_time"))})
+    cut = with_ranges(skewed, ["berth_number"], QUEUE_ORDER, ranges=60, sampled=1500)
+    before = cut.withColumn("before", F.lag("segment").over(plain_window()))
+    assert before.filter("before > segment or segment is null").count() == 0
+    sizes = sorted(r["count"] for r in cut.filter(hot).groupBy("segment").count().collect())
+    assert len(sizes) > 15 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    names = ("ship_name_chinese", "position")
+    got = with_position(cut, ["berth_number"], "segment", QUEUE_ORDER)
+    assert as_tuples(got, *names) == as_tuples(skewed.withColumn("position", F.row_number().over(plain_window())), *names)
+    got = with_next(cut, ["berth_number"], "segment", QUEUE_ORDER, ["ship_name_chinese"]).withColumn("after", F.col("next.ship_name_chinese"))
+    want = skewed.withColumn("after", F.lead("ship_name_chinese").over(plain_window()))
+    assert as_tuples(got, "ship_name_chinese", "after") == as_tuples(want, "ship_name_chinese", "after")
+
+
+def test_ranges_of_missing_keys_and_empty_tables(spark):
+    rows = [(None, i % 7) for i in range(50)] + [("b", None)] * 3
+    df = spark.createDataFrame(rows, "k string, v int")
+    cut = with_ranges(df, ["k"], ["v"], ranges=10)
+    assert cut.count() == 53 and cut.filter("k is null").select("segment").distinct().count() > 3
+    got = with_position(cut, ["k"], "segment", ["v"])
+    assert sorted(r.position for r in got.filter("k is null").collect()) == list(range(1, 51))
+    assert with_ranges(df.limit(0), ["k"], ["v"]).count() == 0
