@@ -56,6 +56,88 @@ def test_pruning_leaves_work_out(monkeypatch):
     assert sum(compared) < 400 * 2000 / 50 and len(again[0]) <= len(found[0])
 
 
+def clustered(rng, n, dim):
+    """Whole-number vectors in clusters of clusters."""
+    top, sub = 4000 * rng.normal(size=(5, dim)), 300 * rng.normal(size=(25, dim))
+    pick = rng.integers(0, 25, n)
+    return np.floor(top[pick // 5] + sub[pick] + 20 * rng.normal(size=(n, dim)))
+
+
+def test_levels_of_trees():
+    """Children cover their node at half its radius and have their centres further apart than that."""
+    x = clustered(np.random.default_rng(2), 1500, 3)
+    tree = cover_trees.CoverTree.of(np.arange(1500), x)
+    assert sorted(tree.ids) == list(range(1500)) and (tree.x == x[tree.ids]).all()
+    depth, level = 0, np.zeros(1, np.int64)
+    while len(level):
+        for i in level:
+            mine = tree.x[tree.low[i]: tree.high[i]]
+            assert np.sqrt(((mine - tree.x[tree.centre[i]]) ** 2).sum(1)).max() <= tree.radius[i]
+            kids = np.arange(tree.first[i], tree.first[i] + tree.kids[i])
+            if not len(kids):
+                continue
+            assert tree.radius[kids].max() <= tree.radius[i] / 2 * (1 + 1e-6)
+            assert tree.low[kids[0]] == tree.low[i] and tree.high[kids[-1]] == tree.high[i]
+            assert (tree.high[kids[:-1]] == tree.low[kids[1:]]).all()
+            c = tree.x[tree.centre[kids]]
+            apart = np.sqrt(((c[:, None] - c[None]) ** 2).sum(-1)) + np.diag(np.full(len(c), np.inf))
+            assert apart.min() > tree.radius[i] / 2 * (1 - 1e-6)
+        depth, level = depth + 1, tree.opened(level)[0]
+    assert depth > 3
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.integers(0, 10**6), st.integers(1, 12), st.booleans())
+def test_dual_descent(seed, k, known):
+    """Trees of several levels on both sides, with and without k-th scores from elsewhere."""
+    rng = np.random.default_rng(seed)
+    x = clustered(rng, 600, int(rng.integers(1, 5)))
+    x[rng.integers(0, 600, 100)] = x[0]  # ties
+    q_ids, c_ids = np.arange(200), np.arange(600)
+    scores = x[:200] @ x.T
+    scores[q_ids, q_ids] = -np.inf
+    ranked = np.lexsort((np.broadcast_to(c_ids, scores.shape), -scores), axis=1)[:, :k]
+    kth = np.take_along_axis(scores, ranked, 1)[:, -1] if known else np.full(200, -np.inf)
+    found = {(a, b, c) for a, b, c in zip(*cover_trees.search(q_ids, x[:200], kth, c_ids, x, k), strict=True)}
+    assert found == {(i, int(j), int(scores[i, j])) for i in range(200) for j in ranked[i]}
+
+
+def test_top_k_in_rounds(session, monkeypatch):
+    """Many blocks and rounds, more lengths than have pivots, one row that stands very often, ids with two vectors."""
+    monkeypatch.setattr(cover_trees, "CANDIDATES_PER_BLOCK", 30)
+    monkeypatch.setattr(cover_trees, "QUERIES_PER_BLOCK", 25)
+    monkeypatch.setattr(cover_trees, "MOST_LENGTHS", 2)
+    monkeypatch.setattr(cover_trees, "ROUND_GROWTH", 3)
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(v) / 64 for v in x]) for i, x in enumerate(clustered(rng, 500, 4))]
+    rows += [(1001, rows[7][1])] * 60 + [(3000, rows[9][1])] * 3
+    rows += [(2000 + 10 * n + i, [float(v) for v in rng.integers(-9, 9, n)]) for n in range(5, 12) for i in range(9)]
+    vectors = session.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = cover_trees.top_k(F.col("vec_id") % 3 == 0, vectors, k=5)
+    # A repeated query is asked once.
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got.collect()) == brute_top_k(rows, 5)
+
+
+def test_rows_found_grow_with_the_input(monkeypatch):
+    """Block after block with the k-th scores so far: what is put out is little more than what enters the k best."""
+    rng = np.random.default_rng(4)
+    q, out = rng.integers(-64, 64, (100, 32)).astype(float), []
+    for blocks in (4, 32):
+        kth, best, total, at = np.full(100, -np.inf), [[] for _ in range(100)], 0, 0
+        for size in (1, 7, 56):
+            x = rng.integers(-64, 64, (200 * min(size, blocks - at), 32)).astype(float) if at < blocks else np.zeros((0, 32))
+            for low in range(0, len(x), 200):
+                found = cover_trees.search(np.arange(100), q, kth, 1000 + np.arange(200), x[low: low + 200], 10)
+                total += len(found[0])
+                for i, s in zip(found[0], found[2], strict=True):
+                    best[i].append(s)
+            at = min(at + size, blocks)
+            best = [sorted(b)[-10:] for b in best]
+            kth = np.array([b[0] for b in best], float)
+        out.append(total)
+    assert out[1] < 8 * out[0] / 2
+
+
 def page_rows():
     big = "<p>" + "é" * 600 + "</p>"
     return [
