@@ -148,7 +148,7 @@ def multi_page_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
         P.grid_cells(pages, P.EVENT_GRID), ("ship_voyage_number", "ship_name"), F.col("text"))
 
 
-def _event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _event_pages(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Event pages addressed by voyage; a voyage's rows go on over its pages."""
     local = times.to_local(F.col("event_time"))
     cells = F.array(
@@ -156,7 +156,8 @@ def _event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("navigation_status", F.lit("")), F.col("pilot_order_number"), F.col("berth_number"),
         F.coalesce(content_text(F.col("seq"), times.to_local(F.col("event_content_time"))), F.lit("null")),
     )
-    events = project(spark, sf_dir, "fx_events").withColumn("part", F.floor(F.col("seq") / 2**20))
+    events = project(spark, sf_dir, "fx_events") if events is None else events
+    events = events.withColumn("part", F.floor(F.col("seq") / 2**20))
     rows = (
         with_position(events, ["ship_voyage_number"], "part", ["seq"], "row")
         .withColumn("row", F.col("row") - 1)
@@ -234,13 +235,16 @@ def header_zip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     def time_text(name: str) -> Column:
         return F.coalesce(era_text(times.to_local(F.col(name))), F.lit("待接靠"))
 
+    # On every seventh page the first character stands as a number, on some of its rows a table in the cell.
+    odd = F.col("crawl_id").cast("bigint") % 7 == 0
+    nested = odd & (F.col("seq") % 5 == 0)
+    first = F.when(odd, F.concat(F.lit("&#"), _code(F.col("ship_name_chinese")), F.lit(";"))).otherwise(
+        F.substring("ship_name_chinese", 1, 1))
     cells = F.array(
         F.col("seq").cast("string"), F.col("berth_number"), time_text("berthing_time"), F.col("ship_status"),
         time_text("pilotage_time"), F.concat(
-            # The first character as a number, and on some rows a table in the cell.
-            F.when(F.col("seq") % 5 == 0, "<table><tr><td>").otherwise("<b>"), F.lit("&#"),
-            _code(F.col("ship_name_chinese")), F.lit(";"), F.expr("substring(ship_name_chinese, 2)"),
-            F.when(F.col("seq") % 5 == 0, "</td></tr></table>").otherwise("</b> ")),
+            F.when(nested, "<table><tr><td>").otherwise("<b>"), first, F.expr("substring(ship_name_chinese, 2)"),
+            F.when(nested, "</td></tr></table>").otherwise("</b> ")),
         F.coalesce("ship_name_english", F.lit("")), F.lit("earlier"), F.coalesce("port_agent", F.lit("")), F.lit("extra"))
     width = F.when(F.col("seq") % 23 == 0, 6).when(F.col("seq") % 17 == 0, 8).when(F.col("seq") % 19 == 0, 10).otherwise(9)
     tds = F.transform(F.slice(cells, F.lit(1), width), lambda c: F.concat(F.lit('<td class="dxgv">'), c, F.lit("</td>")))
@@ -253,7 +257,7 @@ def header_zip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     wrong = f'<table class="{P.CONTROL_CLASS}"><tr><td class="{P.HEADER_CLASS}">x</td></tr></table>'
     pages = pages_of(rows, body).withColumn("html", F.concat(
         F.lit(f'<p>before</p><div class="{P.CONTROL_CLASS} wide"><table><tr>{header}</tr></table>'), "html",
-        F.lit(f"</div>{wrong}")))
+        F.lit("</div>"), F.when(odd, wrong).otherwise("")))
     zipped = P.header_table_rows(pages, titles)
     return zipped.drop("crawl_id", "page_no", "row").withColumns({
         "order_key": F.col("order_key").cast("bigint"),

@@ -4,36 +4,59 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from quayside.plans.ingest import crawl_tables, store_table
+from quayside.operators import quality
+from quayside.plans.ingest import crawl_tables, listed_ships, merge_events, typed_folder, write_typed
 from quayside.sources import files
 from quayside.sources.state import state_table
 
 # Kinds of pages, and the order in which tables are taken in: a voyage row is to be newer than
 # its status row.
 STATUS, EVENT, MILE, BERTH = "status", "event", "mile", "berth"
-ORDER = ("ship_status", "ship_events", "ship_voyage", "ship_berth_order")
+ORDER = {"ship_status": STATUS, "ship_events": EVENT, "ship_voyage": MILE, "ship_berth_order": BERTH}
+NOTE = "batch bigint, crawl bigint"
+COUNTS = "crawl bigint, table_name string, pages bigint, rows bigint, rejects bigint, late boolean"
 
 
 def late_folder(root: str, table: str, number: int) -> str:
     return f"{root.rstrip('/')}/late/{table}/crawl={number}"
 
 
-def _newest_before(spark: SparkSession, root: str, batch_id: int, numbers: list[int]) -> int | None:
-    """Greatest crawl of the batches before this one, whose crawls are noted for the next."""
-    noted = f"{root}/crawls"
-    spark.createDataFrame([(n,) for n in numbers], "crawl bigint").coalesce(1).write.mode("overwrite").json(
-        f"{noted}/batch={batch_id}")
-    return spark.read.schema("crawl bigint, batch bigint").json(noted).filter(F.col("batch") < batch_id).agg(
-        F.max("crawl")).first()[0]
+def _crawls_before(spark: SparkSession, root: str, batch_id: int, numbers: list[int]) -> list[int]:
+    """Numbers of the crawls of the batches before this one.
+
+    They are noted, with those of this batch, for the next one, in the other of two places: there is little to read
+    however long the stream goes on, and a batch that is run again finds what its first attempt found.
+    """
+    before: dict[int, list[int]] = {}
+    for place in (0, 1):
+        try:
+            noted = spark.read.schema(NOTE).option("ignoreMissingFiles", True).json(f"{root}/crawls/place={place}")
+            for row in noted.filter(F.col("batch") < batch_id).collect():
+                before.setdefault(row["batch"], []).append(row["crawl"])
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    known = before[max(before)] if before else []
+    spark.createDataFrame([(batch_id, n) for n in sorted({*known, *numbers})], NOTE).coalesce(1).write.mode(
+        "overwrite").json(f"{root}/crawls/place={batch_id % 2}")
+    return known
+
+
+def crawl_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Per crawl and table: pages that came for it, rows cut from them, rejected rows among these, and whether they
+    came late. A crawl that goes on has the counts of its newest batch."""
+    return spark.read.schema(COUNTS).json(f"{root}/counts/*")
 
 
 def crawl_stream(
     pages: DataFrame, root: str, checkpoint: str, event_base: str, mile_base: str,
-    as_of: Callable[[int, str], Column], parts: int = 64, export_stem: str | None = None,
+    as_of: Callable[[int, str], Column], parts: int = 64, export_stem: str | None = None, merge_late: bool = False,
 ) -> StreamingQuery:
     """Takes all pages that have landed into the four tables below ``root``, then stops.
 
@@ -43,28 +66,50 @@ def crawl_stream(
     from number and table. A crawl that goes on in a later micro-batch is taken again with all its
     pages that have landed, in place of its first part. A crawl that is stored is left alone when a batch is run
     again. Of one that lands, or goes on, after a later one has landed in an earlier batch, the typed rows with
-    their rejects go to ``late_folder`` instead, as the later one is not to be undone. With
+    their rejects go to ``late_folder`` instead, as the later one is not to be undone. With ``merge_late``, which
+    is chosen for a table's life, its events are taken in all the same: the stored events are those of
+    the newest crawl for each key, whatever the order of landing, one version per micro-batch. With
     ``export_stem``, the three exports are made anew after each batch.
     """
 
+    def take_crawl(spark: SparkSession, number: int, late: bool, schema: T.StructType) -> list[tuple]:
+        mine = files.landed_pages(spark, f"{root}/landing", str(number), schema)
+        kinds = {k: mine.filter(F.col("kind") == k).drop("kind", "crawl") for k in ORDER.values()}
+        arrived = {row["kind"]: row["count"] for row in mine.groupBy("kind").count().collect()}
+        crawled = {"ship_status": listed_ships(kinds[STATUS])}
+        counts = []
+        for name, kind in ORDER.items():
+            merged = merge_late and name == "ship_events"
+            table = state_table(spark, root, name, parts)
+            # A later crawl of the same batch is stored already if the batch is run again.
+            stored = not late and not merged and table.newest() > number
+            if stored and name != "ship_status":
+                continue
+            typed, count = write_typed(
+                crawled[name], (late_folder if late and not merged else typed_folder)(root, name, number))
+            if name == "ship_status":
+                crawled = crawl_tables(
+                    kinds[STATUS], kinds[EVENT], kinds[MILE], kinds[BERTH], event_base, mile_base, listed=typed)
+            counts.append((number, name, arrived.get(kind, 0), count["rows"], count["rejects"], late))
+            if not late and not merged and not stored:
+                table.apply(quality.accepted(typed), number, as_of(number, name))
+        return counts
+
     def take(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
         try:
             files.land_pages(batch.withColumn("crawl_date", F.col("crawl").cast("string")), f"{root}/landing", batch_id)
             numbers = sorted(row["crawl"] for row in batch.select("crawl").distinct().collect())
-            newest = _newest_before(spark, root, batch_id, numbers)
-            for number in numbers:
-                mine = files.landed_pages(spark, f"{root}/landing", str(number), batch.schema)
-                kinds = {k: mine.filter(F.col("kind") == k).drop("kind", "crawl") for k in (STATUS, EVENT, MILE, BERTH)}
-                crawled = crawl_tables(kinds[STATUS], kinds[EVENT], kinds[MILE], kinds[BERTH], event_base, mile_base)
-                for name in ORDER:
-                    if newest is not None and number < newest:
-                        crawled[name].write.mode("overwrite").parquet(late_folder(root, name, number))
-                    elif state_table(spark, root, name, parts).newest() <= number:
-                        store_table(spark, crawled[name], root, name, number, as_of(number, name), parts)
         finally:
             batch.unpersist()
+        before = _crawls_before(spark, root, batch_id, numbers)
+        for number in numbers:
+            counts = take_crawl(spark, number, bool(before) and number < max(before), batch.schema)
+            if counts:
+                spark.createDataFrame(counts, COUNTS).coalesce(1).write.mode("overwrite").json(f"{root}/counts/of={number}")
+        if merge_late:
+            merge_events(spark, root, numbers, before, batch_id)
         if export_stem is not None:
             for name in files.EXPORT_SUFFIXES:
                 rows = state_table(spark, root, name, parts).read()
