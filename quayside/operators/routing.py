@@ -36,6 +36,36 @@ def without_rule(alerts: DataFrame, rule_table: DataFrame) -> DataFrame:
     return alerts.join(rule_table, "event_name", "left_anti")
 
 
+def _in_force(alerts: DataFrame, versions: DataFrame, time: Column, how: str) -> DataFrame:
+    """Alerts with the ``stakeholders`` of the rule in force at ``time``, NULL if there is none.
+
+    The versions of an event, no more than its rule has ever had, travel as one ordered list, so the join is on the event
+    alone and gives one row per alert. Of versions from the same moment the greatest list counts; an alert
+    without a time takes the newest version.
+    """
+    history = versions.groupBy("event_name").agg(
+        F.array_sort(F.collect_list(F.struct("valid_from", "stakeholders"))).alias("_history"))
+    known = F.filter("_history", lambda version: F.coalesce(version["valid_from"] <= time, F.lit(True)))
+    return alerts.join(history, "event_name", how).withColumn(
+        "stakeholders", F.try_element_at(known, F.lit(-1))["stakeholders"]).drop("_history")
+
+
+def with_rule_as_of(alerts: DataFrame, versions: DataFrame, time: Column) -> DataFrame:
+    """``with_rule`` by the rules in force at the time of each alert; ``versions`` as ``rules.rule_versions``."""
+    return _in_force(alerts, versions, time, "inner").filter(F.col("stakeholders").isNotNull())
+
+
+def without_rule_as_of(alerts: DataFrame, versions: DataFrame, time: Column) -> DataFrame:
+    return _in_force(alerts, versions, time, "left").filter(F.col("stakeholders").isNull()).drop("stakeholders")
+
+
+def rules_at(versions: DataFrame, time: Column) -> DataFrame:
+    """The plain rule table that was in force at one moment, for a poll of then that is done again."""
+    newest = versions.filter(F.col("valid_from") <= time).groupBy("event_name").agg(
+        F.max(F.struct("valid_from", "stakeholders"))["stakeholders"].alias("stakeholders"))
+    return newest.filter(F.col("stakeholders").isNotNull())
+
+
 def with_recipients(ruled: DataFrame) -> DataFrame:
     """Replaces ``stakeholders`` by those whose condition holds, in rule order.
 

@@ -350,6 +350,43 @@ def route_stakeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Rules that change at two moments: one for whom, one that ends, and that one once more.
+RULE_CHANGES = (
+    ("1970-01-01 00:00:00", rules.RECIPIENTS),
+    ("2024-01-30 00:00:00", {"實際靠妥時間": ("Tugboat", "Pilot", "PierLienHai"), rules.ETD_REVISION: None}),
+    ("2024-01-30 12:00:00", {rules.ETD_REVISION: ("Tugboat",), rules.ETA_REVISION: None}),
+)
+
+
+def _rule_intervals() -> str:
+    """Rows ``(event_name, position, stakeholder, valid_from, valid_to)``, for the oracle."""
+    rows = []
+    for i, (start, changed) in enumerate(RULE_CHANGES):
+        for event, names in changed.items():
+            end = next((t for t, later in RULE_CHANGES[i + 1:] if event in later), "9999-01-01 00:00:00")
+            rows += [
+                f"({rules.sql_text(event)}, {n}, {rules.sql_text(name)}, TIMESTAMP '{start}', TIMESTAMP '{end}')"
+                for n, name in enumerate(names or ())]
+    return ", ".join(rows)
+
+
+_ROUTED_AS_OF = _ROUTED.replace(
+    f"(VALUES {rules.rule_values()}) AS r(event_name, position, stakeholder)",
+    f"(VALUES {_rule_intervals()}) AS r(event_name, position, stakeholder, valid_from, valid_to)",
+).replace("ON r.event_name = c.event_name", """ON r.event_name = c.event_name
+            AND coalesce(c.update_time, TIMESTAMP '9998-01-01') >= r.valid_from
+            AND coalesce(c.update_time, TIMESTAMP '9998-01-01') < r.valid_to""")
+
+
+@query("routed_as_of", f"""{_ALL}, {_ROUTED_AS_OF}
+    SELECT ship_voyage_number, event_name, update_time, stakeholder FROM passed""")
+def routed_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts routed by the rules in force at their own time."""
+    versions = rules.rule_versions(spark, RULE_CHANGES)
+    routed = A.routed(_enriched(spark, sf_dir), versions, F.col("update_time"))
+    return routed.select("ship_voyage_number", "event_name", "update_time", F.explode("stakeholders").alias("stakeholder"))
+
+
 @query("delivery_outbox", f"""{_ALL}, {_ROUTED}
     SELECT md5(message) AS alert_id, message_format, ship_voyage_number, event_name, stakeholder, message,
         CASE WHEN stakeholder = 'Tugboat' THEN 'no_token' ELSE 'queued' END AS status FROM passed""")

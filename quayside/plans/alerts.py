@@ -10,7 +10,7 @@ from quayside.functions.messages import digest_message, status_message
 from quayside.functions.text import qualified_event, ship_id, voyage_serial
 from quayside.operators import quality
 from quayside.operators.latest import newest_row, newest_with_ties
-from quayside.operators.routing import with_channel, with_recipients, with_rule
+from quayside.operators.routing import with_channel, with_recipients, with_rule, with_rule_as_of
 from quayside.operators.substring import last_contained
 
 KEY = "ship_voyage_number"
@@ -173,11 +173,13 @@ def alert_rejects(alerts: DataFrame, rule_table: DataFrame) -> DataFrame:
     return quality.rejected(checked.drop("_ruled"))
 
 
-def routed(alerts: DataFrame, rule_table: DataFrame) -> DataFrame:
-    """Alerts with a rule, each with the list of stakeholders to tell (maybe empty) and its text."""
+def routed(alerts: DataFrame, rule_table: DataFrame, time: Column | None = None) -> DataFrame:
+    """Alerts with a rule, each with the list of stakeholders to tell (maybe empty) and its text. With ``time``,
+    the table holds versions of rules, and those in force at the time of an alert count for it."""
     usable = alerts.filter(F.col("ship_name").isNotNull() & F.col("port_agent").isNotNull())
+    ruled = with_rule(usable, rule_table) if time is None else with_rule_as_of(usable, rule_table, time)
     return (
-        with_recipients(with_rule(usable, rule_table))
+        with_recipients(ruled)
         .withColumn("message", status_message())
         .withColumn("alert_id", F.md5("message"))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 # ---- Fixed values -------------------------------------------------------------------
@@ -100,6 +102,16 @@ def rule_table(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS r(event_name, stakeholders)")
 
 
+def rule_versions(spark: SparkSession, versions: Sequence[tuple[str, Mapping[str, tuple[str, ...] | None]]]) -> DataFrame:
+    """``(event_name, valid_from, stakeholders)`` of versions, each with the time from which it holds and the rules
+    that change with it; None ends a rule."""
+    rows = ", ".join(
+        f"({sql_text(event)}, TIMESTAMP_NTZ {sql_text(valid_from)}, "
+        + ("CAST(NULL AS array<string>)" if names is None else f"CAST(array({', '.join(map(sql_text, names))}) AS array<string>)") + ")"
+        for valid_from, changed in versions for event, names in changed.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS r(event_name, valid_from, stakeholders)")
+
+
 def channel_table(spark: SparkSession, configured: tuple[str, ...]) -> DataFrame:
     """``(stakeholder, configured)``: who can be reached. Holds no secrets."""
     rows = ", ".join(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quayside import rules, schemas
 from quayside.functions.messages import berth_message, status_message
 from quayside.functions.text import full_name, qualified_event
+from quayside.operators import routing as R
 from quayside.operators.substring import contained_names, last_contained
 from quayside.plans import alerts as A
 from quayside.plans import berths as B
@@ -183,3 +184,33 @@ def test_rules_are_whole(spark):
     unknown = {s for names in rules.RECIPIENTS.values() for s in names} - known
     assert unknown == {"UNMOORING", "ShippingAgent", "ShippingCompany"}
     assert rules.rule_table(spark).count() == 27
+
+
+def test_rules_by_version(spark, tables, tmp_path):
+    """A poll of then that is done again with today's versions gives what it gave then; alerts take the rule of their time."""
+    first, second = "2024-04-01 00:00:00", "2024-05-01 11:59:30"
+    versions = rules.rule_versions(spark, [
+        (first, rules.RECIPIENTS), (second, {"更新引水時間 (進港)": None, "出航": ("Pilot",), "實際靠妥時間": ("Tugboat",)})])
+    channels = rules.channel_table(spark, ("Pilot",))
+
+    def outbox(table, name):
+        return as_tuples(D.run_poll(tables, table, channels, at(CUTOFF), str(tmp_path / name)).outbox)
+
+    then = outbox(rules.rule_table(spark), "then")
+    assert outbox(R.rules_at(versions, at(CUTOFF)), "again") == then
+    assert outbox(R.rules_at(versions, at(NOW)), "now") != then
+    names = ["更新引水時間 (進港)", "出航", "實際靠妥時間"]
+    times = [None, datetime(2024, 3, 1), datetime(2024, 5, 1, 11, 59), datetime(2024, 5, 1, 11, 59, 30), NOW]
+    alerts = spark.createDataFrame([(n, t) for n in names for t in times], "event_name string, t timestamp_ntz")
+
+    def rule(name, t):
+        if t is not None and t < datetime(2024, 4, 1):
+            return None
+        if t is not None and t < datetime(2024, 5, 1, 11, 59, 30):
+            return rules.RECIPIENTS.get(name)
+        return {"出航": ("Pilot",), "實際靠妥時間": ("Tugboat",)}.get(name)
+
+    got = {(r.event_name, r.t): tuple(r.stakeholders) for r in R.with_rule_as_of(alerts, versions, F.col("t")).collect()}
+    assert got == {(n, t): rule(n, t) for n in names for t in times if rule(n, t) is not None}
+    none = {(r.event_name, r.t) for r in R.without_rule_as_of(alerts, versions, F.col("t")).collect()}
+    assert none == {(n, t) for n in names for t in times if rule(n, t) is None}

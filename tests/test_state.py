@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from quayside import schemas
 from quayside.operators import quality
 from quayside.operators.upsert import SPECS
+from quayside.plans import ingest
 from quayside.plans.ingest import crawl_rejects, crawl_tables, store_crawl
 from quayside.session import scratch_folder
 from quayside.sources import files
@@ -311,3 +313,43 @@ def test_crawl_in_several_batches(spark, root):
     assert status() == sorted([*want, ("V000030000", "c")], key=repr)
     late = spark.read.parquet(late_folder(root, "ship_status", 2))
     assert as_tuples(late, "ship_voyage_number", "latest_event") == [("V000030000", "old"), ("V000040000", "d")]
+
+
+def test_late_events_are_merged(spark, root):
+    """Crawls that land in any order, one of them in two parts, leave the events that crawls in order leave."""
+    names = [f for f in schemas.SHIP_EVENTS if f.name != "id"]
+    random.seed(5)
+    crawls = {}
+    for number in range(3):
+        reported = random.sample(range(12), 8)
+        crawls[number] = [
+            (f"V{k % 4}", f"S{number}", DAY + timedelta(days=k % 2), f"e{k % 3}", None, str(turn), "1042",
+             None if random.random() < 0.4 else DAY + timedelta(hours=random.randrange(2)), turn, "bad" if k == 11 else None)
+            for turn, k in enumerate(reported)]
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in names) + ", seq bigint, reject_reason string"
+    newest = {}
+    for number in range(3):
+        for row in crawls[number]:
+            if row[-1] is None:
+                newest[(row[0], row[2], row[3])] = row[:8]
+    want = sorted(newest.values(), key=repr)
+
+    def typed(place, number, rows):
+        frame = spark.createDataFrame(rows, fields)
+        _, counts = ingest.write_typed(frame, ingest.typed_folder(place, "ship_events", number))
+        assert counts == {"rows": len(rows), "rejects": sum(r[-1] is not None for r in rows)}
+
+    for turn, order in enumerate([(0, 1, 2), (2, 0, 1), (2, 1, 0), (1, 2, 0, 1)]):
+        place, landed = f"{root}/order={turn}", []
+        for version, number in enumerate(order):
+            part = crawls[number][:4] if order.count(number) > landed.count(number) + 1 else crawls[number]
+            typed(place, number, part)
+            ingest.merge_events(spark, place, [number], landed, version)
+            landed.append(number)
+        got = state_table(spark, place, "ship_events").read().drop("id")
+        assert as_tuples(got) == want, order
+    place = f"{root}/at-once"
+    for number in range(3):
+        typed(place, number, crawls[number])
+    ingest.merge_events(spark, place, [0, 1, 2], [], 0)
+    assert as_tuples(state_table(spark, place, "ship_events").read().drop("id")) == want
