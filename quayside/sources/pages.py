@@ -40,6 +40,7 @@ _TAG = rf"<(?:/?[a-zA-Z]{_ATTRIBUTES}|[!?/][^<>]*+)>"
 # A tag that is not closed before the next one opens, or at all.
 _BROKEN_TAG = r"<[a-zA-Z/!?][^<>]*+(?:<|$)"
 _UNSEEN = r"(?s)<(?:!--.*?--|(?i:script)\b.*?</(?i:script)\s*|(?i:style)\b.*?</(?i:style)\s*)>"
+_MAY_BE_UNSEEN = r"<(?:!--|[sS][cCtT])"
 # What stands for a removed comment: it ends a piece of text like any tag, but shows nothing.
 _BREAK = "<wbr>"
 _NUMBER = "(?:0|[1-9][0-9]*+)"
@@ -182,6 +183,11 @@ def _element(tags: str, css_class: str) -> str:
     )
 
 
+def _up_to(tag: str) -> str:
+    """Pattern of all up to the first end tag of that name, as ``.*?`` before it, without a step per character."""
+    return rf"[^<]*+(?:<(?!/{tag}\s*>)[^<]*+)*+"
+
+
 def _read_tables(html: Column) -> Column:
     @F.pandas_udf("header array<string>, rows array<array<string>>")
     def read(pages: pd.Series) -> pd.DataFrame:
@@ -193,6 +199,15 @@ def _read_tables(html: Column) -> Column:
     return read(html)
 
 
+def _flat_tables(page: Column) -> Column:
+    """Whether cells hold no tables, rows only cells and tables only rows, all of them closed."""
+    tags = F.lower(F.array_join(F.regexp_extract_all(page, F.lit(r"(?i)</?t(?:able|[rdh])\b"), 0), ""))
+    rest = F.replace(tags, F.lit("th"), F.lit("td"))
+    for tag in ("td", "tr", "table"):
+        rest = F.replace(rest, F.lit(f"<{tag}</{tag}"), F.lit(""))
+    return rest == ""
+
+
 def header_table_rows(pages: DataFrame, titles: dict[str, str]) -> DataFrame:
     """Rows of tables whose columns are known by their header: ``crawl_id, page_no, row`` and
     one column per entry of ``titles``.
@@ -200,25 +215,41 @@ def header_table_rows(pages: DataFrame, titles: dict[str, str]) -> DataFrame:
     Only the first grid of a page counts, and a page without one has no rows. Headers pair with
     cells from the left; surplus ones on either side are dropped, a repeated header takes its last
     cell, a title without a header is NULL. As with cells, a page on which patterns could go wrong (several
-    grids, tables in tables, rare entities, broken tags) is recognised and given to a parser.
+    grids, tables in tables, rows after an end tag of the grid's name, rare entities, broken tags) is recognised and
+    given to a parser.
     """
-    control = _element("[a-z][a-z0-9]*", CONTROL_CLASS)
-    header = _element("t[hd]", HEADER_CLASS) + r"(.*?)</t[hd]\s*>"
-    row = _element("tr", ROW_CLASS) + r"(.*?)</tr\s*>"
-    cell = _element("td", CELL_CLASS) + r"(.*?)</td\s*>"
+    control = _element("([a-z][a-z0-9]*)", CONTROL_CLASS)
+    header = _element("t[hd]", HEADER_CLASS) + f"({_up_to('t[hd]')})" + r"</t[hd]\s*>"
+    row = _element("tr", ROW_CLASS) + f"({_up_to('tr')})" + r"</tr\s*>"
+    cell = _element("td", CELL_CLASS) + f"({_up_to('td')})" + r"</td\s*>"
     page = F.col("_page")
+    # The pattern of grids looks at every tag, so it is only counted where the class is named again.
+    low = F.lower(page)
+    named_once = F.instr(F.substring(low, F.instr(low, CONTROL_CLASS.lower()) + 1, F.lit(2**30)), CONTROL_CLASS.lower()) == 0
+    grids = F.when(named_once, page.rlike(control).cast("int")).otherwise(F.regexp_count(page, F.lit(control)))
+    # What comes after the first end tag that may be the grid's own.
+    after = F.regexp_extract(page, rf"{control}{_up_to(r'\1')}</\1\s*>(.*)$", 2)
     odd = (
-        (F.regexp_count(page, F.lit(control)) > 1) | (F.regexp_count(page, F.lit(r"(?i)<table\b")) > 1)
-        | page.rlike(_RARE_ENTITY) | page.rlike(_BROKEN_TAG)
-        | (F.regexp_count(page, F.lit(r"(?i)<t[rdh]\b")) != F.regexp_count(page, F.lit(r"(?i)</t[rdh]\s*>"))))
+        (F.col("_grids") > 1) | ~_flat_tables(page) | after.contains(HEADER_CLASS) | after.contains(ROW_CLASS)
+        | (page.contains("&") & page.rlike(_RARE_ENTITY)) | page.rlike(_BROKEN_TAG))
     plain = F.when(~F.col("_odd"), page)
+
+    def places_of(title: str) -> Column:
+        return F.array_compact(F.transform("_header", lambda t, i: F.when(t == title, i)))
+
+    def value_of(name: str) -> Column:
+        return F.get("_cells", F.array_max(F.filter(F.col(f"_places.{name}"), lambda i: i < F.size("_cells"))))
+
     rows = (
-        pages.withColumn("_page", F.when(F.col("html").contains(CONTROL_CLASS), visible(F.col("html"))))
-        .filter(page.rlike(control))
-        .withColumn("_odd", odd)
+        pages.withColumn("_page", F.when(F.col("html").contains(CONTROL_CLASS), F.when(
+            F.col("html").rlike(_MAY_BE_UNSEEN), visible(F.col("html"))).otherwise(F.col("html"))))
+        .withColumn("_grids", grids)
+        # NULL for a page without a grid, which then goes neither way. A filter here, or the one that Spark makes
+        # from an explode that is not outer, would sink below the page and cut it again for each use of it.
+        .withColumn("_odd", F.when(F.col("_grids") > 0, odd))
         .select("crawl_id", "page_no", _read_tables(F.when(F.col("_odd"), page)).alias("_read"), plain.alias("_page"))
         # A plain page is one grid from its first tag on.
-        .withColumn("_grid", F.regexp_extract("_page", rf"(?s){control}(.*)$", 1))
+        .withColumn("_grid", F.regexp_extract("_page", rf"{control}(.*)$", 2))
         .select(
             "crawl_id", "page_no",
             F.coalesce("_read.header", F.transform(F.regexp_extract_all("_grid", F.lit(header), 1), shown_text)).alias("_header"),
@@ -226,19 +257,12 @@ def header_table_rows(pages: DataFrame, titles: dict[str, str]) -> DataFrame:
                 F.regexp_extract_all("_grid", F.lit(row), 1),
                 lambda body: F.transform(F.regexp_extract_all(body, F.lit(cell), 1), shown_text))).alias("_rows"),
         )
-        .select("crawl_id", "page_no", "_header", F.posexplode("_rows").alias("row", "_cells"))
-        .withColumn("_width", F.least(F.size("_header"), F.size("_cells")))
-        .withColumn("_pairs", F.arrays_zip(
-            F.slice("_header", F.lit(1), F.col("_width")).alias("title"),
-            F.slice("_cells", F.lit(1), F.col("_width")).alias("value")))
+        .select("crawl_id", "page_no", F.struct(*(places_of(t).alias(n) for t, n in titles.items())).alias("_places"), "_rows")
+        .select("crawl_id", "page_no", "_places", F.posexplode_outer("_rows").alias("row", "_cells"))
+        .filter(F.col("row").isNotNull())
     )
-
-    def value_of(title: str) -> Column:
-        return F.try_element_at(F.filter("_pairs", lambda pair: pair["title"] == title), F.lit(-1))["value"]
-
     return rows.select(
-        "crawl_id", "page_no", F.col("row").cast("bigint").alias("row"),
-        *(value_of(title).alias(name) for title, name in titles.items()))
+        "crawl_id", "page_no", F.col("row").cast("bigint").alias("row"), *(value_of(name).alias(name) for name in titles.values()))
 
 
 def list_links(pages: DataFrame) -> DataFrame:

@@ -169,3 +169,13 @@ def test_prefix_on_one_big_group(spark):
         F.lit("g").alias("g"), F.col("id").alias("row"), (F.col("id") != 4321).alias("ok"))
     kept = contiguous_prefix(rows, "g", "row", "ok")
     assert (kept.count(), kept.agg(F.max("row")).first()[0]) == (4321, 4320)
+
+
+def test_tables_side_by_side_are_cut_once_and_without_the_parser(spark):
+    pages = pages_df(spark, "<p></p>")
+    got = P.header_table_rows(pages, BERTH_TITLES)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("!--.*?--|") == 1
+    row, nested = "<tr><td>a</td><TD>b</td ></tr>", "<tr><td><table><tr><td>a</td></tr></table></td></tr>"
+    html = [f"<table>{row}</table><div><table>{row}{row}</table></div>{row}", f"<table>{nested}</table>", f"<table>{row}", nested]
+    flat = spark.createDataFrame(list(enumerate(html)), "i int, html string").select("i", P._flat_tables(F.col("html")).alias("flat"))
+    assert as_tuples(flat) == [(0, True), (1, False), (2, False), (3, False)]
