@@ -1,9 +1,10 @@
 """Cells, rows and links out of scraped pages.
 
 ``pages`` has ``crawl_id, page_no, url, html``. Pages of one crawl read as one document in
-page order. Regular cells are cut out by column expressions; a page on which those could
+page order. Cells of grids are cut in Arrow batches, by a pattern where a page is plain, else by a parser.
+Tables with headers are cut by column expressions; a page on which those could
 go wrong (a cell with another of the same tag inside, an open cell, a rare entity) is
-recognised, and only such a page is given to a Python parser, in Arrow batches.
+recognised, and only such a page is given to the parser.
 """
 
 from __future__ import annotations
@@ -11,12 +12,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.operators.prefix import contiguous_prefix
 from quayside.schemas import EVENT_TITLES, MILE_TITLES, STATUS_TITLES
-from quayside.sources.cell_reader import plain_cells, read_table
+from quayside.sources.cell_reader import cells_of, read_table
 
 # Ids and classes on the pages, icons and the flags they stand for.
 STATUS_GRID = "ASPx_船舶即時動態_tccell"
@@ -31,6 +33,9 @@ ICON_FLAGS = (("ok.png", "YES"), ("red.gif", "RED"))
 EMPTY_FLAG = "NO"
 MISSING = "null"
 
+# Bytes of pages that one task cuts. Of more tasks than the second, a shuffle holds its rows in memory to sort them.
+TASK_BYTES, MOST_TASKS = 8 << 20, 200
+
 # All blanks, as a pattern and as characters.
 _SPACE = r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
@@ -43,11 +48,25 @@ _UNSEEN = r"(?s)<(?:!--.*?--|(?i:script)\b.*?</(?i:script)\s*|(?i:style)\b.*?</(
 _MAY_BE_UNSEEN = r"<(?:!--|[sS][cCtT])"
 # What stands for a removed comment: it ends a piece of text like any tag, but shows nothing.
 _BREAK = "<wbr>"
-_NUMBER = "(?:0|[1-9][0-9]*+)"
 _ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
 _RARE_ENTITY = r"&(?!(?:amp|lt|gt|quot|apos|nbsp|#39);)[#a-zA-Z]"
 
 
+def page_bytes(html: Column) -> Column:
+    """Bytes of all pages together, for ``spread_pages``."""
+    return F.coalesce(F.sum(F.octet_length(html)), F.lit(0))
+
+
+def spread_pages(pages: DataFrame, size: int) -> DataFrame:
+    """The same pages, dealt to tasks by what there is to cut: about ``TASK_BYTES`` of their ``size`` bytes to each.
+
+    Stored pages are packed many times smaller than they are, so files alone give a few tasks far too much. Equal
+    pages stay together, and keys do not matter.
+    """
+    tasks = min(MOST_TASKS, max(1, -(-size // TASK_BYTES)))
+    return pages.repartition(tasks, F.xxhash64(*(name for name in pages.columns)))
+
+
 def visible(html: Column) -> Column:
     """The page without comments, scripts and styles."""
     return F.regexp_replace(html, _UNSEEN, _BREAK)
@@ -73,57 +92,27 @@ def shown_text(fragment: Column) -> Column:
     return F.btrim(F.regexp_replace(text, f"{_SPACE}+", " "))
 
 
-def _repaired(html: Column, grid: str) -> Column:
-    @F.pandas_udf("array<string>")
-    def repair(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda page: None if page is None else plain_cells(page, grid))
+def _cells(html: Column, grid: str) -> Column:
+    @F.arrow_udf("array<struct<row: bigint, col: int, text: string, icon: string>>")
+    def cut(pages: pa.Array) -> pa.Array:
+        return cells_of(pages, grid)
 
-    return repair(html)
+    return cut(html)
 
 
 def grid_cells(pages: DataFrame, grid: str) -> DataFrame:
     """``crawl_id, page_no, position, row, col, text, icon``; a page without cells gives one
-    row with NULL cells, so that its crawl is not forgotten."""
-    # Only the exact text of an id names a cell, so numbers have no leading zeros.
-    named = rf"""(?i:\sid)\s*=\s*["']?{grid}{_NUMBER}_{_NUMBER}["']?(?=[\s/>])"""
-    whole = rf"(?s)<([a-zA-Z][a-zA-Z0-9]*)\b[^<>]*?{named}{_ATTRIBUTES}>.*?</\1\s*>"
-    page = F.col("_page")
-    mentions = (F.char_length(page) - F.char_length(F.replace(page, F.lit(grid), F.lit("")))) / len(grid)
-
-    def odd_cell(cell: Column) -> Column:
-        again = F.regexp_extract(cell, "^<[a-zA-Z0-9]+", 0)
-        return (F.instr(F.substring(cell, 2, 2**30), again) > 0) | (cell.contains("&") & cell.rlike(_RARE_ENTITY))
-
-    # The exact count of cell ids is only needed where the grid is named outside of cells too.
-    missed = (mentions != F.size("_found")) & (F.regexp_count(page, F.lit(named)) != F.size("_found"))
-    cut = (
-        # A page that does not name the grid has no cells and skips all of this.
-        pages.withColumn("_page", F.when(F.col("html").contains(grid), visible(F.col("html"))).otherwise(""))
-        .withColumn("_found", F.regexp_extract_all("_page", F.lit(whole), 0))
-        .withColumn("_odd", missed | page.rlike(_BROKEN_TAG) | F.exists("_found", odd_cell))
-        .select(
-            "crawl_id", "page_no", F.when(F.col("_odd"), page).alias("_odd_page"),
-            F.when(~F.col("_odd"), F.col("_found")).alias("_found"),
-        )
-        .withColumn("_repaired", _repaired(F.col("_odd_page"), grid))
-        .select(
-            "crawl_id", "page_no", F.posexplode_outer(F.coalesce("_repaired", "_found")).alias("position", "_cell"))
-    )
-    number = F.substring("_cell", F.instr("_cell", grid) + len(grid), F.lit(2**30))
-    number = F.regexp_extract(number, r"^\d+_\d+", 0)
-    body = F.col("_body")
-    image = F.when(
-        F.lower(body).contains("<img"), F.regexp_extract(body, r"(?is)<img\b[^<>]*>", 0))
+    row with NULL cells, so that its crawl is not forgotten.
+
+    A number too big for its type is NULL: it is beyond any grid, which has no gaps before it.
+    """
+    html = F.col("html")
+    # A page that does not name the grid has no cells and is not sent to be cut.
+    page = F.when(html.contains(grid), F.when(html.rlike(_MAY_BE_UNSEEN), visible(html)).otherwise(html))
     return (
-        cut.withColumn("_body", F.regexp_extract("_cell", rf"(?s)^<{_ATTRIBUTES}>(.*)</", 1))
-        .select(
-            "crawl_id", "page_no", "position",
-            # A number too big for its type is beyond any grid, which has no gaps before it.
-            F.substring_index(number, "_", 1).try_cast("bigint").alias("row"),
-            F.substring_index(number, "_", -1).try_cast("int").alias("col"),
-            node_text(body).alias("text"),
-            F.regexp_extract(image, r"""(?is)\ssrc\s*=\s*["']?([^"'\s>]*)""", 1).alias("icon"),
-        )
+        pages.select("crawl_id", "page_no", _cells(page, grid).alias("_cells"))
+        .select("crawl_id", "page_no", F.posexplode_outer("_cells").alias("position", "_cell"))
+        .select("crawl_id", "page_no", "position", "_cell.row", "_cell.col", "_cell.text", "_cell.icon")
     )
 
 
@@ -153,7 +142,9 @@ def grid_rows(cells: DataFrame, names: Sequence[str], value: Column) -> DataFram
     for name in names:
         complete &= F.col(name).isNotNull()
     whole = contiguous_prefix(rows.withColumn("_complete", complete), "crawl_id", "row", "_complete")
-    return whole.drop("_complete")
+    # All of these are complete. Asked for it, each use of the rows in that plan needs every cell, so that a caller who
+    # wants few columns does not have the pages cut once for these and once more for the whole rows.
+    return whole.filter("_complete").drop("_complete")
 
 
 def status_rows(pages: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from quayside.operators import quality
 from quayside.plans.ingest import crawl_tables, listed_ships, merge_events, typed_folder, write_typed
 from quayside.sources import files
+from quayside.sources.pages import page_bytes, spread_pages
 from quayside.sources.state import state_table
 
 # Kinds of pages, and the order in which tables are taken in: a voyage row is to be newer than
@@ -74,8 +75,10 @@ def crawl_stream(
 
     def take_crawl(spark: SparkSession, number: int, late: bool, schema: T.StructType) -> list[tuple]:
         mine = files.landed_pages(spark, f"{root}/landing", str(number), schema)
-        kinds = {k: mine.filter(F.col("kind") == k).drop("kind", "crawl") for k in ORDER.values()}
-        arrived = {row["kind"]: row["count"] for row in mine.groupBy("kind").count().collect()}
+        sizes = mine.groupBy("kind").agg(F.count("*").alias("pages"), page_bytes(F.col("html")).alias("bytes")).collect()
+        arrived, size = ({row["kind"]: row[c] for row in sizes} for c in ("pages", "bytes"))
+        kinds = {
+            k: spread_pages(mine.filter(F.col("kind") == k).drop("kind", "crawl"), size.get(k, 0)) for k in ORDER.values()}
         crawled = {"ship_status": listed_ships(kinds[STATUS])}
         counts = []
         for name, kind in ORDER.items():

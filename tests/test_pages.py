@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators.prefix import contiguous_prefix
 from quayside.schemas import BERTH_TITLES, PAGES, STATUS_TITLES
+from quayside.sources import cell_reader
 from quayside.sources import pages as P
 from quayside.sources.cell_reader import plain_cells, read_cells, read_table
 from tests.conftest import as_tuples
@@ -179,3 +180,38 @@ def test_tables_side_by_side_are_cut_once_and_without_the_parser(spark):
     html = [f"<table>{row}</table><div><table>{row}{row}</table></div>{row}", f"<table>{nested}</table>", f"<table>{row}", nested]
     flat = spark.createDataFrame(list(enumerate(html)), "i int, html string").select("i", P._flat_tables(F.col("html")).alias("flat"))
     assert as_tuples(flat) == [(0, True), (1, False), (2, False), (3, False)]
+
+
+def test_pages_are_cut_once_for_few_columns_too(spark):
+    """The ship list is wanted in three of its columns, but a row counts if it is whole."""
+    page = "".join(cell(0, i, f"v{i}", P.STATUS_GRID) for i in range(len(STATUS_TITLES)))
+    rows = P.status_rows(pages_df(spark, page, page.replace("0_13", "0_99"))).select("crawl_id", *STATUS_TITLES[:3])
+    assert as_tuples(rows) == [("c0", "v0", "v1", "v2")]
+    final = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("ArrowEvalPython") == 1
+
+
+def test_pages_are_dealt_by_their_size(spark):
+    """Stored pages are small and in one file; what they hold is not."""
+    pages = spark.range(40, numPartitions=1).select(
+        F.lit(None).cast("string").alias("crawl_id"), F.col("id").cast("int").alias("page_no"), F.lit("u").alias("url"),
+        F.repeat(F.lit("x"), P.TASK_BYTES // 10).alias("html"))
+    size = pages.agg(P.page_bytes(F.col("html"))).first()[0]
+    dealt = P.spread_pages(pages, size)
+    held = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert size == 40 * (P.TASK_BYTES // 10) and dealt.count() == 40
+    assert len(held) > 1 and max(r["count"] for r in held) < 40
+    assert P.spread_pages(pages.limit(0), 0).count() == 0
+
+
+def test_plain_pages_are_cut_by_a_pattern():
+    """And no others: what the pattern cannot read goes to the parser."""
+    plain = event_row(0, "a &amp; b", "<b> x </b>y", "<img src='a/ok.png'>", "", "1 &#48;") + event_row(1, *"cdefg")
+    odd = [cell(0, 0, "<td>n</td>"), cell(0, 0, "a") + "<td id=x", cell(0, 0, "<!-- n -->a"), cell(0, 0, "a", tag="TD"),
+           f'<p>{GRID}</p>' + cell(0, 0, "a"), f'<div id="{GRID}1_1">' + cell(0, 0, "a") + "</div>", "<textarea>" + cell(0, 0, "a"),
+           cell(0, 0, "a").removesuffix("</td>"), cell(0, 0, "1 < 2"), f'<td title="<" id="{GRID}0_0">a</td>']
+    pattern = cell_reader._plain_cell(GRID)
+    for page in [plain, *odd]:
+        want = [(c["row"], c["col"], c["text"], c["icon"]) for c in read_cells(page, GRID)]
+        assert list(cell_reader._found_cells(page, GRID, pattern)) == want, page
+    assert len(pattern.findall(plain)) == 10
