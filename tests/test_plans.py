@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.operators.latest import keep_last, newest_with_ties
+from quayside.operators.latest import in_even_parts, keep_last, newest_with_ties
 from quayside.operators.substring import last_contained
 from quayside.plans import alerts as A
 from quayside.plans import berths as B
@@ -94,6 +94,31 @@ def test_newest_rows_combine_before_the_shuffle(stored):
         assert text.index("Exchange") < text.index("partial_max")
 
 
+def test_newest_rows_are_dealt_evenly_before_they_combine(stored):
+    """What a task sorts is bounded by adaptive execution, not by how much a part of a file holds."""
+    last = keep_last(stored["berths"], ["berth_number"], "updated_at")
+    for df in (last, A.latest_agents(stored["berths"])):
+        text = plan(df)
+        assert "REBALANCE_PARTITIONS_BY_COL" in text[text.rindex("partial_max"):]
+
+
+def test_even_parts_of_one_file_with_a_hot_key(spark, stored, settings, tmp_path):
+    settings(shuffle__partitions="16", adaptive__coalescePartitions__enabled="false")
+    stored["berths"].coalesce(1).write.parquet(f"{tmp_path}/one")
+    one = spark.read.parquet(f"{tmp_path}/one")
+    dealt = in_even_parts(one, ["berth_number"])
+    assert dealt.columns == one.columns
+    assert one.rdd.getNumPartitions() == 1
+    parts = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(parts) == 30000 and max(parts) < 7500
+    hot = dealt.filter(F.col("berth_number") == "0").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in hot) < 5000
+    assert dealt.exceptAll(one).isEmpty() and one.exceptAll(dealt).isEmpty()
+    got = keep_last(one, ["berth_number"], "updated_at")
+    assert as_tuples(got) == as_tuples(keep_last(stored["berths"], ["berth_number"], "updated_at"))
+    assert in_even_parts(one.select("berth_number"), ["berth_number"]).count() == 30000
+
+
 def test_hot_keys_are_split(stored, settings):
     """With thresholds to fit the small tables, joins on a hot key run in several tasks."""
     settings(
