@@ -97,7 +97,7 @@ def test_newest_rows_combine_before_the_shuffle(stored):
 def test_newest_rows_are_dealt_evenly_before_they_combine(stored):
     """What a task sorts is bounded by adaptive execution, not by how much a part of a file holds."""
     last = keep_last(stored["berths"], ["berth_number"], "updated_at")
-    for df in (last, A.latest_agents(stored["berths"])):
+    for df in (last, A.latest_agents(stored["berths"]), A.revised_times(stored["events"])):
         text = plan(df)
         assert "REBALANCE_PARTITIONS_BY_COL" in text[text.rindex("partial_max"):]
 
