@@ -119,6 +119,24 @@ def test_even_parts_of_one_file_with_a_hot_key(spark, stored, settings, tmp_path
     assert in_even_parts(one.select("berth_number"), ["berth_number"]).count() == 30000
 
 
+@pytest.mark.parametrize("asked, dealt", [("4", "4"), ("200", "200"), ("1000", "200")])
+def test_rows_are_dealt_without_being_held_first(stored, settings, asked, dealt):
+    """Into more than 200 parts Spark writes a shuffle only after a task has all its rows in memory, be its part of a
+    file as large as it may."""
+    settings(shuffle__partitions=asked)
+    berths = keep_last(stored["berths"], ["berth_number"], "updated_at")
+    for df in (berths, A.latest_agents(stored["berths"]), A.revised_times(stored["events"])):
+        counts = re.findall(r"Exchange hashpartitioning\(_even_part#\d+, (\d+)\), REBALANCE_PARTITIONS_BY_COL", plan(df))
+        assert counts == [dealt]
+
+
+def test_many_parts_give_the_same_rows(stored, settings):
+    few = [as_tuples(keep_last(stored["berths"], ["berth_number"], "updated_at")), as_tuples(A.revised_times(stored["events"]))]
+    settings(shuffle__partitions="201")
+    assert as_tuples(keep_last(stored["berths"], ["berth_number"], "updated_at")) == few[0]
+    assert as_tuples(A.revised_times(stored["events"])) == few[1]
+
+
 def test_hot_keys_are_split(stored, settings):
     """With thresholds to fit the small tables, joins on a hot key run in several tasks."""
     settings(
