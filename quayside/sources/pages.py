@@ -9,7 +9,7 @@ recognised, and only such a page is given to the parser.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import pandas as pd
 import pyarrow as pa
@@ -67,6 +67,19 @@ def spread_pages(pages: DataFrame, size: int) -> DataFrame:
     return pages.repartition(tasks, F.xxhash64(*(name for name in pages.columns)))
 
 
+def spread_crawls(pages: DataFrame, sizes: Mapping[int, int]) -> DataFrame:
+    """Pages of several crawls dealt as by ``spread_pages``, with the ``sizes`` of the crawls in bytes. A crawl has tasks
+    of its own, so that written to a folder of its own it is no more files than that."""
+    share = max(TASK_BYTES, -(-sum(sizes.values()) // MOST_TASKS))
+    mixed, part, tasks = F.xxhash64(*(name for name in pages.columns)), F.when(F.lit(False), F.lit(0)), 0
+    for crawl, size in sizes.items():
+        own = max(1, -(-size // share))
+        part = part.when(F.col("crawl") == crawl, F.lit(tasks) + F.pmod(mixed, F.lit(own)))
+        tasks += own
+    tasks = min(MOST_TASKS, max(1, tasks))
+    return pages.repartitionById(tasks, F.pmod(part.otherwise(0), F.lit(tasks)).cast("int"))
+
+
 def visible(html: Column) -> Column:
     """The page without comments, scripts and styles."""
     return F.regexp_replace(html, _UNSEEN, _BREAK)

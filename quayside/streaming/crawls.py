@@ -13,7 +13,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from quayside.operators import quality
 from quayside.plans.ingest import crawl_tables, listed_ships, merge_events, typed_folder, write_typed
 from quayside.sources import files
-from quayside.sources.pages import page_bytes, spread_pages
+from quayside.sources.pages import page_bytes, spread_crawls, spread_pages
 from quayside.sources.state import state_table
 
 # Kinds of pages, and the order in which tables are taken in: a voyage row is to be newer than
@@ -100,12 +100,11 @@ def crawl_stream(
 
     def take(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            files.land_pages(batch.withColumn("crawl_date", F.col("crawl").cast("string")), f"{root}/landing", batch_id)
-            numbers = sorted(row["crawl"] for row in batch.select("crawl").distinct().collect())
-        finally:
-            batch.unpersist()
+        # Read again and not kept: pages are many times larger than the files they come in.
+        sizes = {row["crawl"]: row["bytes"] for row in batch.groupBy("crawl").agg(page_bytes(F.col("html")).alias("bytes")).collect()}
+        numbers = sorted(sizes)
+        dealt = spread_crawls(batch, sizes).withColumn("crawl_date", F.col("crawl").cast("string"))
+        files.land_pages(dealt, f"{root}/landing", batch_id)
         before = _crawls_before(spark, root, batch_id, numbers)
         for number in numbers:
             counts = take_crawl(spark, number, bool(before) and number < max(before), batch.schema)

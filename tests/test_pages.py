@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -204,6 +206,37 @@ def test_pages_are_dealt_by_their_size(spark):
     assert P.spread_pages(pages.limit(0), 0).count() == 0
 
 
+def test_crawls_are_dealt_by_their_size(spark):
+    """To tasks of their own, as many as each one's bytes need."""
+    html = F.repeat(F.lit("x"), P.TASK_BYTES // 10)
+    pages = spark.range(64, numPartitions=1).select(
+        F.col("id").cast("string").alias("crawl_id"), F.when(F.col("id") < 40, html).when(F.col("id") < 62, "y").alias("html"),
+        F.when(F.col("id") < 40, 3).when(F.col("id") < 50, 1).when(F.col("id") < 63, 2).alias("crawl"))
+    sizes = {r["crawl"]: r["size"] for r in pages.groupBy("crawl").agg(P.page_bytes(F.col("html")).alias("size")).collect()}
+    dealt = P.spread_crawls(pages, sizes)
+    held = dealt.groupBy("crawl", F.spark_partition_id().alias("task")).count().collect()
+    assert as_tuples(dealt.select("crawl_id", "crawl")) == as_tuples(pages.select("crawl_id", "crawl"))
+    tasks = {c: {r["task"] for r in held if r["crawl"] == c} for c in (1, 2, 3)}
+    assert len(tasks[1]) == len(tasks[2]) == 1 and 1 < len(tasks[3]) <= 4
+    assert not (tasks[1] & tasks[2] or tasks[1] & tasks[3] or tasks[2] & tasks[3])
+    assert P.spread_crawls(pages.limit(0), {}).count() == 0
+
+
+def test_a_batch_of_pages_is_cut_some_at_a_time():
+    """What is cut from it stays in Arrow: as Python objects pages and cells take several times that."""
+    page = "<table>" + "".join(event_row(i, *"abcdefg") for i in range(16)) + "</table>"
+    pages = [None, "", *([page] * 1000), cell(0, 0, "end")]
+    batch = pa.array(pages, pa.string())
+    tracemalloc.start()
+    got = cell_reader.cells_of(batch, GRID)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < batch.nbytes / 3
+    assert [len(x) for x in got.to_pylist()] == [0, 0, *([112] * 1000), 1]
+    assert got.to_pylist()[-1] == [{"row": 0, "col": 0, "text": "end", "icon": None}]
+    assert cell_reader.cells_of(pa.array([], pa.string()), GRID).type == got.type
+
+
 def test_plain_pages_are_cut_by_a_pattern():
     """And no others: what the pattern cannot read goes to the parser."""
     plain = event_row(0, "a &amp; b", "<b> x </b>y", "<img src='a/ok.png'>", "", "1 &#48;") + event_row(1, *"cdefg")

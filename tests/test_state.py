@@ -315,6 +315,26 @@ def test_crawl_in_several_batches(spark, root):
     assert as_tuples(late, "ship_voyage_number", "latest_event") == [("V000030000", "old"), ("V000040000", "d")]
 
 
+def test_landing_pages_are_not_kept_in_memory(spark, root, monkeypatch):
+    """All pages of a batch are many times larger than their files: they are read again, and written by tasks of a few MB."""
+    schema = "crawl_id string, page_no int, url string, html string, kind string, crawl int"
+    kept, persist = [], type(spark.range(0)).persist
+    monkeypatch.setattr(type(spark.range(0)), "persist", lambda df, *level: (kept.append(df.columns), persist(df, *level))[1])
+    monkeypatch.setattr(P, "TASK_BYTES", 20_000)
+    pages = [
+        ("c", n, "list", "x" * 1000 + "".join(cell(n, i, v, P.STATUS_GRID) for i, v in enumerate([f"V{crawl}{n:07}", "n", *["NO"] * 12])), STATUS, crawl)
+        for crawl in (1, 2) for n in range(40)]
+    spark.createDataFrame(pages, schema).coalesce(1).write.parquet(f"{root}/arrived")
+    crawl_stream(
+        spark.readStream.schema(schema).parquet(f"{root}/arrived"), root, f"{root}/checkpoint", "http://port.example/events",
+        "http://port.example/miles", lambda crawl, _: moment(crawl), parts=2).awaitTermination()
+    assert kept and not any("html" in columns for columns in kept)
+    landed = [files.landed_pages(spark, f"{root}/landing", str(n), spark.createDataFrame([], schema).schema) for n in (1, 2)]
+    assert sorted(map(repr, pages)) == sorted(repr(tuple(r)) for df in landed for r in df.collect())
+    assert all(1 < len(df.inputFiles()) <= 5 for df in landed)
+    assert state_table(spark, root, "ship_status", parts=2).read().count() == 80
+
+
 def test_late_events_are_merged(spark, root):
     """Crawls that land in any order, one of them in two parts, leave the events that crawls in order leave."""
     names = [f for f in schemas.SHIP_EVENTS if f.name != "id"]
