@@ -315,7 +315,8 @@ def test_crawl_in_several_batches(spark, root):
     assert as_tuples(late, "ship_voyage_number", "latest_event") == [("V000030000", "old"), ("V000040000", "d")]
 
 
-def test_landing_pages_are_not_kept_in_memory(spark, root, monkeypatch):
+@pytest.mark.parametrize("merge_late", [False, True])
+def test_landing_pages_are_not_kept_in_memory(spark, root, monkeypatch, merge_late):
     """All pages of a batch are many times larger than their files: they are read again, and written by tasks of a few MB."""
     schema = "crawl_id string, page_no int, url string, html string, kind string, crawl int"
     kept, persist = [], type(spark.range(0)).persist
@@ -327,7 +328,7 @@ def test_landing_pages_are_not_kept_in_memory(spark, root, monkeypatch):
     spark.createDataFrame(pages, schema).coalesce(1).write.parquet(f"{root}/arrived")
     crawl_stream(
         spark.readStream.schema(schema).parquet(f"{root}/arrived"), root, f"{root}/checkpoint", "http://port.example/events",
-        "http://port.example/miles", lambda crawl, _: moment(crawl), parts=2).awaitTermination()
+        "http://port.example/miles", lambda crawl, _: moment(crawl), parts=2, merge_late=merge_late).awaitTermination()
     assert kept and not any("html" in columns for columns in kept)
     landed = [files.landed_pages(spark, f"{root}/landing", str(n), spark.createDataFrame([], schema).schema) for n in (1, 2)]
     assert sorted(map(repr, pages)) == sorted(repr(tuple(r)) for df in landed for r in df.collect())
